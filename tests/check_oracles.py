@@ -1,0 +1,64 @@
+"""Run every query and its SQL side by side: python tests/check_oracles.py [sf_dir] [name ...]"""
+
+from __future__ import annotations
+
+import sys
+import time
+from pathlib import Path
+
+import duckdb
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+import __spark_entry__ as entry_points  # noqa: E402
+
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels " \
+    "conversations".split()
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for table in TABLES:
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    return connection
+
+
+def rows_of_oracle(connection: duckdb.DuckDBPyConnection, sql: str) -> tuple[list[str], list[tuple]]:
+    cursor = connection.execute(sql)
+    columns = [d[0] for d in cursor.description]
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(columns), sorted((tuple(r[i] for i in order) for r in cursor.fetchall()), key=repr)
+
+
+def rows_of_query(frame) -> tuple[list[str], list[tuple]]:
+    columns = sorted(frame.columns)
+    return columns, sorted((tuple(r[c] for c in columns) for r in frame.collect()), key=repr)
+
+
+def compare(spark: SparkSession, connection: duckdb.DuckDBPyConnection, name: str, sf_dir: str) -> str | None:
+    """None when equal, else what differs first."""
+    got = rows_of_query(entry_points.queries()[name](spark, sf_dir))
+    want = rows_of_oracle(connection, entry_points.oracle_sql()[name])
+    if got[0] != want[0]:
+        return f"columns {got[0]} instead of {want[0]}"
+    if len(got[1]) != len(want[1]):
+        return f"{len(got[1])} rows instead of {len(want[1])}"
+    return next((f"{a} instead of {b}" for a, b in zip(got[1], want[1]) if a != b), None)
+
+
+if __name__ == "__main__":
+    folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    session = SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8").config(
+        "spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").getOrCreate()
+    session.sparkContext.setLogLevel("ERROR")
+    database = duck(folder)
+    bad = 0
+    for query in sys.argv[2:] or entry_points.queries():
+        started = time.time()
+        try:
+            problem = compare(session, database, query, folder)
+        except Exception as e:
+            problem = f"{type(e).__name__}: {str(e)[:1500]}"
+        bad += problem is not None
+        print(f"{query:24} {time.time() - started:6.1f}s  {'ok' if problem is None else problem}", flush=True)
+    print(f"{bad} differ")
