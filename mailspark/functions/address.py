@@ -108,7 +108,7 @@ def split_addresses(header: Column) -> Column:
 
 def plain_list(header: Column) -> Column:
     """Header text -> array of its entries when all names are plain or needlessly quoted, else null."""
-    plain = F.regexp_replace(_strip(header), P.NEEDLESS_QUOTES, "$1")
+    plain = F.regexp_replace(_strip(header), P.NEEDLESS_QUOTES, "$1$2")
     entries = F.regexp_extract_all(plain, F.lit(P.CANONICAL_ENTRY), F.lit(0))
     return F.when(F.regexp_like(plain, F.lit(P.CANONICAL_LIST)), entries)
 

@@ -25,11 +25,11 @@ CANONICAL = rf"(?:(?:{_PLAIN_NAME}|{_QUOTED_NAME}) <{_PLAIN_SPEC}>|{_PLAIN_SPEC}
 # A whole list of such addresses, and its entries; quotes a name does not need.
 CANONICAL_LIST = rf"^{CANONICAL}(?:,\s*+{CANONICAL})*+$"
 CANONICAL_ENTRY = r'(?:"[^"]*+"|[^\s",])(?:"[^"]*+"|[^",]++)*+'
-NEEDLESS_QUOTES = rf'(?<![^\s,])"({_PLAIN_NAME})"(?= <)'
+NEEDLESS_QUOTES = rf'(^|,[ \t]*+)"({_PLAIN_NAME})"(?= <)'
 
 # Everything before the angle bracket, and the address inside it.
-PHRASE = rf'((?:{QUOTED}|{COMMENT}|[^"(<]++)*+)<'
-IN_ANGLE = rf'(?:{QUOTED}|{COMMENT}|[^"(<]++)*+<((?:{QUOTED}|[^<>"]++)*+)>?'
+PHRASE = rf'((?:{QUOTED}|{COMMENT}|[^"(<]++|["(])*+)<'
+IN_ANGLE = rf'(?:{QUOTED}|{COMMENT}|[^"(<]++|["(])*+<((?:{QUOTED}|[^<>"]++)*+)>?'
 COMMENT_TEXT = rf"\(((?:[^()\\]++|\\.|\((?:[^()\\]++|\\.)*+\))*+)\)"
 
 # A display name with one of these must be quoted; an address with one of these goes in brackets.

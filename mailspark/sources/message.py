@@ -164,7 +164,7 @@ def body_bytes(body: bytes, transfer_encoding: str | None) -> bytes:
     if encoding == "base64":
         return base64_bytes(body.decode("iso-8859-1"))
     if encoding == "quoted-printable":
-        return quopri.decodestring(body)
+        return quopri.decodestring(re.sub(rb"(?<![ \t])[ \t]++(?=\r?\n|\Z)", b"", body))
     return body
 
 
