@@ -116,8 +116,8 @@ SMTP_SPEC = {
     "message-key": Option(),
 }
 
-# Keys Spark itself adds to the options of a stored table.
-_IGNORED = {"path", "serialization.format"}
+# Keys Spark itself adds to the options of a table or a stream.
+_IGNORED = {"path", "serialization.format", "checkpointlocation", "queryname"}
 
 
 @dataclass(frozen=True)

@@ -28,6 +28,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.maxMetadataStringLength", "10000")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
