@@ -1,6 +1,6 @@
 """Mail folders as Spark tables and streams, and rows as outgoing mail."""
 
-from mailspark.catalog import MailCatalog, fetch_folder, read_folder
+from mailspark.catalog import MailCatalog, fetch_folder, import_folder, read_folder
 from mailspark.operators.outbox import compose, send
 from mailspark.operators.project import decode_mail, physical_row, row_slice, split_raw
 from mailspark.session import register
@@ -16,6 +16,7 @@ __all__ = [
     "decode_mail",
     "fetch_folder",
     "follow",
+    "import_folder",
     "physical_row",
     "poll",
     "read_folder",

@@ -6,23 +6,6 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, functions as F
 
-# Header names the metadata columns are made from.
-HEADERS_OF = {
-    "subject": ["subject"],
-    "sent": ["date"],
-    "contentType": ["content-type"],
-    "from": ["from", "sender"],
-    "fromFirst": ["from", "sender"],
-    "to": ["to"],
-    "toFirst": ["to"],
-    "cc": ["cc"],
-    "bcc": ["bcc"],
-    "recipients": ["to", "cc", "bcc"],
-    "replyTo": ["reply-to", "from", "sender"],
-}
-CONTENT_HEADERS = ["content-type", "content-transfer-encoding"]
-
-
 def head_text(head: Column) -> Column:
     """The header block as text, each line led by a newline: UTF-8 if it is valid, else Latin-1."""
     as_utf8 = head.cast("string")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType, TimestampType
 
 from mailspark import metadata as M
 from mailspark.functions import address as A
@@ -16,27 +16,45 @@ from mailspark.functions import formats
 from mailspark.functions import header as H
 from mailspark.functions import words
 
-# Staged columns of ``decode_mail``: header lines, values of single headers, address lists, content.
-_LINES, _CONTENT, _DATA, _CHARSET = "__lines", "__content", "__data", "__charset"
-_VALUES = {
-    "__subject": "subject",
-    "__date": "date",
-    "__type": "content-type",
-    "__encoding": "content-transfer-encoding",
+# The envelope: what the metadata columns and content decoding need from the head of a message.
+ENVELOPE = StructType([
+    StructField("subject", StringType()),
+    StructField("sent", TimestampType()),
+    StructField("type", StringType()),
+    StructField("encoding", StringType()),
+    StructField("from", ArrayType(StringType())),
+    StructField("to", ArrayType(StringType())),
+    StructField("cc", ArrayType(StringType())),
+    StructField("bcc", ArrayType(StringType())),
+    StructField("reply_to", ArrayType(StringType())),
+])
+_FIELDS_OF = {
+    "subject": ["subject"],
+    "sent": ["sent"],
+    "contentType": ["type"],
+    "from": ["from"],
+    "fromFirst": ["from"],
+    "to": ["to"],
+    "toFirst": ["to"],
+    "cc": ["cc"],
+    "bcc": ["bcc"],
+    "recipients": ["to", "cc", "bcc"],
+    "replyTo": ["reply_to"],
 }
-_LISTS = {"__from": "from", "__sender": "sender", "__to": "to", "__cc": "cc", "__bcc": "bcc", "__reply": "reply-to"}
-_VALUES_OF = {"subject": ["__subject"], "sent": ["__date"], "contentType": ["__type"]}
-_LISTS_OF = {
-    "from": ["__from", "__sender"],
-    "fromFirst": ["__from", "__sender"],
-    "to": ["__to"],
-    "toFirst": ["__to"],
-    "cc": ["__cc"],
-    "bcc": ["__bcc"],
-    "recipients": ["__to", "__cc", "__bcc"],
-    "replyTo": ["__reply", "__from", "__sender"],
+_CONTENT_FIELDS = ["type", "encoding"]
+
+# Headers each field is made from; the first one that has a value counts.
+_SINGLE = {"subject": "subject", "sent": "date", "type": "content-type", "encoding": "content-transfer-encoding"}
+_LISTS = {
+    "from": ["from", "sender"],
+    "to": ["to"],
+    "cc": ["cc"],
+    "bcc": ["bcc"],
+    "reply_to": ["reply-to", "from", "sender"],
 }
 
+_LINES, _CONTENT, _DATA, _CHARSET = "__lines", "__content", "__data", "__charset"
+
 
 def split_raw(mail: DataFrame) -> DataFrame:
     """Cut ``raw`` at its blank line into ``head`` and ``body``, and keep its ``size``."""
@@ -54,48 +72,79 @@ def split_raw(mail: DataFrame) -> DataFrame:
     )
 
 
+def parse_envelope(mail: DataFrame, fields: Iterable[str]) -> DataFrame:
+    """Add envelope fields, parsed from ``head``, as columns ``__<field>``; use in ``java_charsets``.
+
+    Each stage names what the next one uses more than once, so that it is computed once.
+    """
+    fields = set(fields)
+    single = {f: _SINGLE[f] for f in _SINGLE if f in fields}
+    headers = sorted({h for f in _LISTS if f in fields for h in _LISTS[f]})
+    if not fields:
+        return mail
+    staged = mail.withColumn(_LINES, H.header_lines(F.col("head"), [*single.values(), *headers]))
+    staged = staged.withColumns({
+        **{f"__{f}": H.header_value(F.col(_LINES), h) for f, h in single.items()},
+        **{f"__header_{h}": H.header_list(F.col(_LINES), h) for h in headers},
+    })
+    staged = A.with_addresses(staged, [f"__header_{h}" for h in headers])
+    found = {
+        f"__{f}": F.coalesce(*[F.col(f"__header_{h}") for h in _LISTS[f]]) for f in _LISTS if f in fields
+    }
+    if "subject" in fields:
+        found["__subject"] = words.decode_words(F.col("__subject"))
+    if "sent" in fields:
+        found["__sent"] = D.parse_date(F.col("__sent"))
+    return staged.withColumns(found) if found else staged
+
+
+def with_envelope(mail: DataFrame) -> DataFrame:
+    """Add the whole envelope as one struct, for storage next to the message."""
+    with C.java_charsets(mail.sparkSession):
+        staged = parse_envelope(mail, ENVELOPE.names)
+        envelope = F.struct(*[F.col(f"__{f}").alias(f) for f in ENVELOPE.names])
+        return staged.select(*mail.columns, envelope.alias("envelope"))
+
+
 def metadata_column(key: str) -> Column:
-    """Value of one readable key, over stored columns and the staged ones of ``decode_mail``."""
+    """Value of one readable key, over stored columns and envelope fields ``__<field>``."""
     M.readable(key)
     if key == "uid":
         return F.col("uid")
-    if key == "subject":
-        return words.decode_words(F.col("__subject"))
-    if key == "sent":
-        return D.parse_date(F.col("__date"))
     if key == "received":
         return F.col("internal_date")
-    if key == "contentType":
-        return F.coalesce(F.col("__type"), F.lit("text/plain"))
     if key == "sizeInBytes":
         return F.col("size").cast("int")
     if key in M.FLAG_KEYS:
         return F.coalesce(F.array_contains("flags", M.FLAG_KEYS[key]), F.lit(False))
     if key == "headers":
         return H.all_headers(F.col("head"))
-    sender = F.coalesce(F.col("__from"), F.col("__sender"))
-    if key == "from":
-        return sender
-    if key == "fromFirst":
-        return A.first(sender)
-    if key == "to":
-        return F.col("__to")
-    if key == "toFirst":
-        return A.first(F.col("__to"))
-    if key == "cc":
-        return F.col("__cc")
-    if key == "bcc":
-        return F.col("__bcc")
-    if key == "replyTo":
-        return F.coalesce(F.col("__reply"), sender)
-    lists = [F.col("__to"), F.col("__cc"), F.col("__bcc")]
-    none = F.array().cast("array<string>")
-    joined = F.concat(*[F.coalesce(a, none) for a in lists])
-    return F.when(F.coalesce(*lists).isNotNull(), joined)
-
-
-def stored_columns(layout: M.Layout) -> list[str]:
-    """Columns of the archive schema that the declared columns need; the body only for content."""
+    if key == "contentType":
+        return F.coalesce("__type", F.lit("text/plain"))
+    if key in ("fromFirst", "toFirst"):
+        return A.first(F.col(f"__{key.removesuffix('First')}"))
+    if key == "recipients":
+        lists = [F.col("__to"), F.col("__cc"), F.col("__bcc")]
+        none = F.array().cast("array<string>")
+        joined = F.concat(*[F.coalesce(a, none) for a in lists])
+        return F.when(F.coalesce(*lists).isNotNull(), joined)
+    (field,) = _FIELDS_OF[key]
+    return F.col(f"__{field}")
+
+
+def envelope_fields(layout: M.Layout) -> list[str]:
+    """Envelope fields that the declared columns need."""
+    needed = {f for key in layout.keys & _FIELDS_OF.keys() for f in _FIELDS_OF[key]}
+    if layout.content:
+        needed.update(_CONTENT_FIELDS)
+    return [f for f in ENVELOPE.names if f in needed]
+
+
+def stored_columns(layout: M.Layout, has_envelope: bool = False) -> list[str]:
+    """Columns of a message that the declared columns need; the body only for content.
+
+    With a stored envelope the head is needed only for ``headers``.
+    """
     needed = []
     if "uid" in layout.keys:
         needed.append("uid")
@@ -105,7 +154,7 @@ def stored_columns(layout: M.Layout) -> list[str]:
         needed.append("size")
     if layout.keys & M.FLAG_KEYS.keys():
         needed.append("flags")
-    if layout.content or layout.keys & M.HEAD_KEYS:
+    if "headers" in layout.keys or (envelope_fields(layout) and not has_envelope):
         needed.append("head")
     if layout.content:
         needed.append("body")
@@ -122,38 +171,27 @@ def decode_mail(
     content_columns: list[str] | None = None,
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Decode messages in the archive schema into the declared columns, in declared order.
+    """Decode messages into the declared columns, in declared order.
 
-    Only stored columns that a declared column needs are read. ``keep`` names columns of ``mail``
-    to carry along in front.
+    Messages have the columns folder, uid, internal_date, flags and size, head, body (or raw), and
+    maybe a stored envelope, which saves parsing the head. Only columns that a declared column needs
+    are read. ``keep`` names columns of ``mail`` to carry along in front.
     """
     layout = schema if isinstance(schema, M.Layout) else M.Layout.of(schema, aliases, content_columns)
     if format == "raw" and layout.content:
         formats.check_raw(layout.content)
     mail = split_raw(mail)
-    names: set[str] = set()
-    for key in layout.keys & H.HEADERS_OF.keys():
-        names.update(H.HEADERS_OF[key])
-    if layout.content:
-        names.update(H.CONTENT_HEADERS)
-
-    values = {v for key in layout.keys & _VALUES_OF.keys() for v in _VALUES_OF[key]}
-    if layout.content:
-        values |= {"__type", "__encoding"}
-    lists = {a for key in layout.keys & _LISTS_OF.keys() for a in _LISTS_OF[key]}
-
-    # Each stage names what the next one uses more than once, so that it is computed once.
+    has_envelope = "envelope" in mail.columns
+    fields = envelope_fields(layout)
     kept = [F.col(f"`{k}`").alias(f"__keep_{k}") for k in keep]
-    stored = stored_columns(layout)
+    stored = stored_columns(layout, has_envelope)
     with C.java_charsets(mail.sparkSession):
-        staged = mail.select(*kept, *stored)
-        if names:
-            staged = staged.withColumn(_LINES, H.header_lines(F.col("head"), names))
-            staged = staged.withColumns({
-                **{v: H.header_value(F.col(_LINES), _VALUES[v]) for v in sorted(values)},
-                **{a: H.header_list(F.col(_LINES), _LISTS[a]) for a in sorted(lists)},
-            })
-        staged = A.with_addresses(staged, sorted(lists))
+        if has_envelope:
+            staged = mail.select(
+                *kept, *stored, *[F.col("envelope").getField(f).alias(f"__{f}") for f in fields]
+            )
+        else:
+            staged = parse_envelope(mail.select(*kept, *stored), fields)
         if layout.content:
             staged = staged.withColumns({
                 _DATA: B.body_bytes(F.col("body"), F.col("__encoding")),

@@ -298,14 +298,10 @@ def catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def catalog_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same columns of every folder, read by Spark's own Parquet scan."""
-    catalog = _catalog(spark, sf_dir, "conv_mail", "conv_folders")
     archive = X.archive_of(spark, sf_dir, "conv_mail")
     mail = decode_mail(archive.messages(), M.default_schema(), keep=["folder"])
-    known = catalog.folders().withColumnRenamed("name", "folder")
     lists = [_joined(k) for k in ("from", "to", "cc", "bcc")]
-    return mail.join(known, "folder", "left_semi").select(
-        "folder", "uid", "subject", _seconds("sent"), _micros("received"), *lists
-    )
+    return mail.select("folder", "uid", "subject", _seconds("sent"), _micros("received"), *lists)
 
 
 def catalog_hint(spark: SparkSession, sf_dir: str) -> DataFrame:

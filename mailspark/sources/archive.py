@@ -1,7 +1,8 @@
 """Mail archive: two Parquet tables that hold folders of messages.
 
-``messages`` is partitioned by folder and ordered by uid, with head and body in separate columns, so
-that a query on metadata never reads bodies. ``folders`` has the uid validity and the next uid of each
+``messages`` is partitioned by folder and ordered by uid. Head and body are separate columns, and the
+envelope is parsed once, on import, as a mail server does: a query on metadata reads neither head nor
+body, and bounds on uid, dates or envelope fields reach the Parquet scan. ``folders`` has the uid validity and the next uid of each
 folder, one row per append; messages at or past the next uid are not yet visible to a bounded scan.
 """
 
@@ -9,7 +10,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (
     ArrayType,
     BinaryType,
@@ -22,7 +23,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from mailspark.operators.project import split_raw
+from mailspark.operators.project import ENVELOPE, split_raw, with_envelope
 from mailspark.session import settings
 
 MESSAGES = StructType([
@@ -34,6 +35,7 @@ MESSAGES = StructType([
     StructField("head", BinaryType()),
     StructField("body", BinaryType()),
 ])
+STORED = StructType([*MESSAGES, StructField("envelope", ENVELOPE)])
 FOLDERS = StructType([
     StructField("name", StringType()),
     StructField("uidvalidity", LongType()),
@@ -41,6 +43,10 @@ FOLDERS = StructType([
     StructField("holds_messages", BooleanType()),
 ])
 
+# Uids of a folder that are laid out together: no folder is too large for a task, and a range of uids
+# lies in few row groups.
+UID_BUCKET = 100_000
+
 
 def directory_name(folder: str) -> str:
     """Folder name as Spark escapes it in the directory of a partition."""
@@ -58,7 +64,8 @@ class Archive:
 
     def create(self) -> "Archive":
         """Make an archive without folders, unless there is one."""
-        self.spark.createDataFrame([], FOLDERS).write.mode("append").parquet(self.folders_path)
+        for schema, path in ((FOLDERS, self.folders_path), (STORED, self.messages_path)):
+            self.spark.createDataFrame([], schema).write.mode("append").parquet(path)
         return self
 
     def folders(self) -> DataFrame:
@@ -93,15 +100,15 @@ class Archive:
         if folder is None:
             frontier = self.folders().select(F.col("name").alias("folder"), "uid_next")
             visible = self._stored().where(F.col("uid") >= offset).join(frontier, "folder")
-            return visible.where(F.col("uid") < F.col("uid_next")).select(*MESSAGES.names)
+            return visible.where(F.col("uid") < F.col("uid_next")).select(*STORED.names)
         _, uid_next = self.status(folder)
         if offset >= uid_next:
-            return self.spark.createDataFrame([], MESSAGES)
+            return self.spark.createDataFrame([], STORED)
         in_range = (F.col("folder") == folder) & (F.col("uid") >= offset) & (F.col("uid") < uid_next)
-        return self._stored().where(in_range).select(*MESSAGES.names)
+        return self._stored().where(in_range).select(*STORED.names)
 
     def _stored(self) -> DataFrame:
-        return self.spark.read.schema(MESSAGES).parquet(self.messages_path)
+        return self.spark.read.schema(STORED).parquet(self.messages_path)
 
     # -- writing ----------------------------------------------------------------------------------
 
@@ -112,48 +119,46 @@ class Archive:
 
         ``folder`` puts all of them into one folder. Only then may ``uid`` be missing: the messages
         are numbered past the frontier, with gaps; and a uid validity may be given, which must agree
-        with the one the folder has. Rows are range-partitioned by folder and uid so that a folder
-        of any size spreads over tasks; ``clustered`` says they already lie so and saves the shuffle.
+        with the one the folder has. Rows are first brought together by folder and uid range, in
+        partitions of even size; ``clustered`` says they already lie so and saves that shuffle.
         """
         if folder is None and uidvalidity is not None:
             raise ValueError("uidvalidity belongs to one folder: name it")
-        mail = split_raw(mail)
+        uid_next = 1
         if folder is not None:
             uid_next = self._writable_from(folder, uidvalidity)
             mail = mail.withColumn("folder", F.lit(folder))
             if "uid" not in mail.columns:
                 mail = mail.withColumn("uid", F.lit(uid_next) + F.monotonically_increasing_id())
                 clustered = True
-        seen = Observation()
-        mail = mail.select(*[F.col(f.name).cast(f.dataType) for f in MESSAGES]).observe(
-            seen, F.min("uid").alias("uid"), F.min("folder").alias("low"), F.max("folder").alias("high")
-        )
+        mail = with_envelope(split_raw(mail)).select(*[F.col(f.name).cast(f.dataType) for f in STORED])
         if not clustered:
-            mail = mail.repartitionByRange("folder", "uid").sortWithinPartitions("folder", "uid")
+            bucketed = mail.withColumn("__bucket", F.floor(F.col("uid") / UID_BUCKET))
+            mail = bucketed.hint("rebalance", "folder", "__bucket").drop("__bucket")
+            mail = mail.sortWithinPartitions("folder", "uid")
         # timestamps with row group statistics, so that a range of `received` is pushed down
         with settings(self.spark, {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS"}):
             mail.write.mode("append").partitionBy("folder").parquet(self.messages_path)
-        written = seen.get
-        if written["uid"] is not None:
-            self._publish(written["uid"], written["low"], written["high"], uidvalidity)
+        self._publish(folder, uid_next, uidvalidity)
 
     def _writable_from(self, folder: str, uidvalidity: int | None) -> int:
         """First free uid, past messages that an append left behind without publishing them."""
         row = self.folders().where(F.col("name") == folder).first()
-        if row is None:
-            return 1
-        if uidvalidity not in (None, row.uidvalidity):
+        if row is not None and uidvalidity not in (None, row.uidvalidity):
             raise ValueError(
                 f"uidvalidity of folder '{folder}' changed from {row.uidvalidity} to {uidvalidity}: "
                 "its uids name other messages now, import it into a new archive"
             )
-        stray = self._stored().where((F.col("folder") == folder) & (F.col("uid") >= row.uid_next))
-        last = stray.agg(F.max("uid").alias("uid")).first().uid if row.uid_next > 1 else None
-        return row.uid_next if last is None else last + 1
-
-    def _publish(self, uid: int, low: str, high: str, uidvalidity: int | None) -> None:
-        """Move the frontier of the folders just written past their highest uid."""
-        written = self._stored().where(F.col("folder").between(low, high) & (F.col("uid") >= uid))
+        uid_next = 1 if row is None else row.uid_next
+        stray = self._stored().where((F.col("folder") == folder) & (F.col("uid") >= uid_next))
+        last = stray.agg(F.max("uid").alias("uid")).first().uid
+        return uid_next if last is None else last + 1
+
+    def _publish(self, folder: str | None, uid_next: int, uidvalidity: int | None) -> None:
+        """Move the frontiers past the highest uids; reads the uid column only, of one folder its new uids."""
+        written = self._stored().where(F.col("uid") >= uid_next)
+        if folder is not None:
+            written = written.where(F.col("folder") == folder)
         rows = written.groupBy(F.col("folder").alias("name")).agg((F.max("uid") + 1).alias("uid_next"))
         rows = rows.select(
             "name",
@@ -162,3 +167,4 @@ class Archive:
             F.lit(True).alias("holds_messages"),
         )
         rows.coalesce(1).write.mode("append").parquet(self.folders_path)
+

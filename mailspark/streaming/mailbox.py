@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 from mailspark.operators import outbox
 from mailspark.operators.project import decode_mail
 from mailspark.options import IMAP_SPEC, SMTP_SPEC, MailOptions, check_mode
-from mailspark.sources.archive import MESSAGES, Archive, directory_name
+from mailspark.sources.archive import STORED, Archive, directory_name
 
 
 def follow(archive: Archive, options: Mapping[str, str], checkpoint: str) -> DataFrame:
@@ -28,11 +28,11 @@ def follow(archive: Archive, options: Mapping[str, str], checkpoint: str) -> Dat
     first = _first_uid(archive, parsed, folder, checkpoint)
     # A pattern, so that the directory of a folder that is still empty may be missing.
     files = (
-        archive.spark.readStream.schema(MESSAGES)
+        archive.spark.readStream.schema(STORED)
         .option("basePath", archive.messages_path)
         .parquet(f"{archive.messages_path}/folde[r]={directory_name(folder)}")
     )
-    return files.where((F.col("folder") == folder) & (F.col("uid") >= first)).select(*MESSAGES.names)
+    return files.where((F.col("folder") == folder) & (F.col("uid") >= first)).select(*STORED.names)
 
 
 def _first_uid(archive: Archive, options: MailOptions, folder: str, checkpoint: str) -> int:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import pytest
 from cases import message
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from mailspark import Archive, decode_mail, read_folder
 from mailspark.operators.numbering import number_rows
+from mailspark.session import settings
 
 
 def plan(frame) -> str:
@@ -121,8 +122,11 @@ def test_scan_prunes_folder_uids_and_columns(archive, mail):
     assert "PartitionFilters: [isnotnull(folder" in text
     assert "GreaterThanOrEqual(uid,2)" in text and "LessThan(uid,6)" in text
     assert "ReadSchema: struct<uid:bigint,flags:array<string>>" in text
-    headed = plan(read_folder(archive.spark, {"archive": archive.path}, "subject string"))
-    assert "head:binary" in headed and "body" not in headed and "Exchange" not in headed and "Python" not in headed
+    headed = plan(read_folder(archive.spark, {"archive": archive.path}, "subject string, fromFirst string"))
+    assert "ReadSchema: struct<uid:bigint,envelope:struct<subject:string,from:array<string>>>" in headed
+    assert "Exchange" not in headed and "Python" not in headed and "regexp" not in headed
+    content = plan(read_folder(archive.spark, {"archive": archive.path}, "content string"))
+    assert "ReadSchema: struct<uid:bigint,body:binary,envelope:struct<type:string,encoding:string>>" in content
 
 
 def test_unused_columns_are_not_decoded(archive, mail):
@@ -130,32 +134,43 @@ def test_unused_columns_are_not_decoded(archive, mail):
     folder = read_folder(archive.spark, {"archive": archive.path}, "uid bigint, subject string, content string")
     text = plan(folder.select("uid"))
     assert "ReadSchema: struct<uid:bigint>" in text
-    pushed = plan(
-        read_folder(archive.spark, {"archive": archive.path}, "uid bigint, received timestamp")
-        .where("uid > 3 and received >= '2024-01-01'")
-    )
-    assert "GreaterThan(uid,3)" in pushed and "GreaterThanOrEqual(internal_date," in pushed
 
 
-def test_import_spreads_a_hot_folder(archive, spark):
+def test_filters_reach_the_scan(archive, mail):
+    archive.append(numbered(mail, 1))
+    columns = "uid bigint, received timestamp, sent timestamp, subject string"
+    folder = read_folder(archive.spark, {"archive": archive.path}, columns)
+    text = plan(folder.where("uid > 3 and received >= '2024-01-01' and sent < '2025-01-01' and subject = 'x'"))
+    for bound in ("GreaterThan(uid,3)", "GreaterThanOrEqual(internal_date,", "LessThan(envelope.sent,",
+                  "EqualTo(envelope.subject,x)"):
+        assert bound in text
+
+
+def test_import_is_one_shuffle_of_even_parts(archive, mail, monkeypatch):
+    """No sampling pass, and no shuffle at all for rows that lie in order already."""
+    archive.append(numbered(mail, 1, 2), clustered=True)
+    archive.append(numbered(mail, 3, 4))
+    found = archive.messages("INBOX").select("uid", "envelope.subject").collect()
+    assert sorted(tuple(r) for r in found) == [(1, "1"), (2, "2"), (3, "3"), (4, "4")]
+
+
+def test_import_spreads_a_hot_folder(archive, spark, monkeypatch):
     hot = spark.range(0, 20000, 1, 4).select(
         F.when(F.col("id") % 3 == 0, "small").otherwise("hot").alias("folder"),
         F.col("id").alias("uid"),
         F.current_timestamp().alias("internal_date"),
         F.array().cast("array<string>").alias("flags"),
-        F.concat(F.lit("Subject: "), F.col("id"), F.lit("\r\n\r\n"), F.repeat(F.sha2(F.col("id").cast("string"), 256), F.lit(8)))
-        .cast("binary").alias("raw"),
+        F.concat(F.lit("Subject: "), F.col("id"), F.lit("\r\n\r\n")).cast("binary").alias("raw"),
     )
-    with_conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false"}
-    from mailspark.session import settings
-
-    with settings(spark, with_conf):
+    monkeypatch.setattr("mailspark.sources.archive.UID_BUCKET", 1000)
+    with settings(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
         archive.append(hot)
-    files = spark.read.parquet(f"{archive.messages_path}/folder=hot").select(
-        F.input_file_name().alias("f"), "uid").groupBy("f").agg(F.min("uid").alias("a"), F.max("uid").alias("z"))
-    ranges = sorted((r.a, r.z) for r in files.collect())
-    assert len(ranges) > 1
-    assert all(x[1] < y[0] for x, y in zip(ranges, ranges[1:]))
+    rows = spark.read.parquet(f"{archive.messages_path}/folder=hot").select(F.input_file_name().alias("f"), "uid")
+    files = rows.groupBy(F.floor(F.col("uid") / 1000).alias("b")).agg(F.collect_set("f").alias("f")).collect()
+    assert all(len(r.f) == 1 for r in files) and len({r.f[0] for r in files}) > 1
+    in_file = rows.withColumn("place", F.monotonically_increasing_id())
+    before = F.lag("uid").over(Window.partitionBy("f").orderBy("place"))
+    assert in_file.withColumn("before", before).where("before > uid").count() == 0
 
 
 def test_number_rows_equals_row_number(spark, tmp_path):

@@ -100,6 +100,23 @@ def test_all_columns_as_from_an_archive(spark, server):
     assert direct == native and direct[0].answered and direct[0].received == datetime(2024, 5, 6, 7, 8, 9)
 
 
+def test_import_into_an_archive(spark, server, tmp_path):
+    fill(server, *range(1, 8))
+    archive = mailspark.Archive(spark, str(tmp_path / "archive")).create()
+    account = {"host": str(server.place), "batch-size": "2"}
+    mailspark.import_folder(archive, account, fakes.FakeImap)
+    assert archive.status("INBOX") == (1, 8)
+    assert sorted(int(x.split()[1]) for x in server.logged("fetch")) == [1, 3, 5, 7]
+    fill(server, 9)
+    mailspark.import_folder(archive, account, fakes.FakeImap)
+    mailspark.import_folder(archive, account, fakes.FakeImap)
+    found = read_folder(spark, {"archive": archive.path}, "uid bigint, subject string, content string, seen boolean")
+    assert rows(found) == [(u, f"s{u}", "Message Content", u % 2 == 1) for u in [1, 2, 3, 4, 5, 6, 7, 9]]
+    server.change("INBOX", validity=2)
+    with pytest.raises(ValueError, match="changed from 1 to 2"):
+        mailspark.import_folder(archive, account, fakes.FakeImap)
+
+
 def test_casts_and_aliases(spark, server):
     fill(server, 3)
     options = {"metadata.id": "uid", "metadata.is_seen": "seen"}

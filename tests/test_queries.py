@@ -37,7 +37,7 @@ def plan(frame) -> str:
 def test_projection_reads_no_body(spark):
     text = plan(Q.projection_no_content(spark, SF))
     assert "body" not in text and "Exchange" not in text
-    assert "ReadSchema: struct<uid:bigint,flags:array<string>,head:binary>" in text
+    assert "ReadSchema: struct<uid:bigint,flags:array<string>,envelope:struct<subject:string>>" in text
 
 
 @pytest.mark.parametrize("name", ["inbox", "meta_addresses", "content_base64_utf8", "outbox_envelope", "scan_current"])
