@@ -65,34 +65,39 @@ def main() -> None:
     def imported() -> None:
         Archive(spark, new_path(spark, "bench")).create().append(X.event_mail(spark, SF_DIR), clustered=True)
 
-    def decoded(schema: str) -> None:
+    def scanned(schema: str) -> None:
         run(read_folder(spark, {"archive": archive.path}, schema))
 
-    extra: dict[str, Callable[[], None]] = {
+    def parsed(schema: str) -> None:
+        run(decode_mail(archive.messages("INBOX").drop("envelope"), schema))
+
+    actions: dict[str, Callable[[], None]] = {
+        name: lambda query=query: run(query(spark, SF_DIR)) for name, query in QUERIES.items()
+    }
+    actions |= {
         "archive_import": imported,
-        "decode_all_columns_and_content": lambda: decoded(f"{ALL_COLUMNS}, content string"),
-        "decode_metadata_only": lambda: decoded(ALL_COLUMNS),
-        "decode_uid_and_flags": lambda: decoded("uid bigint, seen boolean"),
+        "scan_all_columns_and_content": lambda: scanned(f"{ALL_COLUMNS}, content string"),
+        "scan_metadata_only": lambda: scanned(ALL_COLUMNS),
+        "parse_all_columns_and_content": lambda: parsed(f"{ALL_COLUMNS}, content string"),
+        "parse_metadata_only": lambda: parsed(ALL_COLUMNS),
         "outbox_compose": lambda: run(compose(X.order_outbox(spark, SF_DIR))),
-        "decode_bodies_base64": lambda: run(decode_mail(X.doc_mail(spark, SF_DIR), "content string")),
     }
-    times = {}
-    for name, query in QUERIES.items():
-        times[name] = timed(lambda query=query: run(query(spark, SF_DIR)))
-    for name, action in extra.items():
-        times[name] = timed(action)
+    cold = {name: timed(action) for name, action in actions.items()}
+    warm = {name: timed(action) for name, action in actions.items()}
     messages = archive.messages("INBOX").count()
     print(json.dumps({
-        "metric": "total time of the headline queries, one cold run each",
-        "value": round(sum(times.values()), 3),
+        "metric": "total time of the headline queries, second run of each",
+        "value": round(sum(warm.values()), 3),
         "unit": "sec",
-        "queries": times,
+        "queries": warm,
         "sf": SF_DIR.rstrip("/").rsplit("sf", 1)[-1],
         "cpus": int(CPUS),
+        "first_runs": cold,
         "setup": setup,
         "messages_per_sec": {
-            "decode_all_columns_and_content": round(messages / times["decode_all_columns_and_content"]),
-            "decode_metadata_only": round(messages / times["decode_metadata_only"]),
+            name: round(messages / warm[name])
+            for name in ("archive_import", "scan_all_columns_and_content", "scan_metadata_only",
+                         "parse_all_columns_and_content", "parse_metadata_only")
         },
     }))
     spark.stop()

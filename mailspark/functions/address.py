@@ -106,37 +106,41 @@ def split_addresses(header: Column) -> Column:
     return F.filter(entries, lambda e: e != "")
 
 
-def plain_list(header: Column) -> Column:
-    """Header text -> array of its entries when all names are plain or needlessly quoted, else null."""
-    plain = F.regexp_replace(_strip(header), P.NEEDLESS_QUOTES, "$1$2")
-    entries = F.regexp_extract_all(plain, F.lit(P.CANONICAL_ENTRY), F.lit(0))
-    return F.when(F.regexp_like(plain, F.lit(P.CANONICAL_LIST)), entries)
+def clean_list(header: Column) -> Column:
+    """Header text without outer blanks and without quotes that a name does not need."""
+    text = _strip(header)
+    unquoted = F.regexp_replace(text, P.NEEDLESS_QUOTES, "$1$2")
+    return F.when(F.contains(text, F.lit('"')), unquoted).otherwise(text)
 
 
-def parsed_list(header: Column) -> Column:
-    """Header text -> array of address texts, by parsing each entry; null when there is none."""
-    parsed = encode_addresses(parse_addresses(split_addresses(header)))
-    return F.when(F.regexp_like(header, F.lit(r"[^\s,;]")), parsed)
+def list_entries(text: Column) -> Column:
+    """Clean header text -> array of address texts; null when there is none.
+
+    A list of plain names is split as it is; others are parsed entry by entry.
+    """
+    entries = F.regexp_extract_all(text, F.lit(P.CANONICAL_ENTRY), F.lit(0))
+    parsed = encode_addresses(parse_addresses(split_addresses(text)))
+    return F.when(F.regexp_like(text, F.lit(P.CANONICAL_LIST)), entries).when(
+        F.regexp_like(text, F.lit(r"[^\s,;]")), parsed
+    )
 
 
 def addresses(header: Column) -> Column:
     """Header text -> array of address texts; null when null or without any. Encoded words are kept."""
-    return F.coalesce(plain_list(header), parsed_list(header))
+    return list_entries(clean_list(header))
 
 
 def with_addresses(frame: DataFrame, headers: Sequence[str]) -> DataFrame:
     """Replace columns of header text by arrays of address texts.
 
-    The parser stands in the plan once, over an array of the lists that are not plain.
+    All go through one array, so that the grammar stands in the plan once and not in one generated
+    method that is too long to be compiled.
     """
     if not headers:
         return frame
-    frame = frame.withColumns({f"{h}_plain": plain_list(F.col(h)) for h in headers})
-    hard = F.array(*[F.when(F.col(f"{h}_plain").isNull(), F.col(h)) for h in headers])
-    frame = frame.withColumn("__parsed", F.transform(hard, parsed_list))
-    return frame.withColumns(
-        {h: F.coalesce(f"{h}_plain", F.get("__parsed", F.lit(i))) for i, h in enumerate(headers)}
-    )
+    cleaned = F.transform(F.array(*headers), clean_list)
+    frame = frame.withColumn("__addresses", F.transform(cleaned, list_entries))
+    return frame.withColumns({h: F.get("__addresses", F.lit(i)) for i, h in enumerate(headers)})
 
 
 def decode_address(text: Column, strict: bool = True) -> Column:

@@ -6,6 +6,9 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, functions as F
 
+_BLANKS = " \t"
+
+
 def head_text(head: Column) -> Column:
     """The header block as text, each line led by a newline: UTF-8 if it is valid, else Latin-1."""
     as_utf8 = head.cast("string")
@@ -19,30 +22,33 @@ def unfold(text: Column) -> Column:
     return F.replace(F.replace(lf, F.lit("\n "), F.lit(" ")), F.lit("\n\t"), F.lit("\t"))
 
 
-def header_lines(head: Column, names: Iterable[str]) -> Column:
-    """Only the named headers, unfolded, one per line.
+def named_headers(head: Column, names: Iterable[str]) -> Column:
+    """The named headers of a head as array of struct(key, value), keys in lower case, in order.
 
-    One pass over a head of some kilobytes leaves a few hundred bytes, which all lookups then search.
+    One pass over a head of some kilobytes; all lookups then look at these few entries only.
     """
     wanted = "|".join(sorted(set(names)))
-    pattern = rf"(?i)\n((?:{wanted})[ \t]*+:[^\n]*+(?:\n[ \t][^\n]*+)*+)"
-    found = F.regexp_extract_all(head_text(head), F.lit(pattern), F.lit(1))
-    return F.concat(F.lit("\n"), unfold(F.concat(F.array_join(found, "\n"), F.lit("\n"))))
+    pattern = rf"(?i)\n((?:{wanted})[ \t]*+:[^\r\n]*+(?:\r?\n[ \t][^\r\n]*+)*+)"
 
+    def entry(line: Column) -> Column:
+        colon = F.instr(line, ":")
+        return F.struct(
+            F.lower(F.rtrim(F.left(line, colon - 1), F.lit(_BLANKS))).alias("key"),
+            F.ltrim(unfold(F.substr(line, colon + 1)), F.lit(_BLANKS)).alias("value"),
+        )
 
-def header_values(lines: Column, name: str) -> Column:
-    """All values of one header, in order; empty when the header is absent."""
-    return F.regexp_extract_all(lines, F.lit(rf"(?i)\n{name}[ \t]*+:[ \t]*+([^\n]*+)"), F.lit(1))
+    return F.transform(F.regexp_extract_all(head_text(head), F.lit(pattern), F.lit(1)), entry)
 
 
-def header_value(lines: Column, name: str) -> Column:
+def header_value(headers: Column, name: str) -> Column:
     """First value of one header, or null."""
-    return F.get(header_values(lines, name), F.lit(0))
+    return F.get(F.filter(headers, lambda h: h.getField("key") == name), F.lit(0)).getField("value")
 
 
-def header_list(lines: Column, name: str) -> Column:
-    """All values of one header as one comma-separated list, or null when absent or blank."""
-    return F.nullif(F.array_join(header_values(lines, name), ","), F.lit(""))
+def header_list(headers: Column, name: str) -> Column:
+    """All values of one header as one comma-separated list, or null when absent."""
+    found = F.filter(headers, lambda h: h.getField("key") == name)
+    return F.when(F.size(found) > 0, F.array_join(found.getField("value"), ","))
 
 
 def encode_header(line: Column) -> Column:

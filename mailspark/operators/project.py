@@ -53,7 +53,7 @@ _LISTS = {
     "reply_to": ["reply-to", "from", "sender"],
 }
 
-_LINES, _CONTENT, _DATA, _CHARSET = "__lines", "__content", "__data", "__charset"
+_HEADERS, _CONTENT, _DATA, _CHARSET = "__headers", "__content", "__data", "__charset"
 
 
 def split_raw(mail: DataFrame) -> DataFrame:
@@ -82,10 +82,10 @@ def parse_envelope(mail: DataFrame, fields: Iterable[str]) -> DataFrame:
     headers = sorted({h for f in _LISTS if f in fields for h in _LISTS[f]})
     if not fields:
         return mail
-    staged = mail.withColumn(_LINES, H.header_lines(F.col("head"), [*single.values(), *headers]))
+    staged = mail.withColumn(_HEADERS, H.named_headers(F.col("head"), [*single.values(), *headers]))
     staged = staged.withColumns({
-        **{f"__{f}": H.header_value(F.col(_LINES), h) for f, h in single.items()},
-        **{f"__header_{h}": H.header_list(F.col(_LINES), h) for h in headers},
+        **{f"__{f}": H.header_value(F.col(_HEADERS), h) for f, h in single.items()},
+        **{f"__header_{h}": H.header_list(F.col(_HEADERS), h) for h in headers},
     })
     staged = A.with_addresses(staged, [f"__header_{h}" for h in headers])
     found = {

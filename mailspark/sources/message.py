@@ -39,7 +39,7 @@ def head_text(head: bytes) -> str:
 
 
 def values(text: str, name: str) -> list[str]:
-    return re.findall(rf"(?i)\n{name}[ \t]*+:[ \t]*+([^\n]*+)", text)
+    return re.findall(rf"(?i)\n{name}[ \t]*+:[ \t]*+([^\r\n]*+)", text)
 
 
 def value(text: str, name: str) -> str | None:
