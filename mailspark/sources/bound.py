@@ -11,7 +11,8 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping
 
-from pyspark.sql import SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import SparkSession, functions as F
 from pyspark.sql.datasource import DataSource
 from pyspark.sql.types import StructType
 
@@ -48,17 +49,34 @@ def create_table(
     """``CREATE TABLE name (schema) USING source`` with options, for ``imap`` and ``smtp``.
 
     Bad options are refused here. An existing table keeps its definition unless ``replace`` is set, and
-    gets the options either way.
+    gets the options either way. Only a table made here is replaced, never one that holds data.
     """
     from mailspark.session import register, sources
 
     register(spark)
     base = sources()[source] if isinstance(source, str) else source
-    provider = f"{base.name()}_" + re.sub(r"\W", "_", name.replace("`", "").lower())
+    provider = provider_of(base, name)
     bound = bound_source(base, provider, options)
     bound({})
     spark.dataSource.register(bound)
     columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in M.as_schema(schema))
-    if replace:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if replace and spark.catalog.tableExists(name):
+        if not reads_from(spark, name, provider):
+            raise ValueError(f"Table {name} exists and is no table of '{base.name()}'")
+        spark.sql(f"DROP TABLE {name}")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {provider}")
+
+
+def provider_of(source: type[DataSource], table: str) -> str:
+    """Name of the data source of one table."""
+    return f"{source.name()}_" + re.sub(r"\W", "_", table.replace("`", "").lower())
+
+
+def reads_from(spark: SparkSession, table: str, provider: str) -> bool:
+    """Whether a stored table is one over this data source; false when its source is unknown here."""
+    try:
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+    except AnalysisException:
+        return False
+    # Spark describes a table of a Python data source by the name of the source.
+    return rows.where(F.col("col_name").isin("Name", "Provider") & (F.col("data_type") == provider)).count() > 0

@@ -76,6 +76,18 @@ def test_sync(spark, server):
     assert [r.tableName for r in spark.sql("SHOW TABLES IN synced").collect()] == ["inbox"]
 
 
+def test_sync_leaves_other_tables_alone(spark, server):
+    spark.sql("CREATE DATABASE IF NOT EXISTS shared")
+    spark.sql("CREATE TABLE shared.mine USING parquet AS SELECT 1 AS x")
+    found = catalog(spark, server, "shared")
+    found.sync()
+    assert found.sync() == {"INBOX": "shared.inbox"} and spark.table("shared.mine").first().x == 1
+    server.create("mine")
+    with pytest.raises(ValueError, match="shared.mine exists"):
+        found.sync()
+    assert spark.table("shared.mine").first().x == 1
+
+
 def test_query_options_override(spark, server):
     for i in range(6):
         server.deliver("INBOX", message(f"Subject: {i}"))
