@@ -1,3 +1,33 @@
 """SQL whose rows the queries must give, where SQL can express them."""
 
-ORACLES: dict[str, str] = {}
+_SPACED = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+ORACLES: dict[str, str] = {
+    "op7_exact": f"""
+        SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+               doc_id = min(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+        FROM (SELECT doc_id, {_SPACED} AS t FROM documents)
+        WINDOW same AS (PARTITION BY t)""",
+    "op10_decontaminate": f"""
+        WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+        b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+        g AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS gram
+              FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i
+                    FROM (SELECT *, least(len(w), 10) AS k FROM b WHERE len(w) > 0))),
+        h AS (SELECT * FROM (
+                SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS gram
+                FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i
+                      FROM d, (SELECT DISTINCT k FROM g) WHERE len(w) >= k))
+              WHERE (k, gram) IN (SELECT (k, gram) FROM g)),
+        c AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM h) GROUP BY 1),
+        n AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+              FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM h JOIN g USING (k, gram)) GROUP BY 1)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(c.n, 0)::BIGINT AS n_hit,
+               coalesce(n.n, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+               coalesce(c.n, 0) > 0 AS contaminated
+        FROM d LEFT JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)""",
+}

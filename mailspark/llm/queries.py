@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mailspark.llm import langid, quality
+from mailspark.llm import decontam, exact, langid, quality, simhash
 from mailspark.llm.common import table
 
 
@@ -18,7 +18,25 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.group(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+def op7_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    found = exact.deduplicate(documents, exact.older_half(documents))
+    return found.withColumnRenamed("digest", "text_sha256")
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, items = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return decontam.contamination(documents, items, ["doc_id"]).drop("spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op5_language": op5_language,
+    "op6_simhash": op6_simhash,
+    "op7_exact": op7_exact,
+    "op10_decontaminate": op10_decontaminate,
 }
