@@ -12,6 +12,13 @@ ORACLES: dict[str, str] = {
                doc_id = min(doc_id) OVER same AS kept, sha256(t) AS text_sha256
         FROM (SELECT doc_id, {_SPACED} AS t FROM documents)
         WINDOW same AS (PARTITION BY t)""",
+    "op8_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS t, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
+        q AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY t) END AS keep FROM p)
+        SELECT page_id, n::BIGINT AS payload_bytes, sha1(t) AS payload_digest,
+               CASE WHEN keep <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN keep <> page_id THEN keep END AS refers_to
+        FROM q""",
     "op10_decontaminate": f"""
         WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
         b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from mailspark.llm import decontam, exact, langid, quality, simhash
+from mailspark.llm import decontam, exact, langid, packing, quality, simhash, warc
 from mailspark.llm.common import table
 
 
@@ -14,6 +15,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -28,6 +33,10 @@ def op7_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("digest", "text_sha256")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(table(spark, sf_dir, "pages"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, items = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
     return decontam.contamination(documents, items, ["doc_id"]).drop("spans")
@@ -35,8 +44,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_packing": op2_packing,
     "op5_language": op5_language,
     "op6_simhash": op6_simhash,
     "op7_exact": op7_exact,
+    "op8_warc": op8_warc,
     "op10_decontaminate": op10_decontaminate,
 }
