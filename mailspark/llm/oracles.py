@@ -6,7 +6,50 @@ _WORDS = (
     r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 )
 
+
+def _urls(rounds: int, damping: float, threshold: float) -> str:
+    """Ranks step by step, each step a table of its own."""
+    low = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+    link = r"""(?:href|src|HREF|SRC)\s*=\s*["'']?\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#"''\s<>]+)"""
+    steps = "".join(
+        f""",
+        r{i + 1} AS (SELECT kind, host, sum(s) AS s FROM (
+            SELECT kind, host, s FROM r0 UNION ALL
+            SELECT kind, b AS host, s * w AS s FROM r{i} JOIN ways USING (kind, host)) GROUP BY ALL)"""
+        for i in range(rounds)
+    )
+    return f"""
+        WITH p AS (SELECT page_id, html,
+            translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), {low}) AS host,
+            regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+        q AS (SELECT *, CASE
+            WHEN ('.' || host) LIKE '%.example.net' AND path LIKE '/en/%' THEN 'example.net/en/'
+            WHEN ('.' || host) LIKE '%.example.com' AND path LIKE '/de/%' THEN 'example.com/de/'
+            WHEN ('.' || host) LIKE '%.org' AND path LIKE '/fr/%' THEN 'org/fr/'
+            WHEN ('.' || host) LIKE '%.net' AND path LIKE '/%' THEN 'net/' END AS rule FROM p),
+        v AS (SELECT *, CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow'
+                             WHEN rule IS NOT NULL THEN 'block' END AS verdict FROM q),
+        e AS (SELECT a, b, count(*) AS n FROM (
+                SELECT host AS a, translate(regexp_replace(b, '^.*@|:\d*$', '', 'g'), {low}) AS b
+                FROM (SELECT host, unnest(regexp_extract_all(html, '{link}', 1)) AS b FROM v))
+              WHERE a <> '' AND b <> '' AND a <> b GROUP BY ALL),
+        ways AS (SELECT kind, host, b, n / sum(n) OVER (PARTITION BY kind, host) * {damping} AS w
+                 FROM (SELECT 't' AS kind, a AS host, b, n FROM e UNION ALL SELECT 'd', b, a, n FROM e)),
+        seeds AS (SELECT host, avg((coalesce(verdict, '') = 'allow')::INT) AS allowed,
+                         avg((coalesce(verdict, '') = 'block')::INT) AS blocked FROM v WHERE host <> '' GROUP BY 1),
+        r0 AS (SELECT 't' AS kind, host, allowed * (1 - {damping}) AS s FROM seeds WHERE allowed > 0 UNION ALL
+               SELECT 'd', host, blocked * (1 - {damping}) FROM seeds WHERE blocked > 0){steps},
+        bad AS (SELECT host FROM (
+                    SELECT host, coalesce(sum(s) FILTER (kind = 't'), 0) AS t, coalesce(sum(s) FILTER (kind = 'd'), 0) AS d
+                    FROM r{rounds} GROUP BY 1)
+                WHERE d / (1 - {damping}) >= {threshold} AND d > t)
+        SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN host IN (SELECT host FROM bad) THEN 'block'
+                                                                 ELSE 'allow' END) AS verdict
+        FROM v"""
+
+
 ORACLES: dict[str, str] = {
+    "op3_urls": _urls(rounds=8, damping=0.85, threshold=0.5),
     "op7_exact": f"""
         SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = min(doc_id) OVER same AS kept, sha256(t) AS text_sha256

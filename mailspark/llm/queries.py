@@ -7,9 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from mailspark.llm import decontam, exact, langid, packing, quality, simhash, warc
+from mailspark.llm import decontam, exact, langid, packing, quality, simhash, urlfilter, warc
 from mailspark.llm.common import table
 
+#: Fixed values.
+URL_RULES = (
+    urlfilter.Rule("block", "net", "/"),
+    urlfilter.Rule("allow", "example.net", "/en/"),
+    urlfilter.Rule("block", "example.com", "/de/"),
+    urlfilter.Rule("allow", "org", "/fr/"),
+)
+
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -19,6 +27,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -45,6 +57,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_packing": op2_packing,
+    "op3_urls": op3_urls,
     "op5_language": op5_language,
     "op6_simhash": op6_simhash,
     "op7_exact": op7_exact,
