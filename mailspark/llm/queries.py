@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from mailspark.llm import decontam, exact, langid, packing, quality, simhash, urlfilter, warc
+from mailspark.llm import brown, decontam, exact, langid, packing, quality, simhash, urlfilter, warc
 from mailspark.llm.common import table
 
 #: Fixed values.
@@ -49,6 +49,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages"))
 
 
+def op9_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.evaluate(table(spark, sf_dir, "documents"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, items = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
     return decontam.contamination(documents, items, ["doc_id"]).drop("spans")
@@ -62,5 +66,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_simhash": op6_simhash,
     "op7_exact": op7_exact,
     "op8_warc": op8_warc,
+    "op9_brown": op9_brown,
     "op10_decontaminate": op10_decontaminate,
 }
