@@ -128,29 +128,31 @@ def train(
     return LanguageModel(languages, np.log(known / known.sum()) if languages else known, matrix, bits, orders)
 
 
-def predict(documents: DataFrame, model: LanguageModel, keep: list[str], text: str = "text") -> DataFrame:
-    """The columns ``keep`` with ``lang_pred`` and ``score``, the posterior probability of that language.
+def predict(
+    documents: DataFrame, model: LanguageModel, keep: list[str], text: str = "text", names: tuple[str, str] = ("lang_pred", "score")
+) -> DataFrame:
+    """The columns ``keep`` with the predicted language and its posterior probability, called ``names``.
 
     A text that is null or has no letter is ``und`` with score 0, as is any text under a model of no language. The
-    model goes to the tasks as a broadcast of (slots x languages) numbers. ``lang_pred`` and ``score`` must not be in
-    ``keep``; other columns of the input may have any name.
+    model goes to the tasks as a broadcast of (slots x languages) numbers. ``names`` must not be in ``keep``; other
+    columns of the input may have any name.
     """
     spark = documents.sparkSession
     prepare(spark)
     shared = spark.sparkContext.broadcast(model)
-    rows = documents.select(*[F.col(c) for c in keep], F.col(text).alias("__text"))
+    rows = documents.select(*[F.col(c) for c in dict.fromkeys([*keep, text])])
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.select(*keep).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in slices(batches, "__text", 1 << 20):
-            best, score, lettered = model.score([t or "" for t in batch.column("__text").to_pylist()])
+        for batch in slices(batches, text, 1 << 20):
+            best, score, lettered = model.score([t or "" for t in batch.column(text).to_pylist()])
             known = lettered & bool(model.languages)
-            names = [model.languages[i] if ok else UNDETERMINED for i, ok in zip(best, known)]
-            out = [batch.column(c) for c in keep] + [pa.array(names, pa.string()), pa.array(np.where(known, score, 0.0))]
-            yield pa.RecordBatch.from_arrays(out, [*keep, "lang_pred", "score"])
+            found = [model.languages[i] if ok else UNDETERMINED for i, ok in zip(best, known)]
+            out = [batch.column(c) for c in keep] + [pa.array(found, pa.string()), pa.array(np.where(known, score, 0.0))]
+            yield pa.RecordBatch.from_arrays(out, [*keep, *names])
 
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.select(*keep).schema)
-    return rows.mapInArrow(run, f"{types}, lang_pred string, score double")
+    return rows.mapInArrow(run, f"{types}, {names[0]} string, {names[1]} double")
 
 
 def identify(documents: DataFrame, folds: int = 5, key: str = "doc_id") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from mailspark.llm import brown, decontam, exact, langid, packing, quality, simhash, urlfilter, warc
+from mailspark.llm import brown, decontam, exact, langid, packing, quality, simhash, suffix, urlfilter, warc
 from mailspark.llm.common import table
 
 #: Fixed values.
@@ -31,6 +31,10 @@ def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op4_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.deduplicate(table(spark, sf_dir, "documents"))
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_packing": op2_packing,
     "op3_urls": op3_urls,
+    "op4_suffix": op4_suffix,
     "op5_language": op5_language,
     "op6_simhash": op6_simhash,
     "op7_exact": op7_exact,
