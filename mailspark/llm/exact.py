@@ -187,6 +187,17 @@ def deduplicate(
     )
 
 
+def keep_first(documents: DataFrame, older: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``documents`` that stay, with all their columns; of rows that repeat key and text, one."""
+    judged = deduplicate(documents, older, key, text).where("kept").groupBy("digest").agg(
+        F.min(key).alias("__id"), F.count("*").alias("__n"))
+    judged = judged.withColumnRenamed("digest", "__digest")
+    rows = documents.withColumn("__own", sha256(normalised(F.col(text))))
+    rows = rows.join(judged, (F.col("__own") == F.col("__digest")) & F.col(key).eqNullSafe(F.col("__id")))
+    once = rows.where("__n > 1").dropDuplicates(["__own"])
+    return rows.where("__n = 1").union(once).select(*documents.columns)
+
+
 def older_half(documents: DataFrame, key: str = "doc_id") -> Column:
     """True for the lower half of the range of a numeric key: what a first load would have stored."""
     low, high = documents.agg(F.min(key), F.max(key)).first()
