@@ -50,16 +50,20 @@ def features(column: pa.Array, bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass(frozen=True)
 class Settings:
-    """Of the hashing and of the updates; ``max_rows`` bounds the labelled rows that are learned from."""
+    """Of the hashing and of the updates; ``max_rows`` bounds the labelled rows that are learned from.
+
+    A shard runs through its rows ``epochs`` times in each of the ``rounds``.
+    """
 
     bits: int = 18
     alpha: float = 0.1
     beta: float = 1.0
     l1: float = 0.02
     l2: float = 0.5
-    rounds: int = 4
+    rounds: int = 2
+    epochs: int = 2
     shards: int = 8
-    max_rows: int = 20_000
+    max_rows: int = 8_000
 
 
 def weights(z: np.ndarray, n: np.ndarray, s: Settings) -> np.ndarray:
@@ -109,11 +113,11 @@ def train(
             slots, offsets = features(batch.column("t"), s.bits)
             found = list(vectors(slots, offsets, s.bits))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("h"), batch.column("y"), pa.array([f for f, _ in found], pa.list_(pa.int64())),
-                 pa.array([v for _, v in found], pa.list_(pa.float64()))], ["h", "y", "slots", "counts"])
+                [batch.column("h"), batch.column("y"), pa.array([f for f, _ in found], pa.list_(pa.int32())),
+                 pa.array([v for _, v in found], pa.list_(pa.float32()))], ["h", "y", "slots", "counts"])
 
     hashed = rows.select(F.xxhash64(F.lit("order"), F.col("k").cast("string"), "t").alias("h"), "y", "t")
-    hashed = hashed.mapInArrow(to_slots, "h long, y double, slots array<long>, counts array<double>")
+    hashed = hashed.mapInArrow(to_slots, "h long, y double, slots array<int>, counts array<float>")
     hashed = stage(hashed.repartition(s.shards, F.pmod("h", F.lit(s.shards))).sortWithinPartitions("h"), "quality")
     hashed = hashed.withColumn("shard", F.pmod("h", F.lit(s.shards)).cast("int"))
     z, n = np.zeros((1 << s.bits) + 1), np.zeros((1 << s.bits) + 1)
@@ -123,11 +127,12 @@ def train(
         def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             z0, n0 = state.value
             z, n = z0.copy(), n0.copy()
-            for batch in batches:
+            rows = list(batches)  # of max_rows / shards rows
+            for batch in rows * s.epochs:
                 y = batch.column("y").to_numpy()
                 slots, values = batch.column("slots"), batch.column("counts")
                 at = slots.offsets.to_numpy()
-                flat_s, flat_v = slots.values.to_numpy(), values.values.to_numpy()
+                flat_s, flat_v = slots.values.to_numpy(), values.values.to_numpy().astype(np.float64)
                 for i in range(len(y)):
                     update(z, n, flat_s[at[i] : at[i + 1]], flat_v[at[i] : at[i + 1]], y[i], s)
             moved = np.flatnonzero((z != z0) | (n != n0))
