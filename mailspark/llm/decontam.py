@@ -80,11 +80,11 @@ def contamination(
     windows only screen: every hit is compared as text with the windows. Null and empty texts have no words and no
     hits; items with null keys count as one item without a name in the list; repeated rows are judged each.
     """
-    rows = documents.select(*keep, F.monotonically_increasing_id().alias("row"), words(F.col(text)).alias("w"))
+    rows = documents.select(*keep, F.monotonically_increasing_id().alias("__row"), words(F.col(text)).alias("__words"))
     rows = stage(rows, "words")  # numbers of rows stay the same from here on
     grams = stage(windows(items, n, key, text), "windows")
     lengths = sorted(r["len"] for r in grams.select("len").distinct().collect())
-    found = stage(_scan(rows.select("row", "w"), grams, lengths, broadcast_windows), "hits")
+    found = stage(_scan(rows.select(F.col("__row").alias("row"), F.col("__words").alias("w")), grams, lengths, broadcast_windows), "hits")
     verified = found.join(grams.select("gram", "len").distinct(), ["gram", "len"], "left_semi")
     places = verified.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("i", "len"))).alias("hits"))
     runs = F.aggregate(
@@ -103,9 +103,9 @@ def contamination(
     places = places.select("row", spans.alias("spans"))
     named = verified.select("row", "gram", "len").distinct().join(grams, ["gram", "len"]).select("row", "item").distinct()
     named = named.groupBy("row").agg(F.count("*").alias("n_items"), F.array_join(F.array_sort(F.collect_set("item")), ",").alias("items"))
-    judged = places.join(named, "row").withColumnRenamed("row", "__row")
-    out = rows.select(*keep, "row", F.size("w").cast("long").alias("n_words"))
-    out = out.join(judged, out["row"] == judged["__row"], "left")
+    judged = places.join(named, "row").withColumnRenamed("row", "__of")
+    out = rows.select(*keep, "__row", F.size("__words").cast("long").alias("n_words"))
+    out = out.join(judged, F.col("__row") == F.col("__of"), "left")
     hit = F.aggregate(F.coalesce("spans", F.array().cast("array<struct<start:int,len:int>>")), F.lit(0).cast("long"), lambda a, s: a + s["len"])
     return out.select(
         *keep, "n_words", hit.alias("n_hit"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),

@@ -159,7 +159,8 @@ def deduplicate(
     """
     words = normalised(F.col(text))
     rows = documents.select(F.col(key).alias("id"), words.alias("norm"), F.coalesce(older, F.lit(False)).alias("older"))
-    marked = stage(rows.select("id", "older", digest(F.col("norm")).alias("digest")), "documents")
+    marked = rows.select("id", "older", digest(F.col("norm")).alias("digest"), F.xxhash64("norm").alias("check"))
+    marked = stage(marked, "documents")
     batch = stage(groups(marked.where(~F.col("older"))), "batch")
     snap = snapshot(groups(marked.where("older")), batch.count(), keys_per_bucket)
     screened = stage(screen(batch, snap), "screened")
@@ -176,11 +177,15 @@ def deduplicate(
     other = texts.join(stays, "digest").where("norm <> kept_norm").select("id", "digest", "norm")
     other = stage(other, "other")  # of one digest, but other bytes
     apart = other.groupBy("digest", "norm").agg(F.min("id").alias("own_first"), F.count("*").alias("own_n"))
-    apart = other.join(apart, ["digest", "norm"]).select("id", "digest", "own_first", "own_n").distinct()
+    apart = other.join(apart, ["digest", "norm"]).select(
+        F.col("id").alias("own_id"), F.col("digest").alias("own_digest"), F.xxhash64("norm").alias("own_check"), "own_first", "own_n"
+    ).distinct()
     fewer = other.groupBy("digest").agg(F.count("*").alias("less"))
     sized = kept.join(fewer, "digest", "left").select("digest", "first", (F.col("n") - F.coalesce("less", F.lit(0))).alias("n"))
-    out = marked.select("id", "digest").join(sized, "digest").join(apart, ["id", "digest"], "left")
-    first, n = F.coalesce("own_first", "first"), F.coalesce("own_n", "n")
+    mine = (F.col("digest") == F.col("own_digest")) & (F.col("check") == F.col("own_check")) & F.col("id").eqNullSafe(F.col("own_id"))
+    out = marked.select("id", "digest", "check").join(sized, "digest").join(apart, mine, "left")
+    first = F.when(F.col("own_n").isNotNull(), F.col("own_first")).otherwise(F.col("first"))
+    n = F.coalesce("own_n", "n")
     return out.select(
         F.col("id").alias(key), first.alias("keep_id"), n.alias("group_size"),
         F.col("id").eqNullSafe(first).alias("kept"), "digest",

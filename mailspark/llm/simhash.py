@@ -44,7 +44,7 @@ def fingerprint(text: str | None, words: int = 4) -> list[int]:
 
 
 def fingerprints(documents: DataFrame, keep: list[str], text: str = "text", words: int = 4) -> DataFrame:
-    """The columns ``keep`` with ``fp``, the 64-bit fingerprint of each whole text as a signed long.
+    """The columns ``keep`` with ``__fp``, the 64-bit fingerprint of each whole text as a signed long.
 
     A null, empty or blank text has fingerprint 0.
     """
@@ -60,9 +60,9 @@ def fingerprints(documents: DataFrame, keep: list[str], text: str = "text", word
                     bits = np.unpackbits(np.array(hashes, ">u8").view(np.uint8)).reshape(-1, 64)
                     ones = bits.sum(axis=0, dtype=np.int64)
                     out[i] = np.packbits(2 * ones > len(hashes)).view(">u8")[0]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(out.view(np.int64))], [*keep, "fp"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(out.view(np.int64))], [*keep, "__fp"])
 
-    return rows.mapInArrow(run, f"{types}, fp long")
+    return rows.mapInArrow(run, f"{types}, __fp long")
 
 
 def shared_bytes(differ: np.ndarray) -> np.ndarray:
@@ -196,10 +196,10 @@ def group(documents: DataFrame, keep: list[str], key: str = "doc_id", most: int
     but give no ``component_id``; it is null if the whole component has none.
     """
     marked = stage(fingerprints(documents, list(dict.fromkeys([*keep, key]))), "fingerprints")
-    nodes = stage(marked.groupBy("fp").agg(F.min(key).alias("least")), "nodes")
+    nodes = stage(marked.groupBy(F.col("__fp").alias("fp")).agg(F.min(key).alias("least")), "nodes")
     roots = components(links(nodes.select("fp"), most))
     placed = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = stage(placed.join(least, "root").select(F.col("fp").alias("__fp"), "component_id"), "named")
-    out = marked.join(named, marked["fp"] == named["__fp"])
-    return out.select(*keep, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    named = stage(placed.join(least, "root").select(F.col("fp").alias("__of"), "component_id"), "named")
+    out = marked.join(named, F.col("__fp") == F.col("__of"))
+    return out.select(*keep, F.lpad(F.lower(F.hex("__fp")), 16, "0").alias("fingerprint"), "component_id")

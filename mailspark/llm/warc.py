@@ -109,6 +109,8 @@ def _parse(data: bytes, at: int) -> Record:
         if not colon:
             raise _Bad("bad header line")
         headers[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
+    if not headers.get("warc-type") or not re.fullmatch("<[^<>]+>", headers.get("warc-record-id", "")):
+        raise _Bad("no type or record id")
     length = headers.get("content-length", "")
     if not re.fullmatch(r"\d{1,18}", length):
         raise _Bad("no content length")
@@ -182,12 +184,13 @@ def write(
     """
     spark = pages.sparkSession
     prepare(spark)
+    place, folder = fs.FileSystem.from_uri(path)
+    place.create_dir(folder, recursive=True)
     rows = mark_revisits(pages.select(F.col(key).alias("k"), F.col(uri).alias("u"), F.col(payload).alias("p")), "k", F.col("p"), smallest)
     rows = rows.select(F.col("k").cast("string"), F.col("u").cast("string"), F.col("__refers").cast("string").alias("r"), F.col("__type").alias("t"), F.col("__payload").alias("p"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, folder = fs.FileSystem.from_uri(path)
-        place.create_dir(folder, recursive=True)
         held, size, count = [], 0, 0
 
         def close() -> pa.RecordBatch:

@@ -1,0 +1,411 @@
+"""Operators on documents against brute force, on rows with every oddity."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from llm_cases import DOCUMENTS, PASSAGE, TEXTS, empty, low, prose, rows, spaced, tokens
+from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
+
+from mailspark.llm import brown, decontam, exact, graph, langid, packing, quality, simhash, suffix
+
+
+def source_rows(docs):
+    return [(r.doc_id, r.text) for r in docs.collect()]
+
+
+# -- exact ------------------------------------------------------------------------------------------
+
+
+def exact_by_hand(docs):
+    groups = defaultdict(list)
+    for i, t in source_rows(docs):
+        groups[spaced(t)].append(i)
+    out = []
+    for t, ids in groups.items():
+        keep = min((i for i in ids if i is not None), default=None)
+        out += [(i, keep, len(ids), i == keep) for i in ids]
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("digest", [exact.sha256, lambda c: F.substring(F.sha2(c, 256), 1, 1)], ids=["sha256", "colliding"])
+def test_exact_groups(docs, digest):
+    out = exact.deduplicate(docs, F.col("doc_id") < 9, digest=digest, keys_per_bucket=4)
+    assert rows(out, "doc_id", "keep_id", "group_size", "kept") == exact_by_hand(docs)
+
+
+def test_exact_keeps_one_row_of_each_text(docs):
+    kept = exact.keep_first(docs, exact.older_half(docs))
+    assert kept.columns == docs.columns
+    assert sorted(spaced(r.text) for r in kept.collect()) == sorted({spaced(t) for _, t in source_rows(docs)})
+
+
+def test_fuse_filter_holds_its_keys_and_few_others():
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 2, 3, 10, 1000, 40_000):
+        keys = rng.integers(0, 1 << 63, n, np.uint64)
+        f = exact.Fuse.build(np.append(keys, keys))
+        assert f.holds(keys).all()
+        assert f.holds(rng.integers(0, 1 << 63, 20_000, np.uint64)).mean() < 0.01
+    assert len(f.prints) < 1.3 * n and int(keys[0]) in f
+
+
+# -- SimHash ----------------------------------------------------------------------------------------
+
+
+def fingerprint_by_hand(text):
+    words = re.findall(rb"[^\x20\x09-\x0D]+", low(text).encode())
+    grams = [b" ".join(words[i : i + 4]) for i in range(len(words) - 3)] if len(words) >= 4 else [b" ".join(words)] if words else []
+    h = [xxh64_intdigest(g, 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def components_by_hand(fps, most=4):
+    left, out = set(fps), {}
+    while left:
+        group, todo = set(), [left.pop()]
+        while todo:
+            at = todo.pop()
+            group.add(at)
+            near = {f for f in left if (f ^ at).bit_count() <= most}
+            left -= near
+            todo += near
+        out |= {f: group for f in group}
+    return out
+
+
+def test_simhash_components(docs):
+    source = source_rows(docs)
+    fps = {t: fingerprint_by_hand(t) for _, t in source}
+    groups = components_by_hand(set(fps.values()))
+    want = [(i, f"{fps[t]:016x}", min((j for j, u in source if fps[u] in groups[fps[t]] and j is not None), default=None)) for i, t in source]
+    assert rows(simhash.group(docs, ["doc_id"]), "doc_id", "fingerprint", "component_id") == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("posting", [8192, 3])
+def test_simhash_links_chains_and_crowds(spark, posting):
+    rng = np.random.default_rng(3)
+    seeds = rng.integers(0, 1 << 64, 30, np.uint64).tolist() + [0, (1 << 64) - 1]
+    fps = set(seeds)
+    for f in seeds[:8]:
+        for _ in range(12):  # chains of steps within reach, and steps just out of it
+            f ^= sum(1 << int(b) for b in rng.choice(64, int(rng.integers(3, 6)), replace=False))
+            fps.add(f)
+    fps |= {seeds[9] ^ (1 << a) ^ (1 << b) for a in range(20) for b in range(a)}
+    signed = [(f - (1 << 64) if f >> 63 else f,) for f in fps]
+    nodes = spark.createDataFrame(signed, "fp long").repartition(2)
+    roots = {r.node % (1 << 64): r.root % (1 << 64) for r in graph.components(simhash.links(nodes, posting=posting)).collect()}
+    groups = components_by_hand(fps)
+    for f in fps:
+        for g in groups[f]:
+            assert roots.get(f, f) == roots.get(g, g)
+    assert len({roots.get(f, f) for f in fps}) == len({frozenset(g) for g in groups.values()})
+
+
+def test_every_four_positions_hold_a_triple():
+    from itertools import combinations
+
+    chosen = [set(t) for t in simhash.triples()]
+    assert len(chosen) == 20
+    assert all(any(t <= set(four) for t in chosen) for four in combinations(range(8), 4))
+
+
+def test_components_of_a_long_chain_and_a_hub(spark):
+    edges = [(i, i + 1) for i in range(100)] + [(1000, i) for i in range(1001, 1200)] + [(5, 5), (None, 3), (2000, 1999), (1999, 2000)]
+    out = {r.node: r.root for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert out == {i: 0 for i in range(1, 101)} | {i: 1000 for i in range(1001, 1200)} | {2000: 1999}
+
+
+# -- repeated substrings ----------------------------------------------------------------------------
+
+
+def suffix_by_hand(texts, length):
+    seen = Counter()
+    for t in texts:
+        seen.update(t[i : i + length] for i in range(len(t) - length + 1))
+    out = []
+    for t in texts:
+        hit = np.zeros(len(t), bool)
+        for i in range(len(t) - length + 1):
+            if seen[t[i : i + length]] > 1:
+                hit[i : i + length] = True
+        spans = int((np.diff(np.append(0, hit.astype(int))) == 1).sum())
+        kept = bytes(np.frombuffer(t, np.uint8)[~hit])
+        out.append((len(t), int(hit.sum()), spans, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def seam_texts():
+    a, b, c = (prose(200)[:n] for n in (399, 400, 900))
+    periodic = "abcd" * 300
+    return ["a" * 2000, periodic, "x" + periodic[:450], "p" * 50 + a + "q" * 9, "r" * 60 + a + "s" * 10, "t" * 31 + b, b + "u" * 20, c,
+            prose(4) + c[100:700] + prose(5) + c[300:800], c, c[:-1]]
+
+
+@pytest.mark.parametrize("hot", [4000, 1], ids=["buckets", "hot"])
+def test_suffix_removal(docs, spark, monkeypatch, hot):
+    monkeypatch.setattr(suffix, "HOT_RUNS", hot)
+    monkeypatch.setattr(suffix, "BUCKET_BYTES", 5000)
+    extra = spark.createDataFrame([(1000 + i, t) for i, t in enumerate(seam_texts())], "doc_id long, text string")
+    source = docs.select("doc_id", "text").union(extra)
+    if hot == 1:
+        source = source.where("doc_id <> 14 and doc_id <> 15")  # the long ones are slow by hand
+    pairs = source_rows(source)
+    want = suffix_by_hand([(t or "").encode() for _, t in pairs], 400)
+    got = rows(suffix.deduplicate(source), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert got == sorted(((i, *w) for (i, _), w in zip(pairs, want)), key=repr)
+
+
+def test_difference_cover_meets_every_pair():
+    p, cover = suffix.PERIOD, set(suffix.COVER.tolist())
+    assert all(any((i + d) % p in cover and (j + d) % p in cover for d in range(p)) for i in range(p) for j in range(p))
+
+
+def test_names_of_colliding_hashes_are_told_apart(monkeypatch):
+    data = np.frombuffer(prose(60).encode(), np.uint8)
+    want = [bytes(data[i : i + 80]) for i in range(len(data) - 79)]
+    monkeypatch.setattr(suffix, "span_hashes", lambda prefix, a, b: np.zeros(len(a), np.uint64))
+    got = suffix.names(data, 80)
+    assert len(set(zip(want, got.tolist()))) == len(set(want)) == len(set(got.tolist()))
+
+
+# -- decontamination --------------------------------------------------------------------------------
+
+ITEMS = [(1, PASSAGE), (2, "Aa Bb"), (3, "word"), (4, None), (5, "!!"), (None, prose(15)), (10, PASSAGE[30:]), (11, "ümlaut ω")]
+_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def decontam_by_hand(pairs, items):
+    grams = defaultdict(set)
+    for i, t in items:
+        w = _WORD.findall(low(t))
+        k = min(10, len(w))
+        for a in range(len(w) - k + 1 if k else 0):
+            grams[tuple(w[a : a + k])].add(i)
+    out = []
+    for i, t in pairs:
+        w, hit, found = _WORD.findall(low(t)), set(), set()
+        for k in {len(g) for g in grams}:
+            for a in range(len(w) - k + 1):
+                if tuple(w[a : a + k]) in grams:
+                    hit |= set(range(a, a + k))
+                    found |= grams[tuple(w[a : a + k])]
+        names = ",".join(sorted(str(x) for x in found if x is not None))
+        out.append((i, len(w), len(hit), len(found), hashlib.sha256(names.encode()).hexdigest(), bool(hit)))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("most", [1_000_000, 3], ids=["broadcast", "join"])
+def test_decontamination(docs, spark, most):
+    items = spark.createDataFrame([(i, t, 1) for i, t in ITEMS], "item_id long, text string, gram int")
+    out = decontam.contamination(docs, items, ["doc_id"], broadcast_windows=most)
+    got = rows(out, "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    assert got == decontam_by_hand(source_rows(docs), ITEMS)
+
+
+def test_decontamination_plan_is_native(docs, spark, capsys):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    decontam.contamination(docs, items, ["doc_id"]).explain()
+    assert not re.search("Python|Pandas|Arrow", capsys.readouterr().out)
+
+
+def test_removed_spans_leave_other_words(spark):
+    texts = spark.createDataFrame([(1, "One two, " + PASSAGE + " three FOUR"), (2, "Clean, as it is!"), (3, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, PASSAGE)], "item_id long, text string")
+    judged = decontam.contamination(texts, items, ["doc_id"])
+    assert rows(decontam.remove_spans(texts, judged), "doc_id", "text") == [(1, "one two three four"), (2, "Clean, as it is!"), (3, None)]
+
+
+# -- packing ----------------------------------------------------------------------------------------
+
+
+def byte_bpe():
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+ODD = ["", " ", "  ", " a", "a ", "a  b", "a   b\n c", "don't 's 't it's", "tab\t x\n\n  y", "日本　語 x", "a\n b \nc d", "é <|endoftext|> x", "a" * 3000,
+       "\r\n x y", "1 22 3.4 !! ..x", "a  b", "  x", "x\x1c y \x1f z"]
+
+
+def test_ids_are_those_of_the_tokenizer():
+    made, _ = packing.tokenizer(byte_bpe())
+    texts = [*ODD, *TEXTS]
+    ids, at = packing.encode(pa.array(texts), byte_bpe(), 0)
+    for i, t in enumerate(texts):
+        assert ids[at[i] : at[i + 1]].tolist() == [*made.encode(t or "", add_special_tokens=False).ids, 0], t
+
+
+def test_packed_pieces(docs):
+    made, _ = packing.tokenizer(byte_bpe())
+    out = packing.pack(docs, byte_bpe(), 100, pieces_per_group=10).collect()
+    ids = Counter()
+    for i, t in source_rows(docs):
+        whole = np.array([*made.encode(t or "", add_special_tokens=False).ids, 0], "<u4")
+        cuts = list(range(len(whole), 0, -100))[::-1]
+        for k, (a, b) in enumerate(zip([0, *cuts], cuts)):
+            ids[i, k, a, b - a, zlib.crc32(whole[a:b].tobytes())] += 1
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in out) == ids
+    sequences = defaultdict(list)
+    for r in out:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for parts in sequences.values():
+        parts.sort()
+        assert [a for a, _ in parts] == [sum(n for _, n in parts[:k]) for k in range(len(parts))]
+        assert sum(n for _, n in parts) <= 100
+    assert len(sequences) <= 1.01 * sum(r.length for r in out) / 100 + 1
+
+
+def test_plan_fills_exactly_where_it_can():
+    for counts in ([(60, 5), (40, 5)], [(50, 4), (30, 4), (20, 4)], [(40, 3), (30, 3), (20, 3), (10, 3)], [(100, 7)], [(25, 8)]):
+        n = np.zeros(101, int)
+        for length, k in counts:
+            n[length] = k
+        assert packing.plan(n, 100).sequences == sum(a * b for a, b in counts) // 100
+    rng = np.random.default_rng(2)
+    lengths = rng.integers(1, 101, 5000)
+    made = packing.plan(np.bincount(lengths, minlength=101), 100)
+    assert made.sequences <= -(-lengths.sum() // 100) + 25
+    assert np.array_equal(np.bincount(made.length, made.count, 101), np.bincount(lengths, minlength=101))
+
+
+# -- language ---------------------------------------------------------------------------------------
+
+LATIN = {"en": "the of and to in that with have this from", "de": "der die und ich nicht schön über mit auf straße", "fr": "le été avec pour où ça très les êtes des"}
+
+
+def test_languages_are_told_apart(spark):
+    data = [(i, prose(30, LATIN[lang]), lang) for i, lang in enumerate(list(LATIN) * 40)]
+    odd = [(1000, None, "en"), (1001, "", "en"), (1002, "12 !!", "de"), (1003, prose(9000, LATIN["de"]), None), (None, prose(40, LATIN["fr"]), "en"), (0, data[0][1], None)]
+    table = spark.createDataFrame([(*r, 0.1, True) for r in data + odd], "doc_id long, text string, lang string, score double, held_out boolean")
+    got = {(r.doc_id, r.held_out): (r.lang_pred, r.score) for r in langid.identify(table).collect()}
+    for i, _, lang in data:
+        held = zlib.crc32(str(i).encode()) % 5 == 0
+        assert got[i, held][0] == lang and 0 <= got[i, held][1] <= 1
+    assert {got[i, zlib.crc32(str(i).encode()) % 5 == 0] for i in (1000, 1001, 1002)} == {("und", 0.0)}
+    assert got[1003, zlib.crc32(b"1003") % 5 == 0][0] == "de" and got[None, True][0] == "fr"
+
+
+def test_language_scores_are_naive_bayes(spark):
+    texts = [prose(8, LATIN[lang]) for lang in LATIN]
+    model = langid.LanguageModel(("a", "b"), np.log([0.25, 0.75]), np.log(np.random.default_rng(0).dirichlet(np.ones(256), 2)).astype(np.float32), 8, (1, 2))
+    best, score, lettered = model.score([*texts, ""])
+    for t, i, s in zip(texts, best, score):
+        total = model.priors.copy()
+        for code, _, _ in langid.grams([t], 8, (1, 2)):
+            total += model.matrix[:, code].astype(float).sum(1)
+        p = np.exp(total - np.logaddexp(*total))
+        assert i == p.argmax() and abs(s - p.max()) < 1e-9
+    assert lettered.tolist() == [True, True, True, False]
+
+
+# -- quality ----------------------------------------------------------------------------------------
+
+
+def test_quality_is_learned(spark):
+    good, bad = "the of and to in that with this", "BUY!! NOW!! $$$ click### free%%%"
+    data = [(i, prose(40, bad if i % 3 == 0 else good)) for i in range(300)]
+    labels = spark.createDataFrame([(i, int(i % 3 != 0), 0, "x") for i in range(300)] + [(None, 1, 0, "x"), (5, None, 0, "x"), (9999, 1, 0, "x")], "doc_id long, quality int, toxic int, text string")
+    odd = [(1000, None), (1001, ""), (None, prose(5, good)), (0, data[0][1])]
+    table = spark.createDataFrame([(*r, 0.1) for r in data + odd], "doc_id long, text string, score double")
+    out = quality.classify(table, labels).collect()
+    assert len(out) == len(data) + len(odd)
+    for r in out:
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3)
+        if r.doc_id is not None and r.doc_id < 300:
+            assert r.predicted == int(r.doc_id % 3 != 0) and r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+    assert len({r.score for r in out if r.doc_id in (1000, 1001)}) == 1
+
+
+def test_quality_features_are_words_and_pairs():
+    column = pa.array(["Buy now!! ok", None, "", "Buy now"])
+    slots, at = quality.features(column, 18)
+    assert np.diff(at).tolist() == [7, 0, 0, 3]  # Buy now !! ok and 3 pairs
+    assert set(slots[at[3] :]) <= set(slots[: at[1]])
+    s = quality.Settings(l1=0.0)
+    z, n = np.zeros(5), np.zeros(5)
+    for _ in range(200):
+        quality.update(z, n, np.array([0, 4]), np.array([1.0, 1.0]), 1.0, s)
+        quality.update(z, n, np.array([1, 4]), np.array([1.0, 1.0]), 0.0, s)
+    w = quality.weights(z, n, s)
+    assert w[0] > 1 > -1 > w[1] and w[2] == 0
+
+
+# -- language model ---------------------------------------------------------------------------------
+
+
+def test_brown_scores(docs):
+    small = brown.Settings(frequent=12, tails=4, classes=5, listed=6)
+    source = source_rows(docs)
+    train = [t for i, t in source if i is not None and zlib.crc32(str(i).encode()) % 10]
+    model, counts = brown.train(docs.where("doc_id is not null and crc32(cast(doc_id as string)) % 10 <> 0"), small)
+    got = rows(brown.evaluate(docs, settings=small), "doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score", "held_out")
+    seen = Counter(w for t in train for w in [*tokens(t), brown.END])
+    total, distinct = sum(seen.values()), len(seen)
+    kind = lambda w: model.own[brown.units(pa.array([w], pa.large_string()), pa.array(model.top, pa.large_string()), small)[0]]
+    kinds = {w: kind(w) for w in {x for _, t in source for x in tokens(t)} | {brown.END}}
+    size, words, steps = Counter(), Counter(), Counter()
+    for w, n in seen.items():
+        size[kinds[w]] += n
+        words[kinds[w]] += 1
+    for t in train:
+        w = [brown.END, *tokens(t), brown.END]
+        steps.update((kinds[a], kinds[b]) for a, b in zip(w, w[1:]))
+    out = {c: sum(n for (a, _), n in steps.items() if a == c) for c in range(5)}
+    want = []
+    for i, t in source:
+        w = [*tokens(t), brown.END]
+        base = sum(math.log10((seen[x] + 0.1) / (total + 0.1 * (distinct + 1))) for x in w)
+        score = 0.0
+        for a, b in zip([brown.END, *w], w):
+            c, d = kinds[a], kinds[b]
+            score += math.log10((steps[c, d] + 0.1) / (out[c] + 0.5)) + math.log10((seen[b] + 0.1) / (size[d] + 0.1 * (words[d] + 1)))
+        want.append((i, len(w), sum(seen[x] > 0 for x in w), total, base, score, i is None or zlib.crc32(str(i).encode()) % 10 == 0))
+    assert len(got) == len(want)
+    for a, b in zip(got, sorted(want, key=repr)):
+        assert a[:4] == b[:4] and a[6] == b[6] and a[4:6] == pytest.approx(b[4:6], rel=1e-9)
+
+
+def test_exchange_never_lowers_the_likelihood():
+    rng = np.random.default_rng(4)
+    pairs = rng.poisson(rng.gamma(0.3, 3.0, (30, 30))).astype(float)
+
+    def likelihood(own):
+        one = np.eye(6)[own]
+        both = one.T @ pairs @ one
+        f = lambda x: float((x[x > 0] * np.log(x[x > 0])).sum())
+        return f(both) - f(both.sum(0)) - f(both.sum(1))
+
+    values = [likelihood(brown.exchange(pairs, 6, k)) for k in range(5)]
+    assert all(b >= a - 1e-6 for a, b in zip(values, values[1:])) and values[-1] > values[0] + 1
+
+
+# -- empty tables -----------------------------------------------------------------------------------
+
+
+def test_empty_tables_give_no_rows(spark):
+    none = empty(spark, DOCUMENTS)
+    labels = empty(spark, "doc_id long, quality int")
+    items = empty(spark, "item_id long, text string")
+    for out in (
+        quality.classify(none, labels), packing.pack(none, byte_bpe()), suffix.deduplicate(none), langid.identify(none), simhash.group(none, ["doc_id"]),
+        exact.deduplicate(none, exact.older_half(none)), exact.keep_first(none, F.lit(True)), brown.evaluate(none), decontam.contamination(none, items, ["doc_id"]),
+    ):
+        assert out.count() == 0
+
+
+def test_no_items_and_no_labels(docs, spark):
+    n = docs.count()
+    clean = decontam.contamination(docs, empty(spark, "item_id long, text string"), ["doc_id"])
+    assert clean.where("not contaminated and n_hit = 0 and n_items = 0").count() == n
+    scored = quality.classify(docs, empty(spark, "doc_id long, quality int"))
+    assert scored.where("score = 0.5 and predicted = 1").count() == n
