@@ -64,12 +64,16 @@ ENCODED_WORD = r"=\?([^?*\s]++)(?:\*[^?\s]*+)?+\?([bBqQ])\?([^?]*+)\?="
 BETWEEN_WORDS = r"(=\?[^?\s]++\?[bBqQ]\?[^?]*+\?=)[ \t\r\n]++(?==\?[^?\s]++\?[bBqQ]\?[^?]*+\?=)"
 WORD_OR_TEXT = r"=\?[^?\s]++\?[bBqQ]\?[^?]*+\?=|[^=]++|="
 
+# Fixed value: characters of the longest line that may be sent.
+MAX_LINE = 998
+
 # Header text that must be sent as encoded words: not printable ASCII, looks encoded already, has
-# outer blanks, or has a run too long to fold.
-NEEDS_ENCODING = r"[^ -~]|=\?|^ | $|[^ ]{200}"
+# outer blanks, or has a run without a blank, where it cannot be folded, that leaves no room in a line
+# for the header's name and a folded piece before it.
+NEEDS_ENCODING = rf"[^ -~]|=\?|^ | $|[^ ]{{{MAX_LINE // 5 + 1}}}"
 
-# Body text that must not be sent as it is: not 7-bit, a line over 998, or a lone CR or LF.
-NEEDS_BASE64 = r"[^\x01-\x7f]|(?<!\r)\n|\r(?!\n)|(?<![^\r\n])[^\r\n]{999}"
+# Body text that must not be sent as it is: not 7-bit, a line too long, or a lone CR or LF.
+NEEDS_BASE64 = rf"[^\x01-\x7f]|(?<!\r)\n|\r(?!\n)|(?<![^\r\n])[^\r\n]{{{MAX_LINE + 1}}}"
 
 LINE_BREAK = r"[\r\n]"
 

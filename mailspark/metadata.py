@@ -74,7 +74,7 @@ def writable(key: str) -> DataType:
 
 def _lookup(registry: dict[str, DataType], key: str) -> DataType:
     if key not in registry:
-        raise ValueError(f"Metadata key '{key}' not found; known keys: {', '.join(registry)}")
+        raise ValueError(f"No metadata is called '{key}'; there is {', '.join(registry)}")
     return registry[key]
 
 

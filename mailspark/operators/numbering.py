@@ -7,16 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 
-# Runs are a few dozen bytes each; beyond this many they are joined by a shuffle.
-BROADCAST_ROWS = 200_000
-
-
 def number_rows(rows: DataFrame, group: str, order: Sequence[str], staging: str, name: str = "uid") -> DataFrame:
     """1, 2, 3 … within each group in the given order, as ``row_number`` would, for groups of any size.
 
     Rows are range-partitioned over group and order, so that a hot group spreads over many tasks,
     and written once with their place in the partition. The first number of each (partition, group)
-    is a running sum over at most partitions + groups rows.
+    is a running sum over at most partitions + groups rows. Null is a group like any other.
     """
     spark = rows.sparkSession
     keys = [group, *order]
@@ -30,8 +26,8 @@ def number_rows(rows: DataFrame, group: str, order: Sequence[str], staging: str,
     runs = runs.select(
         group, "__part", "__first", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before")
     )
-    if runs.count() <= BROADCAST_ROWS:
-        runs = F.broadcast(runs)
-    numbered = placed.join(runs, [group, "__part"])
+    runs = runs.withColumnsRenamed({group: "__group", "__part": "__of"})
+    same = F.col(group).eqNullSafe(F.col("__group")) & (F.col("__part") == F.col("__of"))
+    numbered = placed.join(runs, same)
     number = F.col("__before") + F.col("__place") - F.col("__first") + 1
     return numbered.select(*rows.columns, number.alias(name))

@@ -97,8 +97,14 @@ def body_part(content: Column, is_binary: bool) -> Column:
 
 def outbox_layout(rows: DataFrame, options: MailOptions) -> M.Layout:
     layout = M.Layout.of(rows.schema, options.aliases, options["content-columns"], M.WRITABLE)
-    key = options["message-key"]
-    return M.Layout(tuple(c for c in layout.columns if c.name != key or c.key is not None))
+    apart = (options["message-key"], options["date-column"])
+    return M.Layout(tuple(c for c in layout.columns if c.name not in apart or c.key is not None))
+
+
+def date_line(sent: Column) -> Column:
+    """Header with a time in UTC."""
+    utc = F.to_utc_timestamp(sent, F.current_timezone())
+    return F.concat(F.lit("Date: "), F.date_format(utc, "EEE, d MMM yyyy HH:mm:ss"), F.lit(f" +0000{_EOL}"))
 
 
 def compose(rows: DataFrame, options: Mapping[str, str] | None = None) -> DataFrame:
@@ -106,13 +112,14 @@ def compose(rows: DataFrame, options: Mapping[str, str] | None = None) -> DataFr
 
     Columns named like a writable key are headers, the others are content for the format. The
     Message-ID is a hash of the message and, if named by ``message-key``, of a column: sending a
-    row again gives the same id.
+    row again gives the same id. The Date is no part of it: it is the time of sending, or that of the
+    column named by ``date-column``.
     """
     parsed = _options(options)
     layout = outbox_layout(rows, parsed)
     by_key = {c.key: F.col(f"`{c.name}`") for c in layout.metadata}
     lists = {k: v for k, v in by_key.items() if k != "subject"}
-    key = parsed["message-key"]
+    key, date = parsed["message-key"], parsed["date-column"]
 
     body = None
     is_binary = False
@@ -127,6 +134,7 @@ def compose(rows: DataFrame, options: Mapping[str, str] | None = None) -> DataFr
         subject_header(by_key["subject"] if "subject" in by_key else F.lit(None).cast("string")).alias("__subject"),
         *[lists[k].alias(f"__{k}") for k in names],
         (F.col(f"`{key}`").cast("string") if key else F.lit("")).alias("__key"),
+        (F.coalesce(F.col(f"`{date}`").cast("timestamp"), F.current_timestamp()) if date else F.current_timestamp()).alias("__sent"),
     )
     decoded = with_envelopes(decoded, names)
     lines = [
@@ -140,6 +148,7 @@ def compose(rows: DataFrame, options: Mapping[str, str] | None = None) -> DataFr
         F.concat(*lines, "__subject").alias("__head"),
         *(["__part"] if body is not None else []),
         "__key",
+        "__sent",
         (F.get("__from_boxes", F.lit(0)) if "from" in names else F.lit(None).cast("string")).alias("envelope_from"),
         (F.concat(*recipients) if recipients else none).alias("envelope_to"),
     )
@@ -163,6 +172,7 @@ def message_id() -> Column:
 def _message(has_content: bool) -> Column:
     head = [
         F.col("__head"),
+        date_line(F.col("__sent")),
         F.lit("Message-ID: "), message_id(), F.lit(_EOL),
         F.lit(f"MIME-Version: 1.0{_EOL}"),
     ]
@@ -192,10 +202,11 @@ def check_recipients(messages: DataFrame) -> DataFrame:
     return messages.withColumn("envelope_to", checked)
 
 
-def send(rows: DataFrame, options: Mapping[str, str]) -> None:
+def send(rows: DataFrame, options: Mapping[str, str], batch: tuple[str, int] | None = None) -> None:
     """Send one mail per row, or append it to a folder of the archive named by ``spool``.
 
-    At least once: a task or batch that runs again sends again, under the same Message-ID.
+    Sending is at least once: a task or batch that runs again sends again, under the same Message-ID.
+    A spool gets each ``batch`` (its writer and number) once.
     """
     parsed = MailOptions.parse(options, SMTP_SPEC, substitute="spool")
     messages = check_recipients(compose(rows, options))
@@ -208,7 +219,7 @@ def send(rows: DataFrame, options: Mapping[str, str]) -> None:
         F.array().cast("array<string>").alias("flags"),
         "raw",
     )
-    Archive(rows.sparkSession, parsed["spool"]).append(mail, folder=parsed["folder"])
+    Archive(rows.sparkSession, parsed["spool"]).append(mail, folder=parsed["folder"], batch=batch)
 
 
 def account_options(options: Mapping[str, str]) -> dict[str, str]:

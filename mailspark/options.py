@@ -114,6 +114,8 @@ SMTP_SPEC = {
     "folder": Option(str, "OUTBOX"),
     # column whose value names a row; part of its Message-ID
     "message-key": Option(),
+    # timestamp column that is the Date of the mail; the time of sending without it or where it is null
+    "date-column": Option(),
 }
 
 # Keys Spark itself adds to the options of a table or a stream.

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from mailspark.functions.words import encode_words
 from mailspark.operators.numbering import number_rows
 from mailspark.session import new_path
 from mailspark.sources.archive import Archive
@@ -13,10 +14,9 @@ _built: dict[tuple[str, str, str], Archive] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """The named columns of a table; one of fewer splits than the cluster has cores is spread over them."""
+    """The named columns of a table in the order of the first, spread over tasks by its ranges."""
     rows = spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
-    cores = spark.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+    return rows.repartitionByRange(columns[0]).sortWithinPartitions(columns[0])
 
 
 def _line(*parts: Column | str) -> Column:
@@ -103,20 +103,26 @@ def conv_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def doc_subject() -> Column:
+    """A text beyond ASCII, too long for one encoded word."""
+    number, size = F.col("doc_id").cast("string"), F.col("n_chars").cast("string")
+    return F.concat(F.lit("Größe "), size, F.lit(" — très élevé — "), "source", F.lit(" №"), number, F.lit(" 日本語 "), "lang", F.lit("?="))
+
+
 def doc_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Base64 bodies and base64 encoded-word subjects in four languages."""
-    subject = F.base64(F.encode(F.left(F.col("text"), F.lit(20)), "UTF-8"))
+    """Base64 bodies, and subjects of several encoded words each."""
+    subject = encode_words(doc_subject())
     raw = F.concat(
         _line("From: docs@mail.test"),
         _line("To: readers@mail.test"),
-        _line("Subject: =?UTF-8?B?", subject, "?="),
+        _line("Subject: ", subject),
         _line("MIME-Version: 1.0"),
         _line("Content-Type: text/plain; charset=UTF-8"),
         _line("Content-Transfer-Encoding: base64"),
         F.lit(_EOL),
         F.base64(F.encode(F.col("text"), "UTF-8")),
     )
-    return table(spark, sf_dir, "documents", "doc_id", "text", "lang").select(
+    return table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source", "n_chars").select(
         F.col("lang").alias("folder"),
         (F.col("doc_id") + 1).alias("uid"),
         F.timestamp_seconds(F.col("doc_id")).alias("internal_date"),
@@ -127,7 +133,7 @@ def doc_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_outbox(spark: SparkSession, sf_dir: str, content: str = "raw") -> DataFrame:
     """Rows for the sink: one per order; ``content`` is raw (one column), json (two) or none."""
-    orders = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority").join(
+    orders = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate").join(
         table(spark, sf_dir, "customer", "c_custkey", "c_name"), F.col("o_custkey") == F.col("c_custkey")
     )
     key, customer = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
@@ -138,6 +144,7 @@ def order_outbox(spark: SparkSession, sf_dir: str, content: str = "raw") -> Data
         F.when(F.startswith("o_orderpriority", F.lit("1")), F.array(F.lit("rush@shop.test"))).alias("cc"),
         F.array(F.lit("archive@shop.test")).alias("bcc"),
         F.array(F.lit("help@shop.test")).alias("replyTo"),
+        _as_utc(F.col("o_orderdate")).alias("ordered"),
     ]
     if content == "raw":
         columns.append(F.concat_ws(",", key, customer, "o_orderpriority").alias("content"))
@@ -167,7 +174,7 @@ def order_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _MAIL = {"event_mail": event_mail, "event_mail_holes": event_mail_holes, "conv_mail": conv_mail}
 
-# events are stored in uid order, so their mail needs no shuffle on the way into the archive
+# ranges of event ids, in order: their mail needs no shuffle on the way into the archive
 _CLUSTERED = {"event_mail", "event_mail_holes"}
 
 

@@ -83,9 +83,11 @@ FROM events""",
     "format_bad_json": f"""
 SELECT event_id + 1 AS uid, event_type AS subject, CASE WHEN event_id % 5 = 0 THEN -1 ELSE {_K} END AS k FROM events""",
     "content_base64_utf8": """
-SELECT lang AS folder, doc_id + 1 AS uid, left(text, 20) AS subject, text AS content FROM documents""",
+SELECT lang AS folder, doc_id + 1 AS uid, text AS content,
+  'Größe ' || n_chars || ' — très élevé — ' || source || ' №' || doc_id || ' 日本語 ' || lang || '?=' AS subject
+FROM documents""",
     "outbox_roundtrip": f"""
-SELECT {_SUBJECT} AS subject, 'orders@shop.test' AS "from", c_name || ' <c' || o_custkey || '@mail.test>' AS "to",
+SELECT {_SUBJECT} AS subject, epoch_us(o_orderdate) // 1000000 AS sent, 'orders@shop.test' AS "from", c_name || ' <c' || o_custkey || '@mail.test>' AS "to",
   CASE WHEN {_IS_RUSH} THEN 'rush@shop.test' ELSE '-' END AS cc, '-' AS bcc, 'help@shop.test' AS "replyTo",
   o_orderkey || ',' || o_custkey || ',' || o_orderpriority AS content
 FROM {_ORDERS}""",
@@ -101,7 +103,7 @@ SELECT 'orders@shop.test' AS envelope_from,
 FROM {_ORDERS} GROUP BY 1, 2""",
     "outbox_stream": """
 SELECT 'Event ' || event_id AS subject, 'u' || user_id || '@mail.test' AS "toFirst", props AS content
-FROM events WHERE event_type = 'error'""",
+FROM events""",
     "decode_addresses": f"""
 SELECT {_SUBJECT} AS subject, c_name || '|Doe, Jane|-' AS names,
   'c' || o_custkey || '@mail.test|ops@mail.test|' || CASE WHEN {_IS_RUSH} THEN 'rush@shop.test' ELSE '-' END AS addresses

@@ -207,16 +207,16 @@ def _spooled(rows: DataFrame, schema: str, **options: str) -> DataFrame:
     spark = rows.sparkSession
     path = new_path(spark, "spool")
     Archive(spark, path).create()
-    send(rows, {"spool": path, **options})
+    send(rows, {"spool": path, "date-column": "ordered", **options})
     return read_folder(spark, {"archive": path, "folder": "OUTBOX"}, schema)
 
 
 def outbox_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     lists = ["from", "to", "cc", "bcc", "replyTo"]
     columns = ", ".join(f"`{k}` array<string>" for k in lists)
-    mail = _spooled(X.order_outbox(spark, sf_dir), f"subject string, {columns}, body string")
+    mail = _spooled(X.order_outbox(spark, sf_dir), f"subject string, sent timestamp, {columns}, body string")
     content = B.only_part(F.col("body")).cast("string").alias("content")
-    return mail.select("subject", *[_joined(k) for k in lists], content)
+    return mail.select("subject", _seconds("sent"), *[_joined(k) for k in lists], content)
 
 
 def outbox_json(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -238,17 +238,17 @@ def outbox_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sender and recipients as given to the server."""
     from mailspark.operators.outbox import compose
 
-    sent = compose(X.order_outbox(spark, sf_dir))
+    sent = compose(X.order_outbox(spark, sf_dir), {"date-column": "ordered"})
     return sent.groupBy("envelope_from", F.array_join("envelope_to", ",").alias("recipients")).agg(
         F.count("*").alias("messages"), F.count_distinct("message_id").alias("ids")
     )
 
 
 def outbox_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event of type error becomes a mail, from a stream of events."""
+    """Every event becomes a mail, from a stream of events."""
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    rows = stream.where(F.col("event_type") == "error").select(
+    rows = stream.select(
         F.concat(F.lit("Event "), F.col("event_id").cast("string")).alias("subject"),
         F.array(F.lit("monitor@mail.test")).alias("from"),
         F.array(F.concat(F.lit("u"), F.col("user_id").cast("string"), F.lit("@mail.test"))).alias("to"),

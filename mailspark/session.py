@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 import zipfile
 from collections.abc import Iterator, Mapping
@@ -14,6 +15,7 @@ from pyspark.sql import SparkSession
 
 _registered: set[str] = set()
 _local_dirs: dict[str, str] = {}
+_settings_lock = threading.RLock()
 
 
 def sources() -> dict[str, type]:
@@ -67,7 +69,12 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 @contextmanager
 def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
-    """Hold SQL settings for a block, then put back what was there."""
+    """Hold SQL settings for a block, then put back what was there; one block at a time, whatever the thread."""
+    with _settings_lock:
+        yield from _held(spark, values)
+
+
+def _held(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
     before = {name: spark.conf.get(name, None) for name in values}
     for name, value in values.items():
         spark.conf.set(name, value)

@@ -1,16 +1,21 @@
-"""Mail archive: two Parquet tables that hold folders of messages.
+"""Mail archive: a Parquet table of messages and a ledger of what is published.
 
 ``messages`` is partitioned by folder and ordered by uid. Head and body are separate columns, and the
 envelope is parsed once, on import, as a mail server does: a query on metadata reads neither head nor
-body, and bounds on uid, dates or envelope fields reach the Parquet scan. ``folders`` has the uid validity and the next uid of each
-folder, one row per append; messages at or past the next uid are not yet visible to a bounded scan.
+body, and bounds on uid, dates or envelope fields reach the Parquet scan.
+
+An append writes its files aside, then publishes itself and the next uid of its folders in one new
+version of the ledger, then moves the files in. One that dies before the version leaves nothing that
+any reader sees, and its uids are free; one that dies after it is moved in by the next writer or
+reader. Two appends to one folder cannot both publish the same uids.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import (
     ArrayType,
     BinaryType,
@@ -25,6 +30,7 @@ from pyspark.sql.types import (
 
 from mailspark.operators.project import ENVELOPE, split_raw, with_envelope
 from mailspark.session import settings
+from mailspark.sources.ledger import FolderState, Ledger, State, Taken
 
 MESSAGES = StructType([
     StructField("folder", StringType()),
@@ -58,36 +64,41 @@ class Archive:
         self.spark = spark
         self.path = path.rstrip("/")
         self.messages_path = f"{self.path}/messages"
-        self.folders_path = f"{self.path}/folders"
+        self.ledger = Ledger(spark, f"{self.path}/ledger")
 
     # -- folders ----------------------------------------------------------------------------------
 
     def create(self) -> "Archive":
         """Make an archive without folders, unless there is one."""
-        for schema, path in ((FOLDERS, self.folders_path), (STORED, self.messages_path)):
-            self.spark.createDataFrame([], schema).write.mode("append").parquet(path)
+        self.spark.createDataFrame([], STORED).write.mode("append").parquet(self.messages_path)
         return self
 
+    def state(self) -> State:
+        """What is published; files of appends that died while they moved in are moved first."""
+        state = self.ledger.read()
+        for append in state.unmoved:
+            self._move(append)
+        return state
+
     def folders(self) -> DataFrame:
-        """One row per folder: name, uidvalidity, uid_next, holds_messages."""
-        rows = self.spark.read.schema(FOLDERS).parquet(self.folders_path)
-        return rows.groupBy("name").agg(
-            F.coalesce(F.max("uidvalidity"), F.lit(1)).alias("uidvalidity"),
-            F.max("uid_next").alias("uid_next"),
-            F.bool_or("holds_messages").alias("holds_messages"),
-        )
+        """One row per folder: name, uidvalidity, uid_next, holds_messages. The listing of one account."""
+        rows = [(n, f.uidvalidity, f.uid_next, f.holds_messages) for n, f in sorted(self.state().folders.items())]
+        return self.spark.createDataFrame(rows, FOLDERS)
 
     def add_folder(self, name: str, uidvalidity: int = 1, holds_messages: bool = True) -> None:
-        """Add an empty folder."""
-        row = (name, uidvalidity, 1, holds_messages)
-        self.spark.createDataFrame([row], FOLDERS).write.mode("append").parquet(self.folders_path)
+        """Add an empty folder, unless there is one."""
+
+        def change(state: State) -> None:
+            state.folders.setdefault(name, FolderState(uidvalidity, 1, holds_messages))
+
+        self._publish(change)
 
     def status(self, folder: str) -> tuple[int, int]:
         """(uidvalidity, uid_next) of a folder; an unknown folder is an error."""
-        row = self.folders().where(F.col("name") == folder).first()
-        if row is None:
+        found = self.state().folders.get(folder)
+        if found is None:
             raise ValueError(f"Folder '{folder}' not found in {self.path}")
-        return row.uidvalidity, row.uid_next
+        return found.uidvalidity, found.uid_next
 
     # -- reading ----------------------------------------------------------------------------------
 
@@ -95,11 +106,13 @@ class Archive:
         """Bounded scan: existing messages from ``offset`` on, up to the frontier at this call.
 
         For one folder the frontier is a literal, so folder and uid range prune partitions and row
-        groups.
+        groups. For all folders the frontiers are one row per folder, known here, so their join needs
+        no shuffle of the messages while they are a small table.
         """
         if folder is None:
-            frontier = self.folders().select(F.col("name").alias("folder"), "uid_next")
-            visible = self._stored().where(F.col("uid") >= offset).join(frontier, "folder")
+            frontier = self.folders().select(F.col("name").alias("__folder"), "uid_next")
+            visible = self._stored().where(F.col("uid") >= offset)
+            visible = visible.join(frontier, F.col("folder") == F.col("__folder"))
             return visible.where(F.col("uid") < F.col("uid_next")).select(*STORED.names)
         _, uid_next = self.status(folder)
         if offset >= uid_next:
@@ -113,24 +126,69 @@ class Archive:
     # -- writing ----------------------------------------------------------------------------------
 
     def append(
-        self, mail: DataFrame, folder: str | None = None, uidvalidity: int | None = None, clustered: bool = False
+        self,
+        mail: DataFrame,
+        folder: str | None = None,
+        uidvalidity: int | None = None,
+        clustered: bool = False,
+        batch: tuple[str, int] | None = None,
     ) -> None:
         """Add messages with columns folder, uid, internal_date, flags and raw (or size, head, body).
 
         ``folder`` puts all of them into one folder. Only then may ``uid`` be missing: the messages
-        are numbered past the frontier, with gaps; and a uid validity may be given, which must agree
-        with the one the folder has. Rows are first brought together by folder and uid range, in
-        partitions of even size; ``clustered`` says they already lie so and saves that shuffle.
+        get the next numbers without gaps; and a uid validity may be given, which must agree with the
+        one the folder has. Given uids must lie past the frontier of their folder. Rows are first
+        brought together by folder and uid range, in partitions of even size; ``clustered`` says they
+        already lie so and saves that shuffle. ``batch`` names a writer and the number of its batch:
+        what it has published already is not added again. A message without a folder is refused.
         """
         if folder is None and uidvalidity is not None:
             raise ValueError("uidvalidity belongs to one folder: name it")
-        uid_next = 1
+        if self._is_published(self.state(), batch):
+            return
         if folder is not None:
-            uid_next = self._writable_from(folder, uidvalidity)
+            self._check_validity(self.state(), folder, uidvalidity)
             mail = mail.withColumn("folder", F.lit(folder))
-            if "uid" not in mail.columns:
-                mail = mail.withColumn("uid", F.lit(uid_next) + F.monotonically_increasing_id())
-                clustered = True
+        if "uid" in mail.columns:
+            self._append(mail, folder, uidvalidity, clustered, batch)
+            return
+        if folder is None:
+            raise ValueError("Messages of several folders need a uid")
+        held = f"{self.path}/_staged/{uuid.uuid4().hex}"
+        mail.hint("rebalance").write.parquet(held)  # once; numbering it again is cheap
+        try:
+            while not self._append_numbered(held, folder, uidvalidity, batch):
+                pass
+        finally:
+            self.ledger.files.delete(self.ledger._jvm.org.apache.hadoop.fs.Path(held), True)
+
+    def _append_numbered(self, held: str, folder: str, uidvalidity: int | None, batch: tuple[str, int] | None) -> bool:
+        """Number staged messages from the frontier on; false if another append took those numbers meanwhile."""
+        state = self.state()
+        if self._is_published(state, batch):
+            return True
+        first = state.folders.get(folder, FolderState()).uid_next
+        rows = self.spark.read.parquet(held).withColumns(
+            {"__file": F.col("_metadata.file_name"), "__row": F.col("_metadata.row_index")}
+        )
+        files = rows.groupBy("__file").agg(F.count("*").alias("__rows"))
+        before = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)  # a row per file
+        files = files.select("__file", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"))
+        rows = rows.join(files, "__file")
+        rows = rows.withColumn("uid", F.lit(first) + F.col("__before") + F.col("__row"))
+        return self._append(rows.drop("__file", "__row", "__before"), folder, uidvalidity, True, batch, first)
+
+    def _append(
+        self,
+        mail: DataFrame,
+        folder: str | None,
+        uidvalidity: int | None,
+        clustered: bool,
+        batch: tuple[str, int] | None,
+        numbered_from: int | None = None,
+    ) -> bool:
+        """Write messages aside, publish them and move them in; false if their numbers were taken meanwhile."""
+        append = uuid.uuid4().hex
         mail = with_envelope(split_raw(mail)).select(*[F.col(f.name).cast(f.dataType) for f in STORED])
         if not clustered:
             bucketed = mail.withColumn("__bucket", F.floor(F.col("uid") / UID_BUCKET))
@@ -138,33 +196,80 @@ class Archive:
             mail = mail.sortWithinPartitions("folder", "uid")
         # timestamps with row group statistics, so that a range of `received` is pushed down
         with settings(self.spark, {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS"}):
-            mail.write.mode("append").partitionBy("folder").parquet(self.messages_path)
-        self._publish(folder, uid_next, uidvalidity)
+            mail.write.partitionBy("folder").parquet(self._aside(append))
+        written = self.spark.read.schema(STORED).parquet(self._aside(append))
+        added = written.groupBy("folder").agg(F.min("uid").alias("first"), F.max("uid").alias("last")).collect()
+        if any(r.folder is None or r.first is None for r in added):
+            raise ValueError("A message without folder or uid")
+
+        def change(state: State) -> None:
+            if self._is_published(state, batch):
+                raise _Published
+            if folder is not None:
+                self._check_validity(state, folder, uidvalidity)
+            for r in added:
+                known = state.folders.setdefault(r.folder, FolderState(uidvalidity or 1))
+                if numbered_from not in (None, known.uid_next):
+                    raise _Renumber
+                if known.uid_next > 1 and r.first < known.uid_next:
+                    raise ValueError(f"uid {r.first} of folder '{r.folder}' is not past the frontier {known.uid_next}")
+                known.uid_next, known.holds_messages = r.last + 1, True
+            state.unmoved.append(append)
+            if batch is not None:
+                state.batches[batch[0]] = batch[1]
+
+        try:
+            self._publish(change)
+        except _Renumber:
+            return False
+        except _Published:
+            return True
+        self._move(append)
+        moved = self.state().unmoved  # this one, and any that died on the way
 
-    def _writable_from(self, folder: str, uidvalidity: int | None) -> int:
-        """First free uid, past messages that an append left behind without publishing them."""
-        row = self.folders().where(F.col("name") == folder).first()
-        if row is not None and uidvalidity not in (None, row.uidvalidity):
+        def settle(state: State) -> None:
+            state.unmoved = [a for a in state.unmoved if a not in moved]
+
+        self._publish(settle)
+        return True
+
+    def _aside(self, append: str) -> str:
+        return f"{self.path}/_staged/{append}-messages"
+
+    def _move(self, append: str) -> None:
+        source = self.ledger._jvm.org.apache.hadoop.fs.Path(self._aside(append))
+        self.ledger.move(source, self.ledger._jvm.org.apache.hadoop.fs.Path(self.messages_path))
+
+    def _publish(self, change) -> None:
+        """Apply a change to the newest state, again if another version got in between."""
+        while True:
+            state = self.ledger.read()
+            before = State.of(state.text())
+            change(state)
+            if state == before:
+                return
+            state.version += 1
+            try:
+                self.ledger.write(state)
+                return
+            except Taken:
+                continue
+
+    def _is_published(self, state: State, batch: tuple[str, int] | None) -> bool:
+        return batch is not None and state.batches.get(batch[0], -1) >= batch[1]
+
+    def _check_validity(self, state: State, folder: str, uidvalidity: int | None) -> None:
+        known = state.folders.get(folder)
+        if known is not None and uidvalidity not in (None, known.uidvalidity):
             raise ValueError(
-                f"uidvalidity of folder '{folder}' changed from {row.uidvalidity} to {uidvalidity}: "
+                f"uidvalidity of folder '{folder}' changed from {known.uidvalidity} to {uidvalidity}: "
                 "its uids name other messages now, import it into a new archive"
             )
-        uid_next = 1 if row is None else row.uid_next
-        stray = self._stored().where((F.col("folder") == folder) & (F.col("uid") >= uid_next))
-        last = stray.agg(F.max("uid").alias("uid")).first().uid
-        return uid_next if last is None else last + 1
-
-    def _publish(self, folder: str | None, uid_next: int, uidvalidity: int | None) -> None:
-        """Move the frontiers past the highest uids; reads the uid column only, of one folder its new uids."""
-        written = self._stored().where(F.col("uid") >= uid_next)
-        if folder is not None:
-            written = written.where(F.col("folder") == folder)
-        rows = written.groupBy(F.col("folder").alias("name")).agg((F.max("uid") + 1).alias("uid_next"))
-        rows = rows.select(
-            "name",
-            F.lit(uidvalidity).cast("bigint").alias("uidvalidity"),
-            "uid_next",
-            F.lit(True).alias("holds_messages"),
-        )
-        rows.coalesce(1).write.mode("append").parquet(self.folders_path)
 
+
+class _Renumber(Exception):
+    pass
+
+
+class _Published(Exception):
+    pass

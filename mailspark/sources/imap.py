@@ -45,6 +45,7 @@ class _Scan:
         self.folder = self.options["folder"]
         if self.options["layout"] == "archive" or schema == MESSAGES:
             self.columns = [f.name for f in schema]
+            self.uid_columns = {"uid"}
             unknown = set(self.columns) - set(MESSAGES.names)
             if unknown:
                 raise ValueError(f"Columns {sorted(unknown)} are not in the archive schema")
@@ -52,6 +53,7 @@ class _Scan:
         else:
             layout = M.Layout.of(schema, self.options.aliases, self.options["content-columns"])
             self.columns = stored_columns(layout)
+            self.uid_columns = {c.name for c in layout.columns if c.key == "uid"}
             self.decode = row_decoder(layout, self.options["format"], self.options.format_options)
 
     def read_split(self, split: Split) -> Iterator[tuple]:
@@ -72,11 +74,7 @@ class FolderReader(DataSourceReader):
         self.scan = _Scan(source, schema)
         self.start = source.mail["offset"] or 1
         self.end: int | None = None
-        self.uid_columns = {
-            f.name
-            for f in schema
-            if f.name == "uid" or source.mail.aliases.get(f.name.lower()) == "uid"
-        } if not source.mail["content-columns"] else set()
+        self.uid_columns = self.scan.uid_columns
 
     def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
         """Take over bounds on the uid; Spark checks the rest."""

@@ -10,6 +10,8 @@ import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from datetime import datetime, timezone
+from email.utils import format_datetime
 from typing import Any
 
 from pyspark.sql import Row
@@ -95,7 +97,8 @@ class Composer:
         key = options["message-key"]
         layout = M.Layout.of(schema, options.aliases, options["content-columns"], M.WRITABLE)
         self.by_key = {c.key: c.name for c in layout.metadata}
-        self.content = [c for c in layout.content if c.name != key]
+        self.date = options["date-column"]
+        self.content = [c for c in layout.content if c.name not in (key, self.date)]
         self.format = options["format"]
         if self.content:
             if self.format == "raw":
@@ -132,7 +135,9 @@ class Composer:
         recipients = [m for k in ("to", "cc", "bcc") for _, address in lists.get(k, []) for m in mailboxes(address)]
         key = str(row[self.options["message-key"]]) if self.options["message-key"] else ""
         digest = hashlib.sha256("\n".join([key, ",".join(recipients), head, part]).encode()).hexdigest()
-        head += f"Message-ID: <{digest}@mailspark.invalid>{_EOL}MIME-Version: 1.0{_EOL}"
+        sent = (row[self.date] if self.date else None) or datetime.now(timezone.utc)
+        date = re.sub(r"^(\w+, )0", r"\1", format_datetime(sent.astimezone(timezone.utc)))
+        head += f"Date: {date}{_EOL}Message-ID: <{digest}@mailspark.invalid>{_EOL}MIME-Version: 1.0{_EOL}"
         if self.content:
             boundary = f"=_{digest[:32]}"
             raw = (

@@ -11,6 +11,7 @@ import imaplib
 import re
 import smtplib
 from collections.abc import Iterable, Iterator
+from contextlib import suppress
 from dataclasses import dataclass
 from datetime import datetime
 from typing import Any
@@ -58,9 +59,11 @@ class ImapTransport:
         return self._connection
 
     def close(self) -> None:
-        if self._connection is not None:
-            self._connection.logout()
-            self._connection = None
+        """End the connection; what goes wrong then must not hide what went wrong before."""
+        connection, self._connection = self._connection, None
+        if connection is not None:
+            with suppress(OSError, imaplib.IMAP4.error):
+                connection.logout()
 
     def folders(self) -> list[tuple[str, bool]]:
         """(name, holds messages) of every folder at any depth."""
@@ -101,8 +104,11 @@ class ImapTransport:
             kind, data = self.connection.uid("FETCH", f"{first}:{last}", items)
             if kind != "OK":
                 raise OSError(f"FETCH {first}:{last} failed: {data}")
-            for message in parse_fetch(data):
-                if first <= message["uid"] <= last:
+            found: dict[int, dict[str, Any]] = {}
+            for message in parse_fetch(data):  # a server may add answers of its own, such as new flags
+                found.setdefault(message["uid"], {}).update(message)
+            for uid, message in found.items():
+                if first <= uid <= last and is_whole(message, columns):
                     yield message
 
 
@@ -123,6 +129,15 @@ def fetch_items(columns: Iterable[str]) -> list[str]:
     return items
 
 
+def is_whole(message: dict[str, Any], columns: Iterable[str]) -> bool:
+    """Whether the server has answered what was asked, not only told a change of flags."""
+    columns = set(columns)
+    if columns & {"head", "body"}:
+        return "head" in message
+    asked = columns & {"internal_date", "size"}
+    return not asked or bool(asked & message.keys())
+
+
 def parse_fetch(data: Iterable[Any]) -> Iterator[dict[str, Any]]:
     """Answers of one FETCH -> messages; sequence numbers without data are skipped."""
     attributes, literal = b"", None
@@ -202,26 +217,27 @@ class ArchiveTransport:
     def close(self) -> None:
         pass
 
-    def _folder_rows(self) -> dict[str, list[Any]]:
-        import pyarrow.dataset as ds
+    def _state(self) -> Any:
+        from pyarrow import fs
+
+        from mailspark.sources.ledger import State, newest
 
-        table = ds.dataset(f"{self.root}/folders", filesystem=self.filesystem, format="parquet").to_table()
-        rows: dict[str, list[Any]] = {}
-        for row in table.to_pylist():
-            now = rows.setdefault(row["name"], [None, 1, False])
-            now[0] = max((v for v in (now[0], row["uidvalidity"]) if v is not None), default=None)
-            now[1] = max(now[1], row["uid_next"])
-            now[2] = now[2] or row["holds_messages"]
-        return rows
+        place = f"{self.root}/ledger"
+        listed = self.filesystem.get_file_info(fs.FileSelector(place, allow_not_found=True))
+        name = newest([f.base_name for f in listed])
+        if name is None:
+            return State()
+        with self.filesystem.open_input_stream(f"{place}/{name}") as stream:
+            return State.of(stream.read().decode())
 
     def folders(self) -> list[tuple[str, bool]]:
-        return [(name, row[2]) for name, row in sorted(self._folder_rows().items())]
+        return [(name, f.holds_messages) for name, f in sorted(self._state().folders.items())]
 
     def status(self, folder: str) -> tuple[int, int]:
-        rows = self._folder_rows()
-        if folder not in rows:
+        found = self._state().folders.get(folder)
+        if found is None:
             raise ValueError(f"Folder '{folder}' not found in {self.options['archive']}")
-        return rows[folder][0] or 1, rows[folder][1]
+        return found.uidvalidity, found.uid_next
 
     def splits(self, folder: str, start: int, end: int) -> list[Split]:
         """One split per file of the folder's partition; row groups are pruned by uid when read."""
@@ -231,8 +247,10 @@ class ArchiveTransport:
 
         if start >= end:
             return []
-        place = fs.FileSelector(f"{self.root}/messages/folder={directory_name(folder)}", allow_not_found=True)
-        files = [f.path for f in self.filesystem.get_file_info(place) if f.path.endswith(".parquet")]
+        tops = ["messages", *(f"_staged/{append}-messages" for append in self._state().unmoved)]
+        places = [f"{self.root}/{top}/folder={directory_name(folder)}" for top in tops]
+        found = [f for p in places for f in self.filesystem.get_file_info(fs.FileSelector(p, allow_not_found=True))]
+        files = [f.path for f in found if f.path.endswith(".parquet")]
         return [Split(start, end, (f,)) for f in sorted(files)]
 
     def fetch(self, folder: str, split: Split, columns: Iterable[str]) -> Iterator[dict[str, Any]]:
@@ -241,7 +259,8 @@ class ArchiveTransport:
         columns = list(dict.fromkeys(["uid", *columns]))
         stored = ds.dataset(list(split.files), filesystem=self.filesystem, format="parquet")
         in_range = (ds.field("uid") >= split.start) & (ds.field("uid") < split.end)
-        for batch in stored.to_batches(columns=columns, filter=in_range, batch_size=1024):
+        most = 16 if {"head", "body"} & set(columns) else 1024  # messages held at once
+        for batch in stored.to_batches(columns=columns, filter=in_range, batch_size=most):
             yield from batch.to_pylist()
 
 
@@ -261,4 +280,6 @@ class SmtpTransport:
             raise smtplib.SMTPRecipientsRefused(refused)
 
     def close(self) -> None:
-        self._connection.quit()
+        """End the connection; all mail has been taken over by then."""
+        with suppress(OSError, smtplib.SMTPException):
+            self._connection.quit()

@@ -88,7 +88,7 @@ def send_stream(
     """Send one mail per row of an unbounded query, or append it to the archive named by ``spool``."""
     parsed = MailOptions.parse(options, SMTP_SPEC, substitute="spool")
     if parsed["spool"]:
-        sink = rows.writeStream.foreachBatch(lambda batch, _: outbox.send(batch, options))
+        sink = rows.writeStream.foreachBatch(lambda batch, number: outbox.send(batch, options, (checkpoint, number)))
     else:
         messages = outbox.check_recipients(outbox.compose(rows, options))
         sink = messages.writeStream.format("smtp").options(**outbox.account_options(options))

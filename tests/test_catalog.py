@@ -47,7 +47,7 @@ def test_one_database(spark, server):
     found = catalog(spark, server)
     assert found.list_databases() == ["folders"] and found.database_exists("folders")
     assert not found.database_exists("other")
-    assert found.get_database("folders") == "Lists all folders as source tables"
+    assert found.get_database("folders") == "One table per mail folder of the account"
     with pytest.raises(ValueError, match="'other' not found"):
         found.get_database("other")
 

@@ -317,6 +317,8 @@ class Connection:
             (b"2 (BODY[] {4}", b"\r\nyz"), b' UID 3 FLAGS () INTERNALDATE " 6-May-2024 07:08:09 +0000")',
             None,
             b"7 (UID 900 FLAGS ())",
+            b"1 (UID 2 FLAGS (\\Seen \\Draft))",
+            b"3 (UID 4 FLAGS (\\Seen))",
         ]
 
 
@@ -334,7 +336,7 @@ def test_fetch_pages_read_only():
     assert found.connection.commands[1][2] == "(UID INTERNALDATE RFC822.SIZE FLAGS BODY.PEEK[])"
     assert messages[0] == {
         "uid": 2, "internal_date": datetime(2024, 5, 6, 7, 8, 9, tzinfo=timezone(timedelta(hours=1))), "size": 9,
-        "flags": ["\\Seen"], "head": b"A: b\r\n\r\n", "body": b"x"}
+        "flags": ["\\Seen", "\\Draft"], "head": b"A: b\r\n\r\n", "body": b"x"}
     assert messages[1]["uid"] == 3 and messages[1]["body"] == b"yz" and messages[1]["flags"] == []
     assert [m["uid"] for m in messages] == [2, 3]
 

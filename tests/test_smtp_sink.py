@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import email
 import email.policy
+import re
+from datetime import datetime, timedelta, timezone
 
 import fakes
 import pytest
@@ -34,10 +36,18 @@ def composed(spark, *rows, schema=SCHEMA, **options):
     one = Composer(frame.schema, MailOptions.parse({"host": "h", **options}, SMTP_SPEC))
     for row, message in zip(frame.collect(), found):
         if message.envelope_to:
-            assert one(row) == (message.envelope_from, message.envelope_to, bytes(message.raw))
+            sender, recipients, raw = one(row)
+            assert (sender, recipients, undated(raw)) == (message.envelope_from, message.envelope_to, undated(message.raw))
     return found
 
 
+def undated(raw):
+    """A message without its Date, which must be there once."""
+    out, n = re.subn(rb"\r\nDate: \w{3}, \d{1,2} \w{3} \d{4} \d\d:\d\d:\d\d \+0000(?=\r\n)", b"", b"\r\n" + bytes(raw))
+    assert n == 1
+    return out
+
+
 def parsed(message):
     return email.message_from_bytes(bytes(message.raw), policy=email.policy.default)
 
@@ -46,6 +56,7 @@ def test_plain_message(spark):
     message = composed(spark, PLAIN)[0]
     lines = bytes(message.raw).decode().split("\r\n")
     assert lines[:3] == ["From: sender@mail.test", "To: ingo@mail.test", "Subject: Subject"]
+    assert lines[3].startswith("Date: ") and lines[4].startswith("Message-ID: ")
     found = parsed(message)
     assert found.get_content_type() == "multipart/mixed"
     (part,) = found.iter_parts()
@@ -140,10 +151,30 @@ def test_aliases_and_unknown_keys(spark):
     options = {"metadata.title": "subject", "content-columns": "subject"}
     message = compose(rows_of(spark, ("t", ["a@b.c"], "the body"), schema=schema), options).first()
     assert parsed(message)["Subject"] == "t" and b"the body" in bytes(message.raw)
-    with pytest.raises(ValueError, match="'uid' not found"):
+    with pytest.raises(ValueError, match="No metadata is called 'uid'"):
         compose(rows_of(spark, ("t", ["a@b.c"], "x"), schema=schema), {"metadata.title": "uid"})
 
 
+def test_date(spark):
+    """The time of sending, or of a column; it does not change the Message-ID."""
+    now = datetime.now(timezone.utc)
+    plain = composed(spark, PLAIN)[0]
+    sent = parsed(plain)["Date"].datetime
+    assert abs(sent - now) < timedelta(minutes=5)
+    times = [datetime(2024, 5, 6, 7, 8, 9), datetime(1999, 12, 31, 23, 59, 59), None]
+    schema = SCHEMA + ", at timestamp"
+    frame = rows_of(spark, *[(*PLAIN, t) for t in times], schema=schema)
+    options = {"date-column": "at"}
+    found = composed(spark, *[(*PLAIN, t) for t in times], schema=schema, **options)
+    one = Composer(frame.schema, MailOptions.parse({"host": "h", **options}, SMTP_SPEC))
+    for row, message, seconds in zip(frame.collect(), found, frame.select(F.unix_seconds("at")).collect()):
+        if seconds[0] is not None:
+            assert parsed(message)["Date"].datetime.timestamp() == seconds[0]
+            assert one(row)[2] == bytes(message.raw)
+    assert abs(parsed(found[2])["Date"].datetime - now) < timedelta(minutes=5)
+    assert {m.message_id for m in found} == {plain.message_id}
+
+
 def test_message_id_is_fixed_by_the_row(spark):
     other = (*PLAIN[:6], "other")
     first, again, different = composed(spark, PLAIN, PLAIN, other)
@@ -167,7 +198,7 @@ def test_content_round_trip(spark, contents):
     messages = compose(frame).collect()
     for row, message in zip(frame.collect(), messages):
         one = Composer(frame.schema, MailOptions.parse({"host": "h"}, SMTP_SPEC))
-        assert one(row)[2] == bytes(message.raw)
+        assert undated(one(row)[2]) == undated(message.raw)
     raws = [(i, bytearray(m.raw)) for i, m in enumerate(messages)]
     mail = spark.createDataFrame(raws, "uid bigint, raw binary").selectExpr(
         "'x' folder", "uid", "current_timestamp() internal_date", "array() flags", "raw")
@@ -254,6 +285,18 @@ def test_spool_round_trip(spark, tmp_path):
         ("one", "sender@mail.test", "ingo@mail.test"), ("two", "sender@mail.test", "ingo@mail.test")]
 
 
+def test_sends_into_one_spool_at_the_same_time(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    spool = str(tmp_path / "spool")
+    Archive(spark, spool).create()
+    rows = rows_of(spark, *[(f"s{i}", *PLAIN[1:]) for i in range(20)]).repartition(2)
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda _: send(rows, {"spool": spool}), range(2)))
+    uids = sorted(r.uid for r in read_folder(spark, {"archive": spool, "folder": "OUTBOX"}, "uid bigint").collect())
+    assert uids == list(range(1, 41))
+
+
 def test_sender_falls_back_to_the_user(spark):
     schema = "`to` array<string>"
     assert composed(spark, (["a@b.c"],), schema=schema, user="me@b.c")[0].envelope_from == "me@b.c"
