@@ -49,6 +49,7 @@ def _event_mail(spark: SparkSession, sf_dir: str, bad: bool) -> DataFrame:
         _line("From: User ", user, " <u", user, "@mail.test>"),
         _line(f'To: "Doe, Jane" <ops@mail.test>,{_EOL} audit@mail.test'),
         _optional(F.col("event_type") == "error", _line("Cc: oncall@mail.test")),
+        *([_optional(F.col("user_id") % 3 == 0, _line("Bcc: Hidden <h", user, "@mail.test>"))] if bad else []),
         _line("Subject: ", F.col("event_type")),
         _line("MIME-Version: 1.0"),
         _line("Content-Type: application/json"),
@@ -69,7 +70,7 @@ def event_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_mail_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every fifth body is no JSON, every eleventh Date is missing."""
+    """Every fifth body is no JSON, every eleventh Date is missing, every third user has a Bcc."""
     return _event_mail(spark, sf_dir, bad=True)
 
 
@@ -172,6 +173,46 @@ def order_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_xml_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order fields as the XML body of incoming mail."""
+    orders = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
+    fields = ("o_orderkey", "o_custkey", "o_orderpriority")
+    cells = [x for f in fields for x in (F.lit(f"<{f}>"), F.col(f).cast("string"), F.lit(f"</{f}>{_EOL}"))]
+    raw = F.concat(
+        _line("From: orders@shop.test"),
+        _line("Content-Type: text/xml"),
+        F.lit(_EOL),
+        _line(F.concat(F.lit(f"<order>{_EOL}"), *cells, F.lit("</order>"))),
+    )
+    return orders.select(
+        F.lit("ORDERS").alias("folder"),
+        (F.col("o_orderkey") + 1).alias("uid"),
+        _as_utc(F.col("o_orderdate")).alias("internal_date"),
+        F.array().cast("array<string>").alias("flags"),
+        raw.cast("binary").alias("raw"),
+    )
+
+
+def quoted_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents as quoted-printable bodies, each byte quoted, in lines of 75 characters."""
+    quoted = F.regexp_replace(F.hex(F.encode("text", "UTF-8")), "(..)", "=$1")
+    lines = F.regexp_replace(quoted, "(.{75})(?=.)", f"$1={_EOL}")
+    raw = F.concat(
+        _line("From: docs@mail.test"),
+        _line("Content-Type: text/plain; charset=UTF-8"),
+        _line("Content-Transfer-Encoding: quoted-printable"),
+        F.lit(_EOL),
+        lines,
+    )
+    return table(spark, sf_dir, "documents", "doc_id", "text", "lang").select(
+        F.col("lang").alias("folder"),
+        (F.col("doc_id") + 1).alias("uid"),
+        F.timestamp_seconds(F.col("doc_id")).alias("internal_date"),
+        F.array().cast("array<string>").alias("flags"),
+        raw.cast("binary").alias("raw"),
+    )
+
+
 _MAIL = {"event_mail": event_mail, "event_mail_holes": event_mail_holes, "conv_mail": conv_mail}
 
 # ranges of event ids, in order: their mail needs no shuffle on the way into the archive

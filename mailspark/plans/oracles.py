@@ -34,6 +34,11 @@ FROM events""",
     "scan_batched": """
 SELECT event_id // 50 AS page, count(*) AS messages, CAST(sum(event_id + 1) AS BIGINT) AS uid_sum
 FROM events WHERE (event_id + 1) % 7 <> 0 GROUP BY 1""",
+    "scan_batch_sizes": """
+SELECT CAST(size AS INTEGER) AS size, count(*) AS messages, CAST(sum(event_id + 1) AS BIGINT) AS uid_sum,
+  CAST(sum(length(event_type)) AS BIGINT) AS letters
+FROM events, (SELECT unnest([7, 50, 100000]) AS size) WHERE (event_id + 1) % 7 <> 0 GROUP BY 1""",
+    "import_resume": "SELECT event_id + 1 AS uid, event_type AS subject FROM events",
     "scan_folder": f"""
 SELECT uid, 'conv ' || conv_id || ' turn ' || turn AS subject, text AS content FROM {_CONV} WHERE role = 'user'""",
     "scan_all_folders": """
@@ -58,6 +63,11 @@ SELECT event_id + 1 AS uid, {_FROM} AS "from", {_FROM} AS "fromFirst", {_FROM} A
   {_TO} AS "to", '"Doe, Jane" <ops@mail.test>' AS "toFirst",
   CASE WHEN {_IS_ERROR} THEN 'oncall@mail.test' ELSE '-' END AS cc, '-' AS bcc,
   {_TO} || CASE WHEN {_IS_ERROR} THEN '|oncall@mail.test' ELSE '' END AS recipients
+FROM events""",
+    "meta_bcc": f"""
+SELECT event_id + 1 AS uid, CASE WHEN user_id % 3 = 0 THEN 'Hidden <h' || user_id || '@mail.test>' ELSE '-' END AS bcc,
+  {_TO} || CASE WHEN {_IS_ERROR} THEN '|oncall@mail.test' ELSE '' END
+  || CASE WHEN user_id % 3 = 0 THEN '|Hidden <h' || user_id || '@mail.test>' ELSE '' END AS recipients
 FROM events""",
     "meta_flags": """
 SELECT event_id + 1 AS uid, CAST(user_id % 2 = 0 AS INTEGER) AS seen, CAST(event_id % 10 = 0 AS INTEGER) AS draft,
@@ -80,6 +90,8 @@ FROM events""",
     "format_raw": f"SELECT role AS folder, uid, text AS content FROM {_CONV}",
     "format_json": f"SELECT event_id + 1 AS uid, {_K} AS k FROM events",
     "format_csv": "SELECT o_orderkey + 1 AS uid, o_orderkey, o_custkey, o_orderpriority FROM orders",
+    "format_xml": "SELECT o_orderkey + 1 AS uid, o_orderkey, o_custkey, o_orderpriority FROM orders",
+    "content_quoted_printable": "SELECT lang AS folder, doc_id + 1 AS uid, text AS content FROM documents",
     "format_bad_json": f"""
 SELECT event_id + 1 AS uid, event_type AS subject, CASE WHEN event_id % 5 = 0 THEN -1 ELSE {_K} END AS k FROM events""",
     "content_base64_utf8": """
@@ -92,6 +104,8 @@ SELECT {_SUBJECT} AS subject, epoch_us(o_orderdate) // 1000000 AS sent, 'orders@
   o_orderkey || ',' || o_custkey || ',' || o_orderpriority AS content
 FROM {_ORDERS}""",
     "outbox_json": f"SELECT {_SUBJECT} AS subject, o_orderkey, o_custkey FROM {_ORDERS}",
+    "outbox_csv": f"SELECT {_SUBJECT} AS subject, o_orderkey || ',' || o_custkey AS content FROM {_ORDERS}",
+    "outbox_xml": f"SELECT {_SUBJECT} AS subject, o_orderkey, o_custkey FROM {_ORDERS}",
     "outbox_no_content": f"""
 SELECT 'text/plain; charset=us-ascii' AS "contentType", count(*) AS messages, CAST(0 AS BIGINT) AS body_bytes
 FROM {_ORDERS}""",
@@ -108,7 +122,10 @@ FROM events""",
 SELECT {_SUBJECT} AS subject, c_name || '|Doe, Jane|-' AS names,
   'c' || o_custkey || '@mail.test|ops@mail.test|' || CASE WHEN {_IS_RUSH} THEN 'rush@shop.test' ELSE '-' END AS addresses
 FROM {_ORDERS}""",
-    "catalog_folders": "SELECT DISTINCT 'folders' AS database, role AS name FROM conversations",
+    "catalog_folders": "SELECT DISTINCT 'conv_folders' AS database, role AS name FROM conversations",
+    "catalog_exists": """
+SELECT unnest([role, role || '/Sent', upper(role)]) AS name, unnest([true, false, false]) AS found
+FROM (SELECT DISTINCT role FROM conversations)""",
     "catalog_table": f"SELECT {_CONV_DEFAULT} FROM {_CONV} WHERE role = 'user'",
     "catalog_view": f"SELECT role AS folder, {_CONV_DEFAULT} FROM {_CONV}",
     "catalog_hint": "SELECT event_id + 1 AS uid, event_type AS subject FROM events WHERE event_id + 1 >= 501",

@@ -10,10 +10,10 @@ from mailspark import metadata as M
 from mailspark.catalog import MailCatalog, read_folder
 from mailspark.functions import address as A
 from mailspark.functions import body as B
-from mailspark.operators.outbox import send
+from mailspark.operators.outbox import compose, send
 from mailspark.operators.project import decode_mail, physical_row, row_slice
 from mailspark.plans import fixtures as X
-from mailspark.session import new_path
+from mailspark.session import new_path, register
 from mailspark.sources.archive import Archive
 from mailspark.streaming.mailbox import send_stream, stream_folder
 
@@ -57,6 +57,22 @@ def scan_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_folder(spark, {"archive": archive.path, "offset": "501"}, "uid bigint, subject string")
 
 
+def scan_batch_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder with holes fetched in pages of several sizes: count and sums are the same for each."""
+    register(spark)
+    archive = X.archive_of(spark, sf_dir, "event_mail_holes")
+
+    def read(size: int) -> DataFrame:
+        reader = spark.read.format("imap").options(**{"archive": archive.path, "batch-size": str(size)})
+        mail = reader.schema("uid bigint, subject string").load()
+        return mail.agg(
+            F.lit(size).alias("size"), F.count("*").alias("messages"), F.sum("uid").alias("uid_sum"),
+            F.sum(F.length("subject")).alias("letters"),
+        )
+
+    return read(7).unionAll(read(50)).unionAll(read(100_000))
+
+
 def scan_batched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Count and uid sum per page of 50 uids, in a folder with holes."""
     archive = X.archive_of(spark, sf_dir, "event_mail_holes")
@@ -113,6 +129,16 @@ def stream_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("uid bigint, subject string").parquet(out)
 
 
+def import_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An import in batches, one of which runs again: each message is there once."""
+    mail = X.event_mail(spark, sf_dir)
+    half = mail.count() // 2
+    archive = Archive(spark, new_path(spark, "import_resume")).create()
+    for number, part in ((0, F.col("uid") <= half), (0, F.col("uid") <= half), (1, F.col("uid") > half)):
+        archive.append(mail.where(part), clustered=True, batch=("import", number))
+    return read_folder(spark, {"archive": archive.path}, "uid bigint, subject string")
+
+
 # -- metadata columns -----------------------------------------------------------------------------
 
 
@@ -121,6 +147,11 @@ def meta_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mail.select("uid", _seconds("sent"), _micros("received"))
 
 
+def meta_bcc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mail = decode_mail(X.event_mail_bad(spark, sf_dir), "uid bigint, bcc array<string>, recipients array<string>")
+    return mail.select("uid", _joined("bcc"), _joined("recipients"))
+
+
 def meta_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     lists = ["from", "to", "cc", "bcc", "recipients", "replyTo"]
     firsts = ["fromFirst", "toFirst"]
@@ -190,6 +221,11 @@ def format_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_mail(X.order_mail(spark, sf_dir), schema, format="csv")
 
 
+def format_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = "uid bigint, o_orderkey bigint, o_custkey bigint, o_orderpriority string"
+    return decode_mail(X.order_xml_mail(spark, sf_dir), schema, format="xml", format_options={"rowTag": "order"})
+
+
 def format_bad_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     mail = decode_mail(X.event_mail_bad(spark, sf_dir), "uid bigint, subject string, k bigint", format="json")
     return mail.select("uid", "subject", F.coalesce("k", F.lit(-1)).alias("k"))
@@ -199,6 +235,10 @@ def content_base64_utf8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_mail(X.doc_mail(spark, sf_dir), "uid bigint, subject string, content string", keep=["folder"])
 
 
+def content_quoted_printable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decode_mail(X.quoted_mail(spark, sf_dir), "uid bigint, content string", keep=["folder"])
+
+
 # -- outbox ---------------------------------------------------------------------------------------
 
 
@@ -226,6 +266,19 @@ def outbox_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mail.select("subject", content.alias("c")).select("subject", "c.*")
 
 
+def outbox_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two content columns as one line of CSV, as it is sent."""
+    mail = _spooled(X.order_outbox(spark, sf_dir, "json"), "subject string, body string", format="csv")
+    return mail.select("subject", B.only_part(F.col("body")).cast("string").alias("content"))
+
+
+def outbox_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two content columns as one XML body, read back by name."""
+    mail = _spooled(X.order_outbox(spark, sf_dir, "json"), "subject string, body string", format="xml")
+    content = F.from_xml(B.only_part(F.col("body")).cast("string"), "o_orderkey bigint, o_custkey bigint")
+    return mail.select("subject", content.alias("c")).select("subject", "c.*")
+
+
 def outbox_no_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = X.order_outbox(spark, sf_dir, "none")
     mail = _spooled(rows, "subject string, contentType string, body string")
@@ -236,8 +289,6 @@ def outbox_no_content(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def outbox_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sender and recipients as given to the server."""
-    from mailspark.operators.outbox import compose
-
     sent = compose(X.order_outbox(spark, sf_dir), {"date-column": "ordered"})
     return sent.groupBy("envelope_from", F.array_join("envelope_to", ",").alias("recipients")).agg(
         F.count("*").alias("messages"), F.count_distinct("message_id").alias("ids")
@@ -284,8 +335,18 @@ def _catalog(spark: SparkSession, sf_dir: str, fixture: str, database: str) -> M
 
 
 def catalog_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The databases an account lists, with the folders in each."""
+    catalog = _catalog(spark, sf_dir, "conv_mail", "conv_folders")
+    (database,) = [d for d in catalog.list_databases() if catalog.database_exists(d)]
+    return catalog.folders().select(F.lit(database).alias("database"), "name")
+
+
+def catalog_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which of the folders of the conversations, and of names like them, exist."""
     catalog = _catalog(spark, sf_dir, "conv_mail", "conv_folders")
-    return catalog.folders().select(F.lit("folders").alias("database"), "name")
+    roles = [r.role for r in spark.read.parquet(f"{sf_dir}/conversations.parquet").select("role").distinct().collect()]
+    names = [n for r in roles for n in (r, f"{r}/Sent", r.upper())]
+    return spark.createDataFrame([(n, catalog.table_exists(n)) for n in names], "name string, found boolean")
 
 
 def catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -305,22 +366,23 @@ def catalog_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalog_hint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An option given in the query overrides the table's."""
-    tables = _catalog(spark, sf_dir, "event_mail", "event_folders").sync()
-    return spark.sql(f"SELECT uid, subject FROM {tables['INBOX']} WITH ('offset' = '501')")
+    """An offset given in the query overrides the table's."""
+    _catalog(spark, sf_dir, "event_mail", "event_folders").sync()
+    return spark.sql("SELECT uid, subject FROM event_folders_inbox_from(501)")
 
 
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in [
         inbox,
-        scan_current, scan_offset, scan_batched, scan_folder, scan_all_folders,
-        stream_all, stream_new,
-        meta_envelope, meta_addresses, meta_flags, meta_size_type, meta_headers, meta_alias_cast,
+        scan_current, scan_offset, scan_batched, scan_batch_sizes, scan_folder, scan_all_folders,
+        stream_all, stream_new, import_resume,
+        meta_envelope, meta_addresses, meta_bcc, meta_flags, meta_size_type, meta_headers, meta_alias_cast,
         projection_no_content, row_layout,
-        format_raw, format_json, format_csv, format_bad_json, content_base64_utf8,
-        outbox_roundtrip, outbox_json, outbox_no_content, outbox_envelope, outbox_stream,
+        format_raw, format_json, format_csv, format_xml, format_bad_json, content_base64_utf8,
+        content_quoted_printable,
+        outbox_roundtrip, outbox_json, outbox_csv, outbox_xml, outbox_no_content, outbox_envelope, outbox_stream,
         decode_addresses,
-        catalog_folders, catalog_table, catalog_view, catalog_hint,
+        catalog_folders, catalog_exists, catalog_table, catalog_view, catalog_hint,
     ]
 }

@@ -259,7 +259,7 @@ class ArchiveTransport:
         columns = list(dict.fromkeys(["uid", *columns]))
         stored = ds.dataset(list(split.files), filesystem=self.filesystem, format="parquet")
         in_range = (ds.field("uid") >= split.start) & (ds.field("uid") < split.end)
-        most = 16 if {"head", "body"} & set(columns) else 1024  # messages held at once
+        most = self.options["batch-size"]  # messages held at once
         for batch in stored.to_batches(columns=columns, filter=in_range, batch_size=most):
             yield from batch.to_pylist()
 
