@@ -30,7 +30,7 @@ def _urls(rounds: int, damping: float, threshold: float) -> str:
         v AS (SELECT *, CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow'
                              WHEN rule IS NOT NULL THEN 'block' END AS verdict FROM q),
         e AS (SELECT a, b, count(*) AS n FROM (
-                SELECT host AS a, translate(regexp_replace(b, '^.*@|:\d*$', '', 'g'), {low}) AS b
+                SELECT host AS a, translate(regexp_replace(b, '^.*@|:[0-9]*$', '', 'g'), {low}) AS b
                 FROM (SELECT host, unnest(regexp_extract_all(html, '{link}', 1)) AS b FROM v))
               WHERE a <> '' AND b <> '' AND a <> b GROUP BY ALL),
         ways AS (SELECT kind, host, b, n / sum(n) OVER (PARTITION BY kind, host) * {damping} AS w
