@@ -7,13 +7,12 @@ task holds one page of a server's answer, and the server is what limits it.
 from __future__ import annotations
 
 import base64
-import csv
-import io
 import json
 import quopri
 import re
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
+from decimal import Decimal
 from typing import Any
 
 from pyspark.sql import types as T
@@ -171,30 +170,88 @@ def body_bytes(body: bytes, transfer_encoding: str | None) -> bytes:
 # -- content formats ------------------------------------------------------------------------------
 
 
-def convert(value: Any, to: T.DataType) -> Any:
-    """JSON or CSV value -> value of the declared type; null when it does not fit."""
-    if value is None:
+class _Number(str):
+    """A JSON number as it is written."""
+
+
+_INTEGERS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
+_CELL = re.compile(r'"((?:[^"\\]|\\.)*)(?:"(?=,|$)|$)|([^,]*)', re.S)
+
+
+def _integer(text: str, to: T.DataType) -> int | None:
+    """A whole number in the range of the type; null otherwise, as Spark reads it."""
+    if not re.fullmatch(r"[+-]?[0-9]+", text):
         return None
-    try:
-        if isinstance(to, T.StringType):
-            return value if isinstance(value, str) else json.dumps(value, separators=(",", ":"))
-        if isinstance(to, T.BooleanType):
-            if isinstance(value, str):
-                return {"true": True, "false": False}.get(value.lower())
-            return value if isinstance(value, bool) else None
-        if isinstance(to, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-            return None if isinstance(value, (bool, float)) else int(value)
-        if isinstance(to, (T.FloatType, T.DoubleType)):
-            return None if isinstance(value, bool) else float(value)
-        if isinstance(to, T.ArrayType):
-            return [convert(v, to.elementType) for v in value] if isinstance(value, list) else None
-        if isinstance(to, T.StructType):
-            return tuple(convert(value.get(f.name), f.dataType) for f in to) if isinstance(value, dict) else None
-    except (TypeError, ValueError):
+    limit = 1 << (_INTEGERS[type(to)] - 1)
+    return int(text) if -limit <= int(text) < limit else None
+
+
+def _float(text: str) -> float | None:
+    return float(text) if re.fullmatch(r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?", text) else None
+
+
+def _json_text(value: Any) -> str:
+    if isinstance(value, dict):
+        return "{" + ",".join(f"{json.dumps(k, ensure_ascii=False)}:{_json_text(v)}" for k, v in value.items()) + "}"
+    if isinstance(value, list):
+        return "[" + ",".join(map(_json_text, value)) + "]"
+    if not isinstance(value, _Number):
+        return json.dumps(value, ensure_ascii=False)
+    return value if re.fullmatch(r"-?[0-9]+", value) else _double_text(float(value))
+
+
+def _double_text(x: float) -> str:
+    """A double as the JVM writes it."""
+    if x == 0 or 1e-3 <= abs(x) < 1e7:
+        return repr(x)
+    sign, digits, exponent = Decimal(repr(x)).normalize().as_tuple()
+    rest = "".join(map(str, digits[1:])) or "0"
+    return f"{'-' * sign}{digits[0]}.{rest}E{len(digits) + exponent - 1}"
+
+
+def from_json(value: Any, to: T.DataType) -> Any:
+    """JSON value -> value of the declared type; null when it does not fit. Only numbers are read as numbers."""
+    if value is None:
         return None
+    if isinstance(to, T.StringType):
+        return value if type(value) is str else _json_text(value)
+    if isinstance(to, T.BooleanType):
+        return value if isinstance(value, bool) else None
+    if type(to) in _INTEGERS:
+        return _integer(value, to) if isinstance(value, _Number) else None
+    if isinstance(to, (T.FloatType, T.DoubleType)):
+        return _float(value) if isinstance(value, _Number) else None
+    if isinstance(to, T.ArrayType):
+        return [from_json(v, to.elementType) for v in value] if isinstance(value, list) else None
+    if isinstance(to, T.StructType):
+        return tuple(from_json(value.get(f.name), f.dataType) for f in to) if isinstance(value, dict) else None
     raise ValueError(f"type {to.simpleString()} is not read from a declared table; use mailspark.read_folder")
 
 
+def from_cell(cell: str | None, to: T.DataType) -> Any:
+    """CSV cell -> value of the declared type; null when it does not fit."""
+    if cell is None or isinstance(to, T.StringType):
+        return cell
+    if isinstance(to, T.BooleanType):
+        return {"true": True, "false": False}.get(cell.lower())
+    if type(to) in _INTEGERS:
+        return _integer(cell, to)
+    if isinstance(to, (T.FloatType, T.DoubleType)):
+        return _float(cell)
+    raise ValueError(f"type {to.simpleString()} is not read from a declared table; use mailspark.read_folder")
+
+
+def csv_cells(line: str) -> list[str | None]:
+    """Cells of one line; within quotes a backslash escapes a quote or itself. An empty cell is null."""
+    cells, at = [], 0
+    while at <= len(line):
+        found = _CELL.match(line, at)
+        cell = found[2] if found[1] is None else re.sub(r'\\(["\\])', r"\1", found[1])
+        cells.append(cell or None)
+        at = found.end() + 1
+    return cells
+
+
 def content_decoder(
     name: str, content: list[M.Column], options: dict[str, str]
 ) -> Callable[[bytes, str | None], tuple[Any, ...]]:
@@ -214,23 +271,24 @@ def content_decoder(
         return lambda data, charset: (text(data, charset),)
     if name == "json":
 
-        def from_json(data: bytes, charset: str | None) -> tuple[Any, ...]:
+        def decode_json(data: bytes, charset: str | None) -> tuple[Any, ...]:
             try:
-                parsed = json.loads(text(data, charset))
-            except ValueError:
+                reader = json.JSONDecoder(parse_int=_Number, parse_float=_Number, parse_constant=_Number)
+                parsed, _ = reader.raw_decode(text(data, charset).lstrip(" \t\r\n"))
+            except (ValueError, RecursionError):
                 return nothing
             if not isinstance(parsed, dict):
                 return nothing
-            return tuple(convert(parsed.get(c.name), c.type) for c in content)
+            return tuple(from_json(parsed.get(c.name), c.type) for c in content)
 
-        return from_json
+        return decode_json
 
-    def from_csv(data: bytes, charset: str | None) -> tuple[Any, ...]:
-        row = next(csv.reader(io.StringIO(text(data, charset).rstrip("\r\n"))), [])
-        cells = [cell or None for cell in row] + [None] * len(content)
-        return tuple(convert(cell, c.type) for cell, c in zip(cells, content))
+    def decode_csv(data: bytes, charset: str | None) -> tuple[Any, ...]:
+        line = re.split(r"[\r\n]", text(data, charset).rstrip("\r\n"), maxsplit=1)[0]
+        cells = csv_cells(line) + [None] * len(content)
+        return tuple(from_cell(cell, c.type) for cell, c in zip(cells, content))
 
-    return from_csv
+    return decode_csv
 
 
 # -- rows -----------------------------------------------------------------------------------------

@@ -125,3 +125,25 @@ def test_archive_as_catalog(spark, archive, mail):  # noqa: F811
     assert native.schema.names == M.DEFAULT_COLUMNS and [r.uid for r in native.collect()] == [4]
     assert sorted(spark.table(tables["INBOX"]).collect()) == sorted(found.table("INBOX").collect())
     assert [r.content for r in found.table("Sent Mail", "content string").collect()] == ["body 2"]
+    later = spark.sql("SELECT uid FROM archived_inbox_from(2)")
+    assert [r.uid for r in later.collect()] == [4]
+    for frame in (spark.table(tables["INBOX"]), later):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "folder#" in plan.split("PartitionFilters")[1]
+
+
+def test_views_of_an_archive_follow_its_folders(spark, archive, mail):  # noqa: F811
+    archive.add_folder("Later")
+    archive.append(numbered(mail, 1, folder="it's"))
+    found = MailCatalog(spark, {"archive": archive.path}, "followed")
+    spark.sql("CREATE DATABASE IF NOT EXISTS followed")
+    spark.sql("CREATE VIEW followed.mine AS SELECT 1 AS x")
+    tables = found.sync()
+    assert spark.table(tables["Later"]).count() == 0 and [r.uid for r in spark.table(tables["it's"]).collect()] == [1]
+    archive.append(numbered(mail, 3, folder="Later"))
+    found.sync()
+    assert [r.uid for r in spark.table(tables["Later"]).collect()] == [3]
+    other = type(archive)(spark, archive.path + "-other").create()
+    other.add_folder("x")
+    assert MailCatalog(spark, {"archive": other.path}, "followed").sync() == {"x": "followed.x"}
+    assert {r.viewName for r in spark.sql("SHOW VIEWS IN followed").collect()} == {"it_s", "later", "mine", "x"}
