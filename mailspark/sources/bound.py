@@ -59,7 +59,8 @@ def create_table(
     bound = bound_source(base, provider, options)
     bound({})
     spark.dataSource.register(bound)
-    columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in M.as_schema(schema))
+    null = {True: "", False: " NOT NULL"}
+    columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}{null[f.nullable]}" for f in M.as_schema(schema))
     if replace and spark.catalog.tableExists(name):
         if not reads_from(spark, name, provider):
             raise ValueError(f"Table {name} exists and is no table of '{base.name()}'")

@@ -217,6 +217,25 @@ def test_table_with_options_hint_and_stream(spark, server):
         create_table(spark, "t", "uid bigint", {"host": "h", "nonsense": "1"})
 
 
+def test_not_null_is_kept(spark, server):
+    fill(server, 1)
+    create_table(spark, "strict_inbox", "uid STRING NOT NULL, subject STRING", {"host": str(server.place)}, fakes.FakeImap, replace=True)
+    found = spark.table("strict_inbox")
+    assert [(f.name, f.nullable) for f in found.schema] == [("uid", False), ("subject", True)]
+    assert rows(found) == [("1", "s1")]
+
+
+def test_temporary_view_with_options_in_sql(spark, server):
+    """The options stand in the statement; it works in any session that knows the format."""
+    fill(server, *range(1, 6))
+    spark.dataSource.register(fakes.FakeNamedImap)
+    try:
+        spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW v (uid BIGINT, subject STRING) USING imap OPTIONS (host '{server.place}', offset '4')")
+        assert rows(spark.sql("SELECT * FROM v")) == [(4, "s4"), (5, "s5")]
+    finally:
+        spark.dataSource.register(ImapDataSource)
+
+
 def test_password_from_the_environment(spark, server, monkeypatch):
     fill(server, 1)
     monkeypatch.setenv("MAIL_TEST_PASSWORD", "secret")
