@@ -12,8 +12,10 @@ import pytest
 from llm_cases import DOCUMENTS, PAGES, PASSAGE, TEXTS, empty, prose, rows, spaced
 from pyspark.sql import functions as F
 
+import check_oracles
 import corpus_pipeline
 from mailspark.llm import exact, urlfilter, warc
+from mailspark.llm.oracles import ORACLES
 from mailspark.llm.queries import URL_RULES
 from mailspark.session import new_path
 
@@ -184,6 +186,15 @@ def test_empty_pages(spark):
     assert warc.archive(none).count() == 0
 
 
+# -- sql ---------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("name", list(ORACLES))
+def test_query_and_its_sql(spark, name):
+    folder = "/root/testdata/sf0.001"
+    assert check_oracles.compare(spark, check_oracles.duck(folder), name, folder) is None
+
+
 # -- pipeline ---------------------------------------------------------------------------------------
 
 

@@ -237,16 +237,19 @@ ODD = ["", " ", "  ", " a", "a ", "a  b", "a   b\n c", "don't 's 't it's", "tab\
        "\r\n x y", "1 22 3.4 !! ..x", "a  b", "  x", "x\x1c y \x1f z"]
 
 
-def test_ids_are_those_of_the_tokenizer():
-    made, _ = packing.tokenizer(byte_bpe())
+@pytest.mark.parametrize("kept", [400_000, 3])
+def test_ids_are_those_of_the_tokenizer(monkeypatch, kept):
+    monkeypatch.setattr(packing, "KEPT_WORDS", kept)
+    made = packing.vocabulary(byte_bpe()).tokenizer
     texts = [*ODD, *TEXTS]
-    ids, at = packing.encode(pa.array(texts), byte_bpe(), 0)
-    for i, t in enumerate(texts):
-        assert ids[at[i] : at[i + 1]].tolist() == [*made.encode(t or "", add_special_tokens=False).ids, 0], t
+    for part in (texts, texts[::-1], texts[3:9]):
+        ids, at = packing.encode(pa.array(part), byte_bpe(), 0)
+        for i, t in enumerate(part):
+            assert ids[at[i] : at[i + 1]].tolist() == [*made.encode(t or "", add_special_tokens=False).ids, 0], t
 
 
 def test_packed_pieces(docs):
-    made, _ = packing.tokenizer(byte_bpe())
+    made = packing.vocabulary(byte_bpe()).tokenizer
     out = packing.pack(docs, byte_bpe(), 100, pieces_per_group=10).collect()
     ids = Counter()
     for i, t in source_rows(docs):
