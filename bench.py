@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import __spark_entry__ as entry_points  # noqa: E402
-from mailspark import Archive, compose, decode_mail, read_folder, register  # noqa: E402
+from mailspark import Archive, compose, decode_mail, read_folder, register, release  # noqa: E402
 from mailspark import metadata as M  # noqa: E402
 from mailspark.plans import fixtures as X  # noqa: E402
 from mailspark.plans.queries import QUERIES  # noqa: E402
@@ -111,6 +111,7 @@ def main() -> None:
                          "parse_all_columns_and_content", "parse_metadata_only")
         },
     }))
+    release(spark)
     spark.stop()
 
 

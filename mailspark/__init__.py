@@ -3,7 +3,7 @@
 from mailspark.catalog import MailCatalog, fetch_folder, import_folder, read_folder
 from mailspark.operators.outbox import compose, send
 from mailspark.operators.project import decode_mail, physical_row, row_slice, split_raw
-from mailspark.session import register
+from mailspark.session import register, release
 from mailspark.sources.archive import Archive
 from mailspark.sources.bound import create_table
 from mailspark.streaming.mailbox import follow, poll, send_stream, stream_folder
@@ -21,6 +21,7 @@ __all__ = [
     "poll",
     "read_folder",
     "register",
+    "release",
     "row_slice",
     "send",
     "send_stream",

@@ -220,9 +220,9 @@ _CLUSTERED = {"event_mail", "event_mail_holes"}
 
 
 def archive_of(spark: SparkSession, sf_dir: str, fixture: str) -> Archive:
-    """An archive of a mail fixture in the shared folder, imported once per application."""
+    """An archive of a mail fixture in the shared folder, imported once per application until it is released."""
     key = (spark.sparkContext.applicationId, sf_dir, fixture)
-    if key not in _built:
+    if key not in _built or not _built[key].exists():
         archive = Archive(spark, new_path(spark, fixture)).create()
         archive.append(_MAIL[fixture](spark, sf_dir), clustered=fixture in _CLUSTERED)
         _built[key] = archive

@@ -16,6 +16,7 @@ from pyspark.sql import SparkSession
 _registered: set[str] = set()
 _local_dirs: dict[str, str] = {}
 _settings_lock = threading.RLock()
+_made: dict[str, list[str]] = {}
 
 
 def sources() -> dict[str, type]:
@@ -63,8 +64,21 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing uses yet."""
-    return f"{shared_folder(spark)}/mailspark/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing uses yet; ``release`` removes what is there."""
+    path = f"{shared_folder(spark)}/mailspark/{name}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Remove the staged tables of this application; DataFrames that read them cannot be used any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    paths = _made.pop(spark.sparkContext.applicationId, [])
+    removed = 0
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        removed += place.getFileSystem(conf).delete(place, True)
+    return removed
 
 
 @contextmanager

@@ -73,6 +73,9 @@ class Archive:
         self.spark.createDataFrame([], STORED).write.mode("append").parquet(self.messages_path)
         return self
 
+    def exists(self) -> bool:
+        return self.ledger.files.exists(self.ledger._jvm.org.apache.hadoop.fs.Path(self.messages_path))
+
     def state(self) -> State:
         """What is published; files of appends that died while they moved in are moved first."""
         state = self.ledger.read()

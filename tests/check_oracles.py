@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 import __spark_entry__ as entry_points  # noqa: E402
+from mailspark import release  # noqa: E402
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels " \
     "conversations".split()
@@ -53,7 +54,7 @@ if __name__ == "__main__":
     session.sparkContext.setLogLevel("ERROR")
     database = duck(folder)
     bad = 0
-    for query in sys.argv[2:] or entry_points.queries():
+    for query in sys.argv[2:] or entry_points.oracle_sql():
         started = time.time()
         try:
             problem = compare(session, database, query, folder)
@@ -62,3 +63,4 @@ if __name__ == "__main__":
         bad += problem is not None
         print(f"{query:24} {time.time() - started:6.1f}s  {'ok' if problem is None else problem}", flush=True)
     print(f"{bad} differ")
+    release(session)

@@ -34,6 +34,7 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     mailspark.register(session)
     yield session
+    mailspark.release(session)
     session.stop()
 
 

@@ -259,3 +259,14 @@ def test_number_rows_equals_row_number(spark, tmp_path):
     found = number_rows(rows, "g", ["o"], str(tmp_path / "staged"), "n")
     expected = rows.selectExpr("g", "o", "cast(row_number() over (partition by g order by o) as bigint) n")
     assert sorted(map(tuple, found.collect()), key=repr) == sorted(map(tuple, expected.collect()), key=repr)
+
+
+def test_staged_tables_are_released(spark, monkeypatch):
+    from mailspark import release, session
+
+    monkeypatch.setattr(session, "_made", {})
+    path = session.new_path(spark, "staged")
+    rows = number_rows(spark.range(10).withColumn("g", F.lit("a")), "g", ["id"], path)
+    assert rows.count() == 10 and release(spark) == 1
+    with pytest.raises(Exception, match="does not exist"):
+        spark.read.parquet(path)
