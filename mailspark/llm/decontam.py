@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from mailspark.llm.common import stage
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Windows up to which the set of hashes is sent to every task (8 bytes each); beyond it, windows are joined by hash.
-BROADCAST_WINDOWS = 2_000_000
+#: Windows up to which the set of hashes is sent to every task, as part of the plan; beyond it, windows are joined.
+BROADCAST_WINDOWS = 100_000
 
 
 def lowered(text: Column) -> Column:
@@ -41,25 +41,23 @@ def _scan(rows: DataFrame, grams: DataFrame, lengths: list[int], broadcast_windo
     hashes = grams.select("len", F.xxhash64("gram").alias("h"), F.xxhash64(F.substring_index("gram", " ", 2)).alias("two")).distinct()
     found = hashes.limit(broadcast_windows + 1).collect() if lengths else []
 
-    def starts(n: int) -> Column:
-        return F.when(F.size(w) >= n, F.sequence(F.lit(1), F.size(w) - n + 1)).otherwise(F.array().cast("array<int>"))
-
     if len(found) > broadcast_windows:  # more than a task should hold: every window meets the set in a join
 
         def every(n: int) -> Column:
-            return F.transform(starts(n), lambda i: F.struct(i.alias("i"), F.lit(n).alias("len"), _gram(w, i, n).alias("gram")))
+            starts = F.when(F.size(w) >= n, F.sequence(F.lit(1), F.size(w) - n + 1)).otherwise(F.array().cast("array<int>"))
+            return F.transform(starts, lambda i: F.struct(i.alias("i"), F.lit(n).alias("len"), _gram(w, i, n).alias("gram")))
 
         rows = rows.select("row", F.explode(F.concat(*map(every, lengths))).alias("x")).select("row", "x.*")
         return rows.join(grams.select("len", "gram").distinct(), ["len", "gram"], "left_semi").select("row", "i", "len", "gram")
 
     def hits_of(n: int) -> Column:
         """The first two words screen the windows; only those left over are put together and looked up whole."""
-        twos = sorted({r["two"] for r in found if r["len"] == n})
-        whole = sorted({r["h"] for r in found if r["len"] == n})
-        hit = F.filter(
-            starts(n), lambda i: F.xxhash64(_gram(w, i, min(n, 2))).isin(twos) & F.xxhash64(_gram(w, i, n)).isin(whole)
+        sets = {name: ",".join(f"{x}L" for x in sorted({r[name] for r in found if r["len"] == n})) for name in ("two", "h")}
+        gram = "xxhash64(array_join(slice(w, i, {}), ' '))".format
+        return F.expr(
+            f"transform(filter(if(size(w) >= {n}, sequence(1, size(w) - {n} + 1), cast(array() AS array<int>)), "
+            f"i -> {gram(min(n, 2))} IN ({sets['two']}) AND {gram(n)} IN ({sets['h']})), i -> struct(i AS i, {n} AS len))"
         )
-        return F.transform(hit, lambda i: F.struct(i.alias("i"), F.lit(n).alias("len")))
 
     hits = [hits_of(n) for n in lengths]
     none = F.array().cast("array<struct<i:int,len:int>>")
@@ -86,21 +84,13 @@ def contamination(
     lengths = sorted(r["len"] for r in grams.select("len").distinct().collect())
     found = stage(_scan(rows.select(F.col("__row").alias("row"), F.col("__words").alias("w")), grams, lengths, broadcast_windows), "hits")
     verified = found.join(grams.select("gram", "len").distinct(), ["gram", "len"], "left_semi")
-    places = verified.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("i", "len"))).alias("hits"))
-    runs = F.aggregate(
-        "hits",
-        F.array().cast("array<struct<first:int,last:int>>"),
-        lambda done, x: F.when(
-            (F.size(done) > 0) & (x["i"] <= F.element_at(done, -1)["last"] + 1),
-            F.concat(
-                F.slice(done, 1, F.size(done) - 1),
-                F.array(F.struct(F.element_at(done, -1)["first"].alias("first"),
-                                 F.greatest(F.element_at(done, -1)["last"], x["i"] + x["len"] - 1).alias("last"))),
-            ),
-        ).otherwise(F.concat(done, F.array(F.struct(x["i"].alias("first"), (x["i"] + x["len"] - 1).alias("last"))))),
-    )
-    spans = F.transform(runs, lambda r: F.struct((r["first"] - 1).alias("start"), (r["last"] - r["first"] + 1).alias("len")))
-    places = places.select("row", spans.alias("spans"))
+    order = Window.partitionBy("row").orderBy("i", "len")
+    hits = verified.select("row", "i", (F.col("i") + F.col("len") - 1).alias("last"), "len").distinct()
+    reach = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    hits = hits.withColumn("new", F.when(F.col("i") <= reach + 1, 0).otherwise(1))
+    runs = hits.withColumn("run", F.sum("new").over(order)).groupBy("row", "run").agg(F.min("i").alias("i"), F.max("last").alias("last"))
+    span = F.struct((F.col("i") - 1).alias("start"), (F.col("last") - F.col("i") + 1).alias("len"))
+    places = runs.groupBy("row").agg(F.array_sort(F.collect_list(span)).alias("spans"))
     named = verified.select("row", "gram", "len").distinct().join(grams, ["gram", "len"]).select("row", "item").distinct()
     named = named.groupBy("row").agg(F.count("*").alias("n_items"), F.array_join(F.array_sort(F.collect_set("item")), ",").alias("items"))
     judged = places.join(named, "row").withColumnRenamed("row", "__of")
