@@ -27,11 +27,10 @@ def follow(archive: Archive, options: Mapping[str, str], checkpoint: str) -> Dat
     folder = parsed["folder"]
     first = _first_uid(archive, parsed, folder, checkpoint)
     # A pattern, so that the directory of a folder that is still empty may be missing.
-    files = (
-        archive.spark.readStream.schema(STORED)
-        .option("basePath", archive.messages_path)
-        .parquet(f"{archive.messages_path}/folde[r]={directory_name(folder)}")
-    )
+    reader = archive.spark.readStream.schema(STORED).option("basePath", archive.messages_path)
+    if parsed["max-files"]:
+        reader = reader.option("maxFilesPerTrigger", parsed["max-files"])
+    files = reader.parquet(f"{archive.messages_path}/folde[r]={directory_name(folder)}")
     return files.where((F.col("folder") == folder) & (F.col("uid") >= first)).select(*STORED.names)
 
 

@@ -30,6 +30,32 @@ def test_all_then_new(archive, mail, tmp_path):  # noqa: F811
     assert collect() == [1, 2, 5, 6]
 
 
+def test_a_batch_is_bounded(archive, mail, tmp_path):  # noqa: F811
+    for uid in range(1, 6):
+        archive.append(numbered(mail, uid))
+    stream = stream_folder(archive, "uid bigint", str(tmp_path / "cp"), {"max-files": "2"})
+    sizes = []
+    sink = stream.writeStream.foreachBatch(lambda rows, _: sizes.append(rows.count()))
+    sink.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+    assert sizes == [2, 2, 1]
+
+
+def test_a_lost_append_is_not_streamed(archive, mail, tmp_path, monkeypatch):  # noqa: F811
+    archive.append(numbered(mail, 1))
+    collect = Collector(archive, tmp_path)
+
+    def dies(*_):
+        raise OSError
+
+    for name in ("_publish", "_move"):
+        with monkeypatch.context() as patch:
+            patch.setattr(archive, name, dies)
+            with pytest.raises(OSError):
+                archive.append(numbered(mail, 2))
+        assert collect() == ([1] if name == "_publish" else [1, 2])
+    assert collect() == [1, 2]
+
+
 def test_all_from_an_offset(archive, mail, tmp_path):  # noqa: F811
     archive.append(numbered(mail, 1, 2, 5))
     assert Collector(archive, tmp_path, offset="2")() == [2, 5]
