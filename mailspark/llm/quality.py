@@ -18,11 +18,14 @@ for _c in range(256):
     if chr(_c).isalnum() and _c < 128 or _c >= 128:
         _CLASS[_c] = 1
 
+_TWICE = np.uint64(0x5851F42D4C957F2D)
+
 
 def features(column: pa.Array, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Slots of the words and word pairs of every text, and the offsets of the texts among them.
 
     Words are runs of letters and digits or runs of other visible characters, so ``word!!`` is two words; case counts.
+    A word that follows itself is one and the same pair, whatever the word.
     """
     data, offsets = utf8(column)
     kind = _CLASS[data]
@@ -36,6 +39,7 @@ def features(column: pa.Array, bits: int) -> tuple[np.ndarray, np.ndarray]:
     hashes = span_hashes(prefix_hashes(data), starts, ends)
     at = np.searchsorted(starts, offsets)  # of each text's first word
     pairs = mix(hashes[:-1] * np.uint64(31) + hashes[1:]) if len(hashes) else hashes
+    pairs[hashes[:-1] == hashes[1:]] = _TWICE
     last = np.zeros(len(hashes), bool)
     last[at[1:][at[1:] > at[:-1]] - 1] = True
     slots = np.empty(2 * len(hashes), np.int64)
@@ -56,12 +60,12 @@ class Settings:
     """
 
     bits: int = 18
-    alpha: float = 0.1
+    alpha: float = 1.0
     beta: float = 1.0
-    l1: float = 0.02
-    l2: float = 0.5
+    l1: float = 0.1
+    l2: float = 0.1
     rounds: int = 2
-    epochs: int = 2
+    epochs: int = 3
     shards: int = 8
     max_rows: int = 8_000
 
