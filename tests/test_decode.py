@@ -170,11 +170,11 @@ def test_layout_binds_by_name():
     assert [(c.name, c.key) for c in layout.columns] == [
         ("content", None), ("id", "uid"), ("SUBJECT", "subject"), ("to", None)
     ]
-    with pytest.raises(ValueError, match="'nothing' not found"):
+    with pytest.raises(ValueError, match="No metadata is called 'nothing'"):
         M.Layout.of("a string", {"a": "nothing"})
     with pytest.raises(ValueError, match="not declared"):
         M.Layout.of("a string", {"b": "uid"})
-    with pytest.raises(ValueError, match="'nothing' not found"):
+    with pytest.raises(ValueError, match="No metadata is called 'nothing'"):
         M.readable("nothing")
     with pytest.raises(ValueError, match="'uid' not found"):
         M.writable("uid")
