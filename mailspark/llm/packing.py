@@ -21,31 +21,75 @@ _ODD_SPACES = (
 )
 
 
-@functools.lru_cache(maxsize=2)
-def tokenizer(path: str):
-    """The tokenizer of a file, and which of its ids begin with a space."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task per core already
-    from tokenizers import Tokenizer
+#: Words whose ids a Python worker keeps from one batch to the next, and then starts anew.
+KEPT_WORDS = 250_000
+#: Words that are encoded at once; the tokenizer's own results are large.
+_AT_ONCE = 10_000
+
+
+class Vocabulary:
+    """A tokenizer with the ids of the words it has met, laid out in one array.
 
-    made = Tokenizer.from_file(path)
-    made.encode_special_tokens = True  # the names of special tokens are ordinary text
-    spaced = np.zeros(made.get_vocab_size(), bool)
-    for token, i in made.get_vocab(with_added_tokens=False).items():
-        spaced[i] = token.startswith("Ġ")
-    return made, spaced
+    A word stands for itself with a space before it, or, as ``lead``, at the start of a text.
+    """
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task per core already
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True  # the names of special tokens are ordinary text
+        self.spaced = np.zeros(self.tokenizer.get_vocab_size(), bool)  # ids that begin with a space
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            self.spaced[i] = token.startswith("Ġ")
+        self._clear()
+
+    def _clear(self) -> None:
+        self.known: tuple[dict[str, int], dict[str, int]] = ({}, {})
+        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _add(self, words: list[str], lead: bool) -> None:
+        if lead:
+            found = self.encode(words)
+            sizes, ids = np.array([len(f) for f in found]), np.concatenate(found)
+        else:  # all in one text: each begins with the one id that begins with a space
+            (ids,) = self.encode(["".join(f" {w}" for w in words)])
+            starts = np.flatnonzero(self.spaced[ids])
+            if len(starts) != len(words):
+                raise ValueError("this vocabulary does not begin every word after a space with a token of its own")
+            sizes = np.diff(np.append(starts, len(ids)))
+        self.known[lead].update(zip(words, range(len(self.starts), len(self.starts) + len(words))))
+        self.starts = np.append(self.starts, len(self.ids) + np.cumsum(sizes) - sizes)
+        self.sizes = np.append(self.sizes, sizes)
+        self.ids = np.append(self.ids, ids)
+
+    def numbers(self, follow: list[str], lead: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of words are laid out, by their place in ``starts`` and ``sizes``."""
+        if len(self.starts) > KEPT_WORDS:
+            self._clear()
+        for words, is_lead in ((follow, False), (lead, True)):
+            new = [w for w in words if w not in self.known[is_lead]]
+            for k in range(0, len(new), _AT_ONCE):
+                self._add(new[k : k + _AT_ONCE], is_lead)
+        return tuple(np.array([self.known[k][w] for w in words], np.int64) for k, words in ((0, follow), (1, lead)))
 
 
-def _ids(made, texts: list[str]) -> list[np.ndarray]:
-    return [np.array(e.ids, np.uint32) for e in made.encode_batch_fast(texts, add_special_tokens=False)]
+@functools.lru_cache(maxsize=2)
+def vocabulary(path: str) -> Vocabulary:
+    return Vocabulary(path)
 
 
 def encode(column: pa.Array, path: str, end: int) -> tuple[np.ndarray, np.ndarray]:
     """Token ids of all texts, ``end`` after each, and the offsets of the texts among them. Null is empty.
 
     A byte-level vocabulary splits text before any space that stands alone between visible characters, so each
-    distinct word of a batch is encoded once and its ids are laid out wherever it occurs.
+    distinct word is encoded once and its ids are laid out wherever it occurs.
     """
-    made, spaced = tokenizer(path)
+    made = vocabulary(path)
     column = pc.fill_null(column.cast(pa.large_string()), "")
     if not len(column):
         return np.zeros(0, np.uint32), np.zeros(1, np.int64)
@@ -55,37 +99,27 @@ def encode(column: pa.Array, path: str, end: int) -> tuple[np.ndarray, np.ndarra
     at = parts.offsets.to_numpy().astype(np.int64)
     words = parts.flatten().dictionary_encode()
     chunk = words.indices.to_numpy().astype(np.int64)
+    n = len(words.dictionary)
     first = np.zeros(len(chunk), bool)
     first[at[:-1]] = True
-    follow = np.unique(chunk[~first])  # words that follow a space, all in one text
-    known = words.dictionary
-    joined = "".join(f" {w}" for w in known.take(pa.array(follow)).to_pylist())
-    table = _ids(made, [joined])[0] if joined else np.zeros(0, np.uint32)
-    starts = np.flatnonzero(spaced[table])
-    if len(starts) != len(follow):
-        raise ValueError("this vocabulary does not begin every word after a space with a token of its own")
-    place, size = np.zeros(2 * len(known) + 1, np.int64), np.zeros(2 * len(known) + 1, np.int64)
-    place[follow], size[follow] = starts, np.diff(np.append(starts, len(table)))
-    lead = np.unique(chunk[first])  # words at the start of a text
-    tables, filled = [table], len(table)
-    for i, ids in zip(lead, _ids(made, known.take(pa.array(lead)).to_pylist())):
-        place[len(known) + i], size[len(known) + i] = filled, len(ids)
-        tables.append(ids)
-        filled += len(ids)
-    place[-1], size[-1] = filled, 1
-    tables.append(np.array([end], np.uint32))
-    chunk[first] += len(known)
-    chunk = np.insert(chunk, at[1:], 2 * len(known))  # an end after each text
+    follow, lead = np.unique(chunk[~first]), np.unique(chunk[first])
+    found = made.numbers(*(words.dictionary.take(pa.array(x)).to_pylist() for x in (follow, lead)))
+    place, size = np.zeros(2 * n + 1, np.int64), np.zeros(2 * n + 1, np.int64)
+    for where, number in ((follow, found[0]), (n + lead, found[1])):
+        place[where], size[where] = made.starts[number], made.sizes[number]
+    place[-1], size[-1] = len(made.ids), 1
+    chunk[first] += n
+    chunk = np.insert(chunk, at[1:], 2 * n)  # an end after each text
     at = at + np.arange(len(at))
-    table, size, place = np.concatenate(tables), size[chunk], place[chunk]
+    size, place = size[chunk], place[chunk]
     before = np.zeros(len(chunk) + 1, np.int64)
     np.cumsum(size, out=before[1:])
-    ids = table[np.repeat(place - before[:-1], size) + np.arange(before[-1])]
+    ids = np.append(made.ids, np.uint32(end))[np.repeat(place - before[:-1], size) + np.arange(before[-1])]
     offsets = before[at]
     if odd.any():
         parts = np.split(ids, offsets[1:-1])
         for i in np.flatnonzero(odd):
-            parts[i] = np.append(_ids(made, [column[int(i)].as_py()])[0], np.uint32(end))
+            parts[i] = np.append(made.encode([column[int(i)].as_py()])[0], np.uint32(end))
         ids = np.concatenate(parts)
         offsets = np.append(0, np.cumsum([len(p) for p in parts]))
     return ids, offsets
@@ -103,7 +137,7 @@ def tokenize(
     kind = rows.schema["__key"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "__text", 12 << 20):
+        for batch in slices(batches, "__text", 4 << 20):
             ids, offsets = encode(batch.column("__text"), path, end)
             ids = ids.astype("<u4")
             n = np.diff(offsets)
@@ -240,7 +274,7 @@ def plan(counts: np.ndarray, capacity: int) -> Plan:
 
 def pack(
     documents: DataFrame, path: str, capacity: int = 2048, end: int = 0, key: str = "doc_id", text: str = "text",
-    pieces_per_group: int = 50_000,
+    pieces_per_group: int = 20_000,
 ) -> DataFrame:
     """Tokenise and pack documents: a row per piece with its ``sequence_id`` and ``offset`` there.
 
