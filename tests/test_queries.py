@@ -10,6 +10,8 @@ import __spark_entry__ as entry_points
 from mailspark.plans import fixtures as X
 from mailspark.plans import queries as Q
 from mailspark.plans.oracles import ORACLES
+from mailspark.session import new_path, settings
+from mailspark.sources.archive import Archive
 
 SF = "/root/testdata/sf0.001"
 
@@ -53,7 +55,9 @@ def test_no_python_in_the_plan(spark, name):
 
 def test_archive_files_hold_ranges_of_uids(spark):
     """So bounds on the uid skip files."""
-    archive = X.archive_of(spark, "/root/testdata/sf0.01", "event_mail")
+    archive = Archive(spark, new_path(spark, "ranges")).create()
+    with settings(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        archive.append(X.event_mail(spark, SF), clustered=True)
     files = archive.messages("INBOX").groupBy(F.input_file_name()).agg(F.min("uid"), F.max("uid")).collect()
     ranges = sorted((r[1], r[2]) for r in files)
     assert len(ranges) > 1 and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
