@@ -87,7 +87,7 @@ def names(data: np.ndarray, size: int) -> np.ndarray:
     n = len(data) - size + 1
     at = np.arange(n)
     h = span_hashes(prefix_hashes(data), at, at + size)
-    order = np.argsort(h, kind="stable")
+    order = np.argsort(h)
     same = h[order[1:]] == h[order[:-1]]
     words = np.empty(len(data) - 7, np.uint64)
     for r in range(8):
@@ -134,15 +134,22 @@ def repeated(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     for step in (PERIOD, 2 * PERIOD):
         after = place[samples + step]
         rank = _number(rank, np.where(after >= 0, rank[after] + 1, 0))
-    key, at = key[tied], starts[tied]
+    key = key[tied]
     for shift in range(PERIOD):
-        meet = np.flatnonzero(place[at + shift] >= 0)
-        meet = meet[np.isin((at[meet] + shift) % PERIOD, COVER)]
+        if shift % 8 == 0:  # a tie is settled when all of it is found repeated
+            open_ties = np.bincount(key, ~out[tied], len(first)) > 0
+            tied, key = tied[open_ties[key]], key[open_ties[key]]
+            at = starts[tied]
+            order = np.argsort(at % PERIOD, kind="stable")
+            cut = np.searchsorted((at % PERIOD)[order], np.arange(PERIOD + 1))
+            if not len(tied):
+                break
+        meet = np.concatenate([order[cut[r] : cut[r + 1]] for r in (COVER - shift) % PERIOD])
         both = (key[meet] << 32) | rank[place[at[meet] + shift]]
-        order = np.argsort(both, kind="stable")
-        same = both[order[1:]] == both[order[:-1]]
-        out[tied[meet[order[1:][same]]]] = True
-        out[tied[meet[order[:-1][same]]]] = True
+        sort = np.argsort(both)
+        same = both[sort[1:]] == both[sort[:-1]]
+        out[tied[meet[sort[1:][same]]]] = True
+        out[tied[meet[sort[:-1][same]]]] = True
     return out
 
 
