@@ -233,6 +233,7 @@ def test_temporary_view_with_options_in_sql(spark, server):
         spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW v (uid BIGINT, subject STRING) USING imap OPTIONS (host '{server.place}', offset '4')")
         assert rows(spark.sql("SELECT * FROM v")) == [(4, "s4"), (5, "s5")]
     finally:
+        spark.catalog.dropTempView("v")
         spark.dataSource.register(ImapDataSource)
 
 
