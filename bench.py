@@ -1,7 +1,6 @@
 """Time the headline queries at one scale factor; prints one JSON line.
 
-Each query runs three times in one session; its figure is the median. The operators for training data, where they are
-installed, run once each and are listed apart.
+Each query runs three times in one session; its figure is the median.
 
 BENCH_SF_DIR  folder of the driver's tables (default /root/testdata/sf0.1)
 BENCH_CPUS    cores of the local session (default 8)
@@ -20,7 +19,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-import __spark_entry__ as entry_points  # noqa: E402
 from mailspark import Archive, compose, decode_mail, read_folder, register, release  # noqa: E402
 from mailspark import metadata as M  # noqa: E402
 from mailspark.plans import fixtures as X  # noqa: E402
@@ -92,8 +90,6 @@ def main() -> None:
     }
     runs = [{name: timed(action) for name, action in actions.items()} for _ in range(3)]
     warm = {name: sorted(r[name] for r in runs)[1] for name in actions}
-    others = {name: query for name, query in entry_points.queries().items() if name not in QUERIES}
-    operators = {name: timed(lambda query=query: run(query(spark, SF_DIR))) for name, query in others.items()}
     messages = archive.messages("INBOX").count()
     print(json.dumps({
         "metric": "total time of the headline queries, median of three runs of each",
@@ -103,7 +99,6 @@ def main() -> None:
         "sf": SF_DIR.rstrip("/").rsplit("sf", 1)[-1],
         "cpus": int(CPUS),
         "first_runs": runs[0],
-        "operators": operators,
         "setup": setup,
         "messages_per_sec": {
             name: round(messages / warm[name])
