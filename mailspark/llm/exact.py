@@ -173,7 +173,8 @@ def deduplicate(
     twice = kept.where("n > 1").select("digest", "first")
     texts = rows.select("id", "norm", digest(F.col("norm")).alias("digest"))
     stays = texts.withColumnRenamed("digest", "own").join(twice, F.col("id") == F.col("first")).where("own = digest")
-    stays = stays.groupBy("digest").agg(F.min("norm").alias("kept_norm"))
+    # written, so that the join below stands alone in its stage and Spark can split the rows of a hot digest
+    stays = stage(stays.groupBy("digest").agg(F.min("norm").alias("kept_norm")), "stays")
     other = texts.join(stays, "digest").where("norm <> kept_norm").select("id", "digest", "norm")
     other = stage(other, "other")  # of one digest, but other bytes
     apart = other.groupBy("digest", "norm").agg(F.min("id").alias("own_first"), F.count("*").alias("own_n"))
