@@ -9,12 +9,12 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from llm_cases import DOCUMENTS, PAGES, PASSAGE, TEXTS, empty, prose, rows, spaced
+from llm_cases import DOCUMENTS, PAGES, PASSAGE, TEXTS, empty, prose, rows, spaced, tokens
 from pyspark.sql import functions as F
 
 import check_oracles
 import corpus_pipeline
-from mailspark.llm import exact, urlfilter, warc
+from mailspark.llm import exact, nearcopies, urlfilter, warc
 from mailspark.llm.oracles import ORACLES
 from mailspark.llm.queries import URL_RULES
 from mailspark.session import new_path
@@ -228,6 +228,58 @@ def test_pipeline_of_an_empty_table(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
 
 
+def shingles_by_hand(text):
+    words = tokens(text)
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} if len(words) >= 5 else {tuple(words)} if words else set()
+
+
+def first_by_hand(table):
+    """The rows that stay, by all pairs."""
+    sets = [shingles_by_hand(t) for _, t in table]
+    group = list(range(len(table)))
+    for i in range(len(table)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both * 10 >= 8 * (len(sets[i]) + len(sets[j]) - both):
+                group = [group[i] if g == group[j] else g for g in group]
+    least = {}
+    for g, row in zip(group, table):
+        least.setdefault(g, []).append((row[0] is None, row[0] or 0, row))
+    return sorted((min(x, key=lambda r: r[:2])[2] for x in least.values()), key=repr)
+
+
+@pytest.mark.parametrize("at_once", [4, 0])
+def test_near_copies_are_those_of_similarity(spark, tmp_path, monkeypatch, at_once):
+    monkeypatch.setattr(nearcopies, "PAIRS_A_DOCUMENT", at_once)
+    rng, table = random.Random(8), []
+    vocabulary = [f"w{i}" for i in range(3000)]
+    for n in (3, 5, 9, 40, 200, 1500):
+        for _ in range(3):
+            base = [rng.choice(vocabulary) for _ in range(n)]
+            table.append(" ".join(base))
+            for share in (0.0, 0.01, 0.02, 0.025, 0.03, 0.05, 0.2):  # words replaced, each breaks five shingles
+                copy = list(base)
+                for at in rng.sample(range(n), int(share * n)):
+                    copy[at] = "x" + copy[at]
+                table.append(" ".join(copy).upper() + " " * (share == 0.0))
+    rng.shuffle(table)
+    table = [(None if i == 3 else i, t) for i, t in enumerate(dict.fromkeys(table))]
+    docs = spark.createDataFrame(table, "doc_id long, text string").repartition(3)
+    want = first_by_hand(table)
+    assert len(table) / 4 < len(want) < len(table) * 3 / 4
+    assert rows(corpus_pipeline.near_copies(spark, docs, str(tmp_path)), "doc_id", "text") == want
+
+
+def test_parities_never_rule_out_what_is_alike():
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 30, 400, 5000):
+        a = rng.integers(0, 1 << 64, n, np.uint64)
+        for k in (0, 1, n // 20, n // 8, n // 2):
+            b = np.concatenate([a[min(k, n) :], rng.integers(0, 1 << 64, k, np.uint64)])
+            x, y = (nearcopies.parities(s).view(np.uint64) for s in (a, b))
+            assert np.bitwise_count(x ^ y).sum() <= len(set(a.tolist()) ^ set(b.tolist()))
+
+
 def test_older_half_is_by_key(spark):
     ids = spark.createDataFrame([(i,) for i in (5, 6, 9, 15, None)], "doc_id long")
     assert [r.doc_id for r in ids.where(exact.older_half(ids)).collect()] == [5, 6, 9]
