@@ -38,7 +38,7 @@ class Vocabulary:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # the names of special tokens are ordinary text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.spaced = np.zeros(self.tokenizer.get_vocab_size(), bool)  # ids that begin with a space
         for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
             self.spaced[i] = token.startswith("Ġ")
@@ -87,13 +87,16 @@ def encode(column: pa.Array, path: str, end: int) -> tuple[np.ndarray, np.ndarra
     """Token ids of all texts, ``end`` after each, and the offsets of the texts among them. Null is empty.
 
     A byte-level vocabulary splits text before any space that stands alone between visible characters, so each
-    distinct word is encoded once and its ids are laid out wherever it occurs.
+    distinct word is encoded once and its ids are laid out wherever it occurs. A text that holds the name of an added
+    token is encoded whole, as one with odd spaces is.
     """
     made = vocabulary(path)
     column = pc.fill_null(column.cast(pa.large_string()), "")
     if not len(column):
         return np.zeros(0, np.uint32), np.zeros(1, np.int64)
     odd = pc.match_substring_regex(column, _ODD_SPACES).to_numpy(zero_copy_only=False)
+    for name in made.added:
+        odd = odd | pc.match_substring(column, name).to_numpy(zero_copy_only=False)
     plain = pc.if_else(pa.array(odd), "", column)
     parts = pc.split_pattern(plain, " ")
     at = parts.offsets.to_numpy().astype(np.int64)

@@ -248,6 +248,17 @@ def test_ids_are_those_of_the_tokenizer(monkeypatch, kept):
             assert ids[at[i] : at[i + 1]].tolist() == [*made.encode(t or "", add_special_tokens=False).ids, 0], t
 
 
+def test_ids_are_those_of_the_tokenizer_file():
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(byte_bpe())
+    texts = ["a<|endoftext|>b c", "<|endoftext|>", "x <|endoftext|> y", "<|endoftext|><|endoftext|> z", "a <|endoftext| b", *ODD, *TEXTS]
+    ids, at = packing.encode(pa.array(texts), byte_bpe(), 0)
+    for i, t in enumerate(texts):
+        assert ids[at[i] : at[i + 1]].tolist() == [*plain.encode(t or "", add_special_tokens=False).ids, 0], t
+    assert 50256 in ids.tolist()
+
+
 def test_packed_pieces(docs):
     made = packing.vocabulary(byte_bpe()).tokenizer
     out = packing.pack(docs, byte_bpe(), 100, pieces_per_group=10).collect()
