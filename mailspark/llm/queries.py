@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from mailspark.llm import brown, decontam, exact, langid, packing, quality, simhash, suffix, urlfilter, warc
+from mailspark.llm import audit, brown, decontam, exact, langid, packing, phrases, quality, simhash, suffix, topk, urlfilter, warc
 from mailspark.llm.common import table
 
 #: Fixed values.
@@ -62,6 +62,19 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(documents, items, ["doc_id"]).drop("spans")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(table(spark, sf_dir, "documents"))
+
+
+def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.search(vectors, vectors["vec_id"] % 50 == 0)
+
+
+def op13_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_packing": op2_packing,
@@ -73,4 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_brown": op9_brown,
     "op10_decontaminate": op10_decontaminate,
+    "op11_phrases": op11_phrases,
+    "op12_topk": op12_topk,
+    "op13_filters": op13_filters,
 }
