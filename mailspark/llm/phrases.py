@@ -1,8 +1,8 @@
 """Phrases whose words stand together more often than their parts would: counted by rolling fingerprints.
 
 Every n-gram of a text gets a Rabin-Karp fingerprint: the difference of two running sums of its words' hashes times
-powers of a base. Tasks add up equal fingerprints where they find them, a shuffle adds up the tasks' sums. A phrase can
-only be frequent if the phrases within it are, so each length is screened by the frequent fingerprints of the length
+powers of a base. Tasks add up equal fingerprints where they find them, a shuffle adds up the tasks' sums, packed by
+ranges of fingerprints. A phrase can only be frequent if the phrases within it are, so each length is screened by the frequent fingerprints of the length
 before, as a bitmap of fixed size that knows them all and few others. Text is taken only in the end, of what is still
 frequent: each task reads it at the first place where it met the fingerprint, holds all other places of that fingerprint
 against it word by word, and the shuffle counts texts, so two phrases of one fingerprint cannot be mixed up.
@@ -24,9 +24,13 @@ from mailspark.llm.common import POWERS, mix, prefix_hashes, prepare, slices, sp
 
 UNDETERMINED = "und"
 #: Bytes of text handled at once; longer texts are taken in pieces that overlap by a phrase.
-TEXT_BYTES = 2 << 20
+TEXT_BYTES = 1 << 20
 #: Bits of a screen, as a power of two: 16 MB. More frequent phrases than that only let more others pass.
 SCREEN_BITS = 27
+#: Text whose fingerprints one group adds up; groups are a power of two, at most 2^20.
+GROUP_BYTES = 8 << 20
+#: Fingerprints, and phrases, that a task collects before it adds them up and hands them on.
+HELD, HELD_PHRASES = 1 << 20, 1 << 18
 #: Parts of a language that are ranked on their own before their first phrases are ranked together.
 SALTS = 256
 
@@ -37,7 +41,7 @@ _KIND[[*b".,;:!?", *range(0x0A, 0x0E)]] = _BREAK
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
 _GAP = re.compile(rb"[\x20\x09.,;:!?\x0A-\x0D]")
-_COUNTED = ["lang", "phrase", "len", "c"]
+_SPELLED = ["g", "lang", "phrase", "c"]
 _SALT = 0x9E3779B97F4A7C15
 
 
@@ -124,14 +128,11 @@ class Screen:
         self.bits, self.words = bits, words
 
     @classmethod
-    def of(cls, prints: DataFrame, bits: int) -> Screen:
-        """From the column ``fp``; at most 2^(bits - 6) rows come to the driver."""
-        place = F.shiftrightunsigned("fp", 64 - bits)
-        bit = F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
-        rows = prints.groupBy(F.shiftright(place, 6).cast("int").alias("i")).agg(F.bit_or(bit).alias("w")).toArrow()
-        words = np.zeros(max(1, 1 << (bits - 6)), np.int64)
-        words[rows["i"].to_numpy()] = rows["w"].to_numpy()
-        return cls(bits, words.view(np.uint64))
+    def of(cls, words: DataFrame, bits: int) -> Screen:
+        """From the columns ``i`` and ``w``, words of the bitmap; at most 2^(bits - 6) rows come to the driver."""
+        rows, out = words.toArrow(), np.zeros(max(1, 1 << (bits - 6)), np.int64)
+        np.bitwise_or.at(out, rows["i"].to_numpy(), rows["w"].to_numpy())
+        return cls(bits, out.view(np.uint64))
 
     def holds(self, prints: np.ndarray) -> np.ndarray:
         place = prints >> np.uint64(64 - self.bits)
@@ -172,36 +173,130 @@ def _passing(words: Words, n: int, screens: list[Screen]) -> tuple[np.ndarray, n
     return at, prints
 
 
-def _sums(documents: DataFrame, n: int, screens: list[Screen], most: int) -> DataFrame:
-    """``fp`` and ``c``: fingerprints of phrases of ``n`` words that pass, and how often they occur."""
+def _planes(numbers: np.ndarray) -> bytes:
+    """Numbers byte by byte: all first bytes, all second bytes, and so on, which compresses well for small ones."""
+    return numbers.astype(np.uint64).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(8, -1).T.copy().view(np.uint64).ravel()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for words in _texts(batches, most):
-            prints, counts = np.unique(_passing(words, n, screens)[1], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(prints.view(np.int64)), pa.array(counts)], ["fp", "c"])
 
-    return documents.mapInArrow(run, "fp long, c long").groupBy("fp").agg(F.sum("c").alias("c"))
+def _ends(sorted_prints: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray]:
+    """The groups that fingerprints fall in, by their first bits, and where each group ends."""
+    group = (sorted_prints >> np.uint64(64 - groups)).astype(np.int64) if groups else np.zeros(len(sorted_prints), np.int64)
+    last = np.flatnonzero(np.append(group[1:] != group[:-1], True)) if len(group) else group
+    return group[last], last + 1
 
 
-def _phrases(documents: DataFrame, screens: list[Screen], most: int) -> DataFrame:
-    """``lang``, ``phrase``, ``len``, ``c``: words and phrases that pass, as text, with their exact numbers.
+def _frequent(documents: DataFrame, n: int, screens: list[Screen], most: int, least: int, groups: int, bits: int) -> DataFrame:
+    """``i`` and ``w``: words of a bitmap of the fingerprints of ``n``-word phrases that pass and occur ``least`` times.
 
-    ``len`` 0 has the number of all words of a language.
+    A row of the shuffle has the fingerprints of a task in one of 2^``groups`` ranges, as differences in order.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def flush() -> pa.RecordBatch:
+            prints, counts = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint64), return_counts=True)
+            held.clear()
+            group, ends = _ends(prints, groups)
+            cut = list(zip(np.append(0, ends[:-1]) if len(ends) else ends, ends))
+            steps = [_planes(np.diff(prints[a:b], prepend=np.uint64(0))) for a, b in cut]
+            return pa.RecordBatch.from_arrays([pa.array(group), pa.array(steps, pa.binary()), pa.array([_planes(counts[a:b]) for a, b in cut], pa.binary())], ["g", "fp", "c"])
+
         for words in _texts(batches, most):
-            n = np.bincount(words.lang[words.counted], minlength=len(words.langs))
-            none = [""] * len(n)
-            yield pa.RecordBatch.from_arrays([pa.array(words.langs, pa.string()), pa.array(none, pa.string()), pa.array([0] * len(n), pa.int32()), pa.array(n)], _COUNTED)
-            for n in range(1, most + 1):
-                yield _spelled(words, n, *_passing(words, n, screens))
+            held.append(_passing(words, n, screens)[1])
+            if sum(map(len, held)) >= HELD:
+                yield flush()
+        yield flush()
+
+    def add(rows: pa.Table) -> pa.Table:
+        prints = np.concatenate([np.cumsum(_from_planes(x), dtype=np.uint64) for x in rows["fp"].to_pylist()])
+        counts = np.concatenate([_from_planes(x) for x in rows["c"].to_pylist()])
+        prints, place = np.unique(prints, return_inverse=True)
+        total = np.zeros(len(prints), np.uint64)
+        np.add.at(total, place, counts)
+        place = np.unique(prints[total >= np.uint64(least)] >> np.uint64(64 - bits))
+        words, at = np.unique(place >> np.uint64(6), return_inverse=True)
+        out = np.zeros(len(words), np.uint64)
+        np.bitwise_or.at(out, at, np.uint64(1) << (place & np.uint64(63)))
+        return pa.table({"i": words.astype(np.int32), "w": out.view(np.int64)})
+
+    return documents.mapInArrow(run, "g long, fp binary, c binary").groupBy("g").applyInArrow(add, "i int, w long")
+
+
+def _phrases(documents: DataFrame, screens: list[Screen], most: int, least: int, groups: int) -> DataFrame:
+    """``lang``, ``phrase``, ``len``, ``c``: words and phrases that pass and occur ``least`` times, as text.
+
+    ``len`` 0 has the number of all words of a language. A row of the shuffle has the phrases of one language that a
+    task has met in a range of fingerprints, in order and compressed; texts are added up, not fingerprints.
+    """
 
-    rows = documents.mapInArrow(run, "lang string, phrase string, len int, c long")
-    return rows.groupBy("lang", "len", "phrase").agg(F.sum("c").alias("c"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
 
+        def flush() -> pa.RecordBatch:
+            rows = pa.Table.from_batches(held)
+            held.clear()
+            return _packed(rows.group_by(["g", "lang", "phrase"], use_threads=False).aggregate([("c", "sum")]).sort_by([("g", "ascending"), ("lang", "ascending"), ("phrase", "ascending")]))
 
-def _spelled(words: Words, n: int, at: np.ndarray, prints: np.ndarray) -> pa.RecordBatch:
+        for words in _texts(batches, most):
+            n = np.bincount(words.lang[words.counted], minlength=len(words.langs))
+            none = pa.array([b""] * len(n), pa.large_binary())
+            held.append(pa.RecordBatch.from_arrays([pa.array([0] * len(n)), pa.array(words.langs, pa.string()), none, pa.array(n)], _SPELLED))
+            for n in range(1, most + 1):
+                held.append(_spelled(words, n, *_passing(words, n, screens), groups))
+            if sum(b.num_rows for b in held) >= HELD_PHRASES:
+                yield flush()
+        if held:
+            yield flush()
+
+    def add(rows: pa.Table) -> pa.Table:
+        out = []
+        for lang in rows["lang"].unique().to_pylist():
+            own = rows.filter(pc.equal(rows["lang"], lang))
+            texts = pa.concat_arrays([_lines(x.as_py(), n.as_py()) for x, n in zip(own["text"], own["size"])])
+            counts = np.concatenate([_from_planes(x) for x in own["c"].to_pylist()])
+            coded = texts.dictionary_encode()
+            total = np.zeros(len(coded.dictionary), np.uint64)
+            np.add.at(total, coded.indices.to_numpy(), counts)
+            keep = (total >= np.uint64(least)) | pc.equal(coded.dictionary, b"\n").to_numpy(zero_copy_only=False)
+            text = pc.binary_slice(coded.dictionary.filter(pa.array(keep)).cast(pa.binary()), 0, -1).cast(pa.string())
+            size = pc.add(pc.count_substring(text, " "), pc.not_equal(text, "").cast(pa.int32()))
+            out.append(pa.table({"lang": pa.array([lang] * len(text), pa.string()), "phrase": text, "len": size.cast(pa.int32()), "c": total[keep].astype(np.int64)}))
+        return pa.concat_tables(out)
+
+    packed = documents.mapInArrow(run, "g long, lang string, text binary, size long, c binary")
+    return packed.groupBy("g").applyInArrow(add, "lang string, phrase string, len int, c long")
+
+
+def _packed(rows: pa.Table) -> pa.RecordBatch:
+    """One row for each group and language of sorted rows: its phrases as lines, compressed, and their numbers."""
+    group, lang = rows["g"].to_numpy(), rows["lang"].combine_chunks().dictionary_encode().indices.to_numpy()
+    ends = np.flatnonzero(np.append((group[1:] != group[:-1]) | (lang[1:] != lang[:-1]), True)) + 1
+    lines = pc.binary_join_element_wise(rows["phrase"], pa.scalar(b"\n", pa.large_binary()), pa.scalar(b"", pa.large_binary())).combine_chunks()
+    _, offsets, data = lines.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[lines.offset : lines.offset + len(lines) + 1]
+    counts, texts, sizes, numbers = rows["c_sum"].to_numpy(), [], [], []
+    for a, b in zip(np.append(0, ends[:-1]), ends):
+        text = data.slice(offsets[a], offsets[b] - offsets[a])
+        sizes.append(text.size)
+        texts.append(pa.compress(text, "zstd", asbytes=True))
+        numbers.append(_planes(counts[a:b]))
+    langs = rows["lang"].combine_chunks().take(pa.array(ends - 1))
+    return pa.RecordBatch.from_arrays([pa.array(group[ends - 1]), langs, pa.array(texts, pa.binary()), pa.array(sizes, pa.int64()), pa.array(numbers, pa.binary())], ["g", "lang", "text", "size", "c"])
+
+
+def _lines(packed: bytes, size: int) -> pa.Array:
+    """The lines of a compressed text, with their ends."""
+    data = pa.decompress(packed, size, "zstd")
+    ends = np.flatnonzero(np.frombuffer(data, np.uint8) == 0x0A) + 1
+    return pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(np.append(0, ends).astype(np.int64)), data])
+
+
+def _spelled(words: Words, n: int, at: np.ndarray, prints: np.ndarray, groups: int = 0) -> pa.RecordBatch:
     """One row for each phrase: the text at its first place, and its places, all of them compared with the first."""
     order = np.argsort(prints, kind="stable")
     at, prints = at[order], prints[order]
@@ -211,13 +306,16 @@ def _spelled(words: Words, n: int, at: np.ndarray, prints: np.ndarray) -> pa.Rec
     same = words.lang[at] == words.lang[firsts]
     for i in range(n):
         same &= words.ids[at + i] == words.ids[firsts + i]
-    heads, counts = at[new], np.add.reduceat(same, np.flatnonzero(new), dtype=np.int64) if len(at) else np.zeros(0, np.int64)
+    heads, group = at[new], prints[new]
+    counts = np.add.reduceat(same, np.flatnonzero(new), dtype=np.int64) if len(at) else np.zeros(0, np.int64)
     odd = at[~same]  # phrases that share a fingerprint with another: each place is a row
     heads, counts = np.concatenate([heads, odd]), np.concatenate([counts, np.ones(len(odd), np.int64)])
+    group = np.concatenate([group, prints[~same]])
+    group = (group >> np.uint64(64 - groups)).astype(np.int64) if groups else np.zeros(len(group), np.int64)
     parts = [words.names.take(pa.array(words.ids[heads + i])).cast(pa.large_binary()) for i in range(n)]
     text = parts[0] if n == 1 else pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.large_binary()))
     langs = pa.array(words.langs, pa.string()).take(pa.array(words.lang[heads]))
-    return pa.RecordBatch.from_arrays([langs, text.cast(pa.large_string()).cast(pa.string()), pa.array(np.full(len(heads), n, np.int32)), pa.array(counts)], _COUNTED)
+    return pa.RecordBatch.from_arrays([pa.array(group), langs, text, pa.array(counts)], _SPELLED)
 
 
 def _cut(left: bool, k: Column) -> Column:
@@ -243,15 +341,16 @@ def mine(
     the places of its parts. Dropped are candidates within a longer candidate that has ``percent`` of their places.
     Order: score and ``a`` descending, then the phrase by its bytes. A null or empty text has no words; a null language
     is 'und', alike with one of that name; repeated rows count each; without rows, words or candidates there is no
-    result. Texts of any length are taken in pieces of about 2 MB that overlap by a phrase.
+    result. Texts of any length are taken in pieces of about 1 MB that overlap by a phrase.
     """
     prepare(documents.sparkSession)
     rows = documents.select(F.coalesce(F.col(lang).cast("string"), F.lit(UNDETERMINED)).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    groups = min(max(size // GROUP_BYTES, 1).bit_length(), 20)
     screens: list[Screen] = []
     for n in range(1, most + 1):
-        frequent = _sums(rows, n, screens, most).where(F.col("c") >= least)
-        screens.append(Screen.of(frequent, screen_bits))
-    counts = stage(_phrases(rows, screens, most).where((F.col("c") >= least) | (F.col("len") == 0)), "phrases")
+        screens.append(Screen.of(_frequent(rows, n, screens, most, least, groups, screen_bits), screen_bits))
+    counts = stage(_phrases(rows, screens, most, least, groups), "phrases")
     return _ranked(counts.where("len > 0"), counts.where("len = 0").select("lang", F.col("c").alias("n")), percent, first)
 
 

@@ -91,12 +91,26 @@ def test_equal_fingerprints_of_unlike_phrases_are_told_apart(spark, prosaic, mon
         out = phrases._spelled(words, n, *words.fingerprints(n))
         got = Counter()
         for lang, phrase, c in zip(out["lang"].to_pylist(), out["phrase"].to_pylist(), out["c"].to_pylist()):
-            got[lang, phrase] += c
+            got[lang, phrase.decode()] += c
         names = [x.decode() for x in words.names.to_pylist()]
         at, _ = true(words, n)
         assert got == Counter((words.langs[words.lang[i]], " ".join(names[words.ids[i + j]] for j in range(n))) for i in at)
 
 
+def test_many_groups_and_small_batches_are_added_up(spark, prosaic, monkeypatch):
+    monkeypatch.setattr(phrases, "GROUP_BYTES", 64)
+    monkeypatch.setattr(phrases, "HELD", 100)
+    monkeypatch.setattr(phrases, "HELD_PHRASES", 100)
+    monkeypatch.setattr(phrases, "TEXT_BYTES", 900)
+    out = phrases.mine(collocated(spark, [*prosaic, ("odd\nname\t", prosaic[0][1] * 12)]))
+    assert rows(out, *PHRASE) == phrases_by_hand([*prosaic, ("odd\nname\t", prosaic[0][1] * 12)])
+
+
+def test_numbers_survive_packing():
+    for numbers in ([], [0], [1, 2, 300, 1 << 40, (1 << 64) - 1]):
+        assert phrases._from_planes(phrases._planes(np.array(numbers, np.uint64))).tolist() == numbers
+
+
 def test_scores_are_exact_past_64_bits(spark):
     cases = [(10**15 - 1, 10**15, 10**15 + 7), (3 * 10**9, 4 * 10**9, 5 * 10**9), (10, 10, 10), (10, 10**12, 10**12)]
     out = spark.createDataFrame(cases, "a long, l long, r long").select("a", "l", "r", phrases.score(F.col("a"), F.col("l"), F.col("r")).alias("s"))
