@@ -102,6 +102,8 @@ IMAP_SPEC = {
     "max-connections": Option(at_least(1), 4),
     # read a folder of this archive instead of a server
     "archive": Option(),
+    # let the server search by predicates of the query; false for one whose search cannot be relied on
+    "search": Option(boolean, True),
     # files of an archive that a stream takes at once; without it all there are
     "max-files": Option(at_least(1)),
     # "archive" returns undecoded messages in the archive schema

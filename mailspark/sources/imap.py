@@ -24,6 +24,7 @@ from mailspark.operators.project import stored_columns
 from mailspark.options import CATALOG_SPEC, IMAP_SPEC, MailOptions, check_mode
 from mailspark.sources.archive import MESSAGES
 from mailspark.sources.message import row_decoder
+from mailspark.sources.search import search_keys
 from mailspark.sources.transport import ArchiveTransport, ImapTransport, Split
 
 
@@ -46,6 +47,7 @@ class _Scan:
         if self.options["layout"] == "archive" or schema == MESSAGES:
             self.columns = [f.name for f in schema]
             self.uid_columns = {"uid"}
+            self.searched = {"internal_date": "received", "size": "sizeInBytes"}
             unknown = set(self.columns) - set(MESSAGES.names)
             if unknown:
                 raise ValueError(f"Columns {sorted(unknown)} are not in the archive schema")
@@ -54,8 +56,12 @@ class _Scan:
             layout = M.Layout.of(schema, self.options.aliases, self.options["content-columns"])
             self.columns = stored_columns(layout)
             self.uid_columns = {c.name for c in layout.columns if c.key == "uid"}
+            self.searched = {c.name: c.key for c in layout.metadata if c.type == M.readable(c.key)}
             self.decode = row_decoder(layout, self.options["format"], self.options.format_options)
 
+    def splits(self, server: Any, start: int, end: int, keys: str = "") -> list[Part]:
+        return [Part(s) for s in server.splits(self.folder, start, end, self.columns, keys)]
+
     def read_split(self, split: Split) -> Iterator[tuple]:
         server = self.source.connect()
         try:
@@ -75,11 +81,14 @@ class FolderReader(DataSourceReader):
         self.start = source.mail["offset"] or 1
         self.end: int | None = None
         self.uid_columns = self.scan.uid_columns
+        self.keys: list[str] = []
 
     def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
-        """Take over bounds on the uid; Spark checks the rest."""
+        """Take over bounds on the uid; the server searches by what it can of the rest, and Spark checks that."""
         for f in filters:
             if not self._narrow(f):
+                if self.scan.options["search"]:
+                    self.keys.append(search_keys(f, self.scan.searched))
                 yield f
 
     def _narrow(self, f: Filter) -> bool:
@@ -101,7 +110,7 @@ class FolderReader(DataSourceReader):
         try:
             _, frontier = server.status(self.scan.folder)
             end = frontier if self.end is None else min(self.end, frontier)
-            return [Part(s) for s in server.splits(self.scan.folder, self.start, end)]
+            return self.scan.splits(server, self.start, end, " ".join(filter(None, self.keys)))
         finally:
             server.close()
 
@@ -143,8 +152,7 @@ class FolderStreamReader(DataSourceStreamReader):
         try:
             # an offset may lie past the frontier, and so past the offsets committed so far
             first = max(start["uid"] + 1, self.scan.options["offset"] or 1)
-            splits = server.splits(self.scan.folder, first, end["uid"] + 1)
-            return [Part(s) for s in splits] or [Part(Split(0, 0))]
+            return self.scan.splits(server, first, end["uid"] + 1) or [Part(Split(0, 0))]
         finally:
             server.close()
 

@@ -1,7 +1,9 @@
-"""What an archive has published: one small file per version, created only if its number is still free.
+"""What an archive has published: one file per version, created only if its number is still free.
 
-Each version holds the whole state, so a reader opens one file, the newest, however many appends there were. Two
-writers that saw the same version cannot both create the next: one of them finds it taken and looks again.
+Each version holds the whole state: its folders, and for each folder the parts its messages lie in, by ascending uid.
+A part is a directory that one append or compaction wrote and that never changes; a directory that no version names
+does not count. So a reader opens one file, the newest, and knows what to read. Two writers that saw the same version
+cannot both create the next: one of them finds it taken and looks again.
 """
 
 from __future__ import annotations
@@ -10,6 +12,7 @@ import json
 import os
 import re
 import uuid
+import warnings
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import SparkSession
@@ -17,6 +20,8 @@ from pyspark.sql import SparkSession
 #: Older versions that stay for readers that have listed them already.
 KEPT_VERSIONS = 50
 _NAME = re.compile(r"(\d{20})\.json")
+# Stores whose rename is one step that does not overwrite.
+_ATOMIC = {"file", "hdfs", "viewfs", "webhdfs", "ofs", "o3fs", "abfs", "abfss"}
 
 
 @dataclass
@@ -26,16 +31,32 @@ class FolderState:
     holds_messages: bool = True
 
 
+@dataclass(frozen=True)
+class Part:
+    """Messages ``first`` <= uid <= ``last`` of a folder, all of them in the directory that ``append`` names."""
+
+    append: str
+    first: int
+    last: int
+    rows: int = 0
+    bytes: int = 0
+
+
 @dataclass
 class State:
-    """``version`` 0 is the state before the first. ``unmoved``: published appends whose files may still be staged.
+    """``version`` 0 is the state before the first.
 
+    ``replaced``: (append, folder, time) of directories that a compaction has rewritten; they stay for a while for
+    readers that know them. ``news``: uid ranges that the version added and streams may not have been told yet.
     ``batches``: the last batch that each numbered writer has published.
     """
 
     version: int = 0
     folders: dict[str, FolderState] = field(default_factory=dict)
-    unmoved: list[str] = field(default_factory=list)
+    parts: dict[str, list[Part]] = field(default_factory=dict)
+    replaced: list[tuple[str, str, int]] = field(default_factory=list)
+    news: dict[str, list[Part]] = field(default_factory=dict)
+    news_of: str = ""
     batches: dict[str, int] = field(default_factory=dict)
 
     def text(self) -> str:
@@ -45,7 +66,14 @@ class State:
     def of(cls, text: str) -> State:
         value = json.loads(text)
         folders = {name: FolderState(**f) for name, f in value["folders"].items()}
-        return cls(value["version"], folders, value["unmoved"], value["batches"])
+        parts, news = ({f: [Part(**p) for p in found] for f, found in value[k].items()} for k in ("parts", "news"))
+        replaced = [tuple(r) for r in value["replaced"]]
+        return cls(value["version"], folders, parts, replaced, news, value["news_of"], value["batches"])
+
+    def parts_of(self, folder: str, first: int = 1, last: int | None = None) -> list[Part]:
+        """The parts of a folder that hold uids of a range, in order."""
+        found = self.parts.get(folder, [])
+        return [p for p in found if p.last >= first and (last is None or p.first <= last)]
 
 
 def newest(names: list[str]) -> str | None:
@@ -94,30 +122,36 @@ class Ledger:
 
     def write(self, state: State) -> None:
         """Create the version that ``state`` names; ``Taken`` if it exists."""
-        name = f"{state.version:020d}.json"
+        if not self.create(state.text(), self.place(f"{state.version:020d}.json")):
+            raise Taken(str(state.version))
+        for old in self._names():
+            found = _NAME.fullmatch(old)
+            if found and int(found[1]) < state.version - KEPT_VERSIONS:
+                self.files.delete(self.place(old), False)
+
+    def create(self, text: str, target) -> bool:
+        """Write a file under a name of its own, then give it its name unless that is taken; false if it is."""
         draft = self.place(f".{uuid.uuid4().hex}.tmp")
         out = self.files.create(draft, True)
         try:
-            out.write(bytearray(state.text().encode()))
+            out.write(bytearray(text.encode()))
         finally:
             out.close()
         try:
-            self._create(draft, self.place(name))
+            return self._name(draft, target)
         finally:
             self.files.delete(draft, False)
-        for old in self._names():
-            found = _NAME.fullmatch(old)
-            if found and int(found[1]) < state.version - KEPT_VERSIONS:
-                self.files.delete(self.place(old), False)
 
-    def _create(self, draft, target) -> None:
-        """Give a complete file its name unless the name is taken."""
-        if self.files.getScheme() == "file":
+    def _name(self, draft, target) -> bool:
+        scheme = self.files.getScheme()
+        if scheme == "file":
             try:
                 os.link(draft.toUri().getPath(), target.toUri().getPath())
             except FileExistsError:
-                raise Taken(str(target)) from None
-            return
+                return False
+            return True
+        if scheme not in _ATOMIC:
+            warnings.warn(f"Renames in {scheme} may overwrite: let only one writer at a time append to {self.path}", stacklevel=2)
         fs = self._jvm.org.apache.hadoop.fs
         context = fs.FileContext.getFileContext(target.toUri(), self._conf)
         kinds = self.spark.sparkContext._gateway.new_array(getattr(fs, "Options$Rename"), 0)
@@ -125,37 +159,6 @@ class Ledger:
             context.rename(draft, target, kinds)
         except Exception as e:
             if "FileAlreadyExists" in str(e):
-                raise Taken(str(target)) from None
+                return False
             raise
-
-    def _listed(self, source) -> list:
-        """All files below a folder; none if another process has moved them in and removed it."""
-        try:
-            out, listed = [], self.files.listFiles(source, True)
-            while listed.hasNext():
-                out.append(listed.next().getPath())
-            return out
-        except Exception:
-            if self.files.exists(source):
-                raise
-            return []
-
-    def move(self, source, target) -> int:
-        """Move all data files under ``source`` to the same folders under ``target``; several may do so at once."""
-        moved, prefix = 0, source.toUri().getPath()
-        for found in self._listed(source):
-            if found.getName().startswith(("_", ".")):
-                continue
-            inner = found.toUri().getPath()[len(prefix) + 1 :]
-            folder, _, name = inner.rpartition("/")
-            place = self._jvm.org.apache.hadoop.fs.Path(target, folder) if folder else target
-            self.files.mkdirs(place)
-            try:
-                moved += self.files.rename(found, self._jvm.org.apache.hadoop.fs.Path(place, name))
-            except Exception:
-                if self.files.exists(found):
-                    raise
-            if self.files.exists(found):
-                raise OSError(f"cannot move {found} to {place}")
-        self.files.delete(source, True)
-        return moved
+        return True

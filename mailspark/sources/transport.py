@@ -1,7 +1,7 @@
 """Thin access to mail servers and to archives, one interface for the readers.
 
 ``status`` gives (uidvalidity, uid_next), ``splits`` cuts a uid range into independently readable
-parts, ``fetch`` yields the messages of one part as dictionaries keyed by archive column.
+parts, all of it or what search keys select, ``fetch`` yields the messages of one part as dictionaries keyed by archive column.
 """
 
 from __future__ import annotations
@@ -10,22 +10,36 @@ import base64
 import imaplib
 import re
 import smtplib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 from contextlib import suppress
 from dataclasses import dataclass
 from datetime import datetime
+from functools import lru_cache
 from typing import Any
 
 from mailspark.options import MailOptions
 
 
+#: Bytes of messages that are fetched at once, unless a single one has more.
+PAGE_BYTES = 16 << 20
+#: What a message costs besides its bytes.
+_MESSAGE = 1 << 10
+#: Messages whose sizes are asked for at once, and characters of a list of uids in one command.
+_SIZES, _LETTERS = 2000, 4000
+
+
 @dataclass(frozen=True)
 class Split:
-    """Messages start <= uid < end of a folder; ``files`` when they lie in an archive."""
+    """Messages start <= uid < end of a folder; ``files`` when they lie in an archive.
+
+    ``pages`` are the uid sets to fetch one after another, when the uids and sizes are known.
+    """
 
     start: int
     end: int
     files: tuple[str, ...] = ()
+    pages: tuple[str, ...] = ()
 
 
 def uid_splits(start: int, end: int, page: int, most: int) -> list[Split]:
@@ -37,6 +51,66 @@ def uid_splits(start: int, end: int, page: int, most: int) -> list[Split]:
     return [Split(s, min(s + width, end)) for s in range(start, end, width)]
 
 
+def even_splits(uids: list[int], costs: list[int], page: int, most: int, dense: bool) -> list[Split]:
+    """At most ``most`` splits of messages of about equal cost, each in pages; none without messages.
+
+    A page has up to ``page`` messages and ``PAGE_BYTES``; a larger message is a page of its own. ``dense`` says that
+    all messages between two uids are meant, so that a page can be named by its ends.
+    """
+    if not uids:
+        return []
+    ends, total = [], 0
+    for cost in costs:
+        total += cost + _MESSAGE
+        ends.append(total)
+    parts = min(most, -(-len(uids) // page))
+    # a message belongs to the split in which its middle lies
+    cuts = [bisect_left(ends, 0)]
+    for k in range(1, parts):
+        at = bisect_left(ends, total * k / parts)
+        before = ends[at - 1] if at else 0
+        cuts.append(at + (total * k / parts - before > (ends[at] - before) / 2))
+    cuts = sorted({*cuts, len(uids)})
+    return [Split(uids[a], uids[b - 1] + 1, pages=tuple(_pages(uids[a:b], costs[a:b], page, dense))) for a, b in zip(cuts, cuts[1:])]
+
+
+def _pages(uids: list[int], costs: list[int], page: int, dense: bool) -> Iterator[str]:
+    first, held, letters = 0, 0, 0
+    for i, cost in enumerate(costs):
+        letters += len(str(uids[i])) + 1
+        if i > first and (i - first >= page or held + cost > PAGE_BYTES or not dense and letters > _LETTERS):
+            yield uid_set(uids[first:i], dense)
+            first, held, letters = i, 0, 0
+        held += cost
+    yield uid_set(uids[first:], dense)
+
+
+def uid_set(uids: list[int], dense: bool = False) -> str:
+    """Ascending uids as a set of ranges; ``dense`` as one range."""
+    if dense:
+        return f"{uids[0]}:{uids[-1]}"
+    ranges: list[list[int]] = []
+    for uid in uids:
+        if ranges and uid == ranges[-1][1] + 1:
+            ranges[-1][1] = uid
+        else:
+            ranges.append([uid, uid])
+    return ",".join(str(a) if a == b else f"{a}:{b}" for a, b in ranges)
+
+
+@lru_cache(16)
+def _bounds(numbers: str) -> tuple[list[int], list[int]]:
+    ranges = [r.split(":") for r in numbers.split(",")]
+    return [int(r[0]) for r in ranges], [int(r[-1]) for r in ranges]
+
+
+def in_set(uid: int, numbers: str) -> bool:
+    """Whether a uid is in an ascending set of ranges."""
+    firsts, lasts = _bounds(numbers)
+    at = bisect_right(firsts, uid) - 1
+    return at >= 0 and uid <= lasts[at]
+
+
 class ImapTransport:
     """One IMAP connection, opened on first use and closed by ``close``."""
 
@@ -89,26 +163,59 @@ class ImapTransport:
         text = b" ".join(x for x in lines if x)
         return tuple(int(re.search(rb"%s (\d+)" % item, text)[1]) for item in (b"UIDVALIDITY", b"UIDNEXT"))
 
-    def splits(self, folder: str, start: int, end: int) -> list[Split]:
-        return uid_splits(start, end, self.options["batch-size"], self.options["max-connections"])
+    def splits(self, folder: str, start: int, end: int, columns: Iterable[str] = (), keys: str = "") -> list[Split]:
+        """Splits of even size: by the messages there are, and by their bytes if bodies are fetched.
+
+        A range that makes one split of one page, without keys to search by, is not looked at before.
+        """
+        page, most = self.options["batch-size"], self.options["max-connections"]
+        if start >= end or not keys and end - start <= page:
+            return uid_splits(start, end, page, most)
+        self._select(folder)
+        uids = self._search(start, end, keys)
+        if not uids:
+            return []
+        costs = self._sizes(uids, not keys) if "body" in columns else [0] * len(uids)
+        return even_splits(uids, costs, page, most, not keys)
 
-    def fetch(self, folder: str, split: Split, columns: Iterable[str]) -> Iterator[dict[str, Any]]:
-        """Page through a split; read-only, so that no message becomes seen."""
+    def _select(self, folder: str) -> None:
+        """Read-only, so that no message becomes seen."""
         kind, answer = self.connection.select(quoted_folder(folder), readonly=True)
         if kind != "OK":
             raise ValueError(f"Folder '{folder}' not found: {answer}")
+
+    def _search(self, start: int, end: int, keys: str) -> list[int]:
+        """The uids that match, in order."""
+        kind, data = self.connection.uid("SEARCH", f"UID {start}:{end - 1}{' ' * bool(keys)}{keys}")
+        if kind != "OK":
+            raise OSError(f"SEARCH {keys} failed: {data}")
+        found = {int(uid) for line in data if line for uid in line.split()}
+        return sorted(uid for uid in found if start <= uid < end)
+
+    def _sizes(self, uids: list[int], dense: bool) -> list[int]:
+        sizes: dict[int, int] = {}
+        for numbers in _pages(uids, [0] * len(uids), _SIZES, dense):
+            kind, data = self.connection.uid("FETCH", numbers, "(UID RFC822.SIZE)")
+            if kind != "OK":
+                raise OSError(f"FETCH {numbers} failed: {data}")
+            sizes.update((m["uid"], m.get("size", 0)) for m in parse_fetch(data))
+        return [sizes.get(uid, 0) for uid in uids]
+
+    def fetch(self, folder: str, split: Split, columns: Iterable[str]) -> Iterator[dict[str, Any]]:
+        """Page through a split."""
+        self._select(folder)
         items = f"({' '.join(fetch_items(columns))})"
         page = self.options["batch-size"]
-        for first in range(split.start, split.end, page):
-            last = min(first + page, split.end) - 1
-            kind, data = self.connection.uid("FETCH", f"{first}:{last}", items)
+        ranges = (f"{first}:{min(first + page, split.end) - 1}" for first in range(split.start, split.end, page))
+        for numbers in split.pages or ranges:
+            kind, data = self.connection.uid("FETCH", numbers, items)
             if kind != "OK":
-                raise OSError(f"FETCH {first}:{last} failed: {data}")
+                raise OSError(f"FETCH {numbers} failed: {data}")
             found: dict[int, dict[str, Any]] = {}
             for message in parse_fetch(data):  # a server may add answers of its own, such as new flags
                 found.setdefault(message["uid"], {}).update(message)
             for uid, message in found.items():
-                if first <= uid <= last and is_whole(message, columns):
+                if in_set(uid, numbers) and is_whole(message, columns):
                     yield message
 
 
@@ -239,30 +346,46 @@ class ArchiveTransport:
             raise ValueError(f"Folder '{folder}' not found in {self.options['archive']}")
         return found.uidvalidity, found.uid_next
 
-    def splits(self, folder: str, start: int, end: int) -> list[Split]:
-        """One split per file of the folder's partition; row groups are pruned by uid when read."""
+    def splits(self, folder: str, start: int, end: int, columns: Iterable[str] = (), keys: str = "") -> list[Split]:
+        """One split per file of the folder's parts; row groups are pruned by uid when read."""
+        if start >= end:
+            return []
+        parts = self._state().parts_of(folder, start, end - 1)
+        return [Split(max(start, p.first), min(end, p.last + 1), (f,)) for p in parts for f in self._files(p.append, folder)]
+
+    def _files(self, append: str, folder: str) -> list[str]:
         from pyarrow import fs
 
         from mailspark.sources.archive import directory_name
 
-        if start >= end:
-            return []
-        tops = ["messages", *(f"_staged/{append}-messages" for append in self._state().unmoved)]
-        places = [f"{self.root}/{top}/folder={directory_name(folder)}" for top in tops]
-        found = [f for p in places for f in self.filesystem.get_file_info(fs.FileSelector(p, allow_not_found=True))]
-        files = [f.path for f in found if f.path.endswith(".parquet")]
-        return [Split(start, end, (f,)) for f in sorted(files)]
+        place = f"{self.root}/messages/append={append}/folder={directory_name(folder)}"
+        return sorted(f.path for f in self.filesystem.get_file_info(fs.FileSelector(place)) if f.path.endswith(".parquet"))
 
-    def fetch(self, folder: str, split: Split, columns: Iterable[str]) -> Iterator[dict[str, Any]]:
+    def _batches(self, files: Iterable[str], start: int, end: int, columns: list[str]) -> Iterator[Any]:
         import pyarrow.dataset as ds
 
-        columns = list(dict.fromkeys(["uid", *columns]))
-        stored = ds.dataset(list(split.files), filesystem=self.filesystem, format="parquet")
-        in_range = (ds.field("uid") >= split.start) & (ds.field("uid") < split.end)
+        stored = ds.dataset(list(files), filesystem=self.filesystem, format="parquet")
+        in_range = (ds.field("uid") >= start) & (ds.field("uid") < end)
         most = self.options["batch-size"]  # messages held at once
-        for batch in stored.to_batches(columns=columns, filter=in_range, batch_size=most):
+        return stored.to_batches(columns=columns, filter=in_range, batch_size=most, batch_readahead=1, fragment_readahead=1)
+
+    def fetch(self, folder: str, split: Split, columns: Iterable[str]) -> Iterator[dict[str, Any]]:
+        for batch in self._batches(split.files, split.start, split.end, list(dict.fromkeys(["uid", *columns]))):
             yield from batch.to_pylist()
 
+    def read_range(self, folder: str, first: int, last: int, columns: list[str]) -> Iterator[Any]:
+        """Arrow batches of a uid range that one append has published, wherever its messages lie by now."""
+        import pyarrow as pa
+
+        parts = self._state().parts_of(folder, first, last)
+        if len(parts) != 1 or parts[0].first > first or parts[0].last < last:
+            raise OSError(f"uids {first} to {last} of folder '{folder}' are not in one part: {parts}")
+        files = self._files(parts[0].append, folder)
+        for batch in self._batches(files, first, last + 1, [c for c in columns if c != "folder"]):
+            if batch.num_rows:
+                named = pa.array([folder] * batch.num_rows, pa.string())
+                yield pa.RecordBatch.from_arrays([named if c == "folder" else batch.column(c) for c in columns], columns)
+
 
 class SmtpTransport:
     """One SMTP connection for all messages of a task."""

@@ -2,36 +2,61 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from mailspark import metadata as M
 from mailspark.operators import outbox
-from mailspark.operators.project import decode_mail
+from mailspark.operators.project import decode_mail, stored_columns
 from mailspark.options import IMAP_SPEC, SMTP_SPEC, MailOptions, check_mode
-from mailspark.sources.archive import STORED, Archive, directory_name
+from mailspark.session import register
+from mailspark.sources.archive import STORED, Archive
 
 
-def follow(archive: Archive, options: Mapping[str, str], checkpoint: str) -> DataFrame:
-    """Undecoded messages of an archive folder as a stream of new files.
+def follow(archive: Archive, options: Mapping[str, str], checkpoint: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """Undecoded messages of an archive folder as a stream; ``columns`` of them, all by default.
 
     Mode ``all`` delivers existing mail from ``offset`` on, then new mail; ``new`` only mail past the
     frontier at the first start. That frontier and the uid validity are kept next to the checkpoint,
     so a restart goes on with the same bound; a changed uid validity is an error.
+
+    What streams is the news of the archive, one small file per append with the uid ranges it added; ``max-files``
+    bounds how many of them a micro-batch takes. Tasks read each range as Arrow batches from the parts that hold it
+    when they run, so a compaction in between neither repeats nor loses a message.
     """
     parsed = MailOptions.parse({"archive": archive.path, **options}, IMAP_SPEC, substitute="archive")
     check_mode(parsed, streaming=True)
     folder = parsed["folder"]
+    register(archive.spark)
     first = _first_uid(archive, parsed, folder, checkpoint)
-    # A pattern, so that the directory of a folder that is still empty may be missing.
-    reader = archive.spark.readStream.schema(STORED).option("basePath", archive.messages_path)
+    archive.tell_news()
+    reader = archive.spark.readStream
     if parsed["max-files"]:
         reader = reader.option("maxFilesPerTrigger", parsed["max-files"])
-    files = reader.parquet(f"{archive.messages_path}/folde[r]={directory_name(folder)}")
-    return files.where((F.col("folder") == folder) & (F.col("uid") >= first)).select(*STORED.names)
+    news = reader.text(f"{archive.path}/news")
+    ranges = news.select(F.from_json("value", "folder string, first bigint, last bigint").alias("r")).select("r.*")
+    ranges = ranges.where((F.col("folder") == folder) & (F.col("last") >= first)).repartition("first")
+    wanted = [f for f in STORED if f.name in {"folder", "uid", *(columns or STORED.names)}]
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in wanted)
+    messages = ranges.mapInArrow(_reader(parsed, [f.name for f in wanted]), types)
+    return messages.where(F.col("uid") >= first)
+
+
+def _reader(options: MailOptions, columns: list[str]) -> Any:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from mailspark.sources.transport import ArchiveTransport
+
+        source = ArchiveTransport(options)
+        for batch in batches:
+            for r in batch.to_pylist():
+                yield from source.read_range(r["folder"], r["first"], r["last"], columns)
+
+    return run
 
 
 def _first_uid(archive: Archive, options: MailOptions, folder: str, checkpoint: str) -> int:
@@ -65,13 +90,12 @@ def stream_folder(
 ) -> DataFrame:
     """Declared columns of an archive folder as a stream."""
     parsed = MailOptions.parse({"archive": archive.path, **(options or {})}, IMAP_SPEC, substitute="archive")
+    layout = M.Layout.of(schema, parsed.aliases, parsed["content-columns"])
     return decode_mail(
-        follow(archive, options or {}, checkpoint),
-        schema,
+        follow(archive, options or {}, checkpoint, [*stored_columns(layout, has_envelope=True), "envelope"]),
+        layout,
         format=parsed["format"],
         format_options=parsed.format_options,
-        aliases=parsed.aliases,
-        content_columns=parsed["content-columns"],
     )
 
 

@@ -9,7 +9,7 @@ from pathlib import Path
 from mailspark.options import CATALOG_SPEC, MailOptions
 from mailspark.sources.imap import FoldersDataSource, ImapDataSource
 from mailspark.sources.smtp import SmtpDataSource
-from mailspark.sources.transport import cut, fetch_items, uid_splits
+from mailspark.sources.transport import cut, even_splits, fetch_items, in_set, uid_splits
 
 
 class Server:
@@ -55,6 +55,49 @@ class Server:
         return [x for x in path.read_text().splitlines() if x.startswith(start)] if path.exists() else []
 
 
+def matches(keys: str, raw: bytes, flags: list[str]) -> bool:
+    """Whether a message has what search keys ask for, as the protocol defines them."""
+    import email
+    import email.policy
+    import re
+
+    words = re.findall(r'"(?:[^"\\]|\\.)*"|[()]|[^\s()]+', keys)
+    message = email.message_from_bytes(cut(raw)[0], policy=email.policy.default)
+    received = datetime(2024, 5, 6)
+
+    def contains(header: str) -> bool:
+        text = re.sub(r"\\(.)", r"\1", words.pop(0)[1:-1]).lower()
+        return any(text in v.lower() for v in message.get_all(header, []))
+
+    def one() -> bool:
+        key = words.pop(0)
+        if key == "(":
+            found = True
+            while words[0] != ")":
+                found &= one()
+            words.pop(0)
+            return found
+        if key == "OR":
+            a, b = one(), one()
+            return a or b
+        if key in ("SEEN", "ANSWERED", "DRAFT"):
+            return "\\" + key.capitalize() in flags
+        if key in ("UNSEEN", "UNANSWERED", "UNDRAFT"):
+            return "\\" + key[2:].capitalize() not in flags
+        if key in ("SINCE", "BEFORE"):
+            day = datetime.strptime(words.pop(0), "%d-%b-%Y")
+            return received >= day if key == "SINCE" else received < day
+        if key in ("LARGER", "SMALLER"):
+            n = int(words.pop(0))
+            return len(raw) > n if key == "LARGER" else len(raw) < n
+        return contains(words.pop(0) if key == "HEADER" else key)
+
+    found = True
+    while words:
+        found &= one()
+    return found
+
+
 class FakeImapConnection:
     def __init__(self, options: MailOptions):
         self.options = options
@@ -76,13 +119,18 @@ class FakeImapConnection:
             raise ValueError(f"Folder '{folder}' not found")
         return state[folder]["validity"], state[folder]["next"]
 
-    def splits(self, folder, start, end):
-        return uid_splits(start, end, self.options["batch-size"], self.options["max-connections"])
+    def splits(self, folder, start, end, columns=(), keys=""):
+        if not keys:
+            return uid_splits(start, end, self.options["batch-size"], self.options["max-connections"])
+        self.server.log(f"search {start} {end} {keys}")
+        mail = {int(u): (raw.encode("latin-1"), flags) for u, (raw, flags) in self.server.read()[folder]["mail"].items()}
+        found = [u for u, m in sorted(mail.items()) if start <= u < end and matches(keys, *m)]
+        return even_splits(found, [len(mail[u][0]) for u in found], self.options["batch-size"], self.options["max-connections"], False)
 
     def fetch(self, folder, split, columns):
         self.server.log(f"fetch {split.start} {split.end} {' '.join(fetch_items(columns))}")
         for uid, (raw, flags) in self.server.read()[folder]["mail"].items():
-            if split.start <= int(uid) < split.end:
+            if split.start <= int(uid) < split.end and (not split.pages or any(in_set(int(uid), p) for p in split.pages)):
                 head, body = cut(raw.encode("latin-1"))
                 stored = {
                     "uid": int(uid),

@@ -76,17 +76,161 @@ def test_an_append_that_dies_before_it_is_published(archive, mail, monkeypatch,
 
 
 def test_an_append_that_dies_after_it_is_published(archive, mail, monkeypatch):
-    """Whoever comes next moves its files in; a worker finds them where they are."""
+    """It is there, whole; whoever writes next tells streams of it."""
     archive.append(numbered(mail, 1, 2))
+    create = archive.ledger.create
     with monkeypatch.context() as patch:
-        patch.setattr(archive, "_move", dies)
+        patch.setattr(archive.ledger, "create", lambda text, target: dies() if "/news/" in str(target) else create(text, target))
         with pytest.raises(Crash):
             archive.append(numbered(mail, 3, 4))
-    served = archive.spark.read.format("imap").schema("uid bigint").options(archive=archive.path).load()
-    assert sorted(r.uid for r in served.collect()) == [1, 2, 3, 4]
-    assert uids_of(Archive(archive.spark, archive.path)) == [1, 2, 3, 4]
+    assert uids_of(archive) == [1, 2, 3, 4] == uids_of(Archive(archive.spark, archive.path))
+    assert told(archive) == [(1, 2)]
     archive.append(numbered(mail, 5))
-    assert uids_of(archive) == [1, 2, 3, 4, 5] and archive.state().unmoved == []
+    assert uids_of(archive) == [1, 2, 3, 4, 5] and told(archive) == [(1, 2), (3, 4), (5, 5)]
+
+
+def told(archive):
+    """The uid ranges that streams are told of."""
+    news = archive.spark.read.schema("folder string, first bigint, last bigint").json(f"{archive.path}/news")
+    return sorted((r.first, r.last) for r in news.collect())
+
+
+@pytest.mark.parametrize("step", ["task", "read back", "version", "taken"])
+def test_a_writer_that_dies_leaves_nothing_to_see(archive, mail, spark, monkeypatch, step):
+    """At each step before its version: no reader, view, listing of parts or news knows of it, and its uids are free."""
+    from mailspark import MailCatalog
+
+    archive.append(numbered(mail, 1, 2))
+    view = MailCatalog(spark, {"archive": archive.path}, f"dying_{step.replace(' ', '_')}").sync()["INBOX"]
+    rows = numbered(mail, 3, 4)
+    if step == "task":  # one task has committed its files, the other fails
+        rows = rows.repartition(2, "uid").withColumn("internal_date", F.when(F.col("uid") < 4, F.col("internal_date")).otherwise(F.raise_error(F.lit("dead"))))
+    with monkeypatch.context() as patch:
+        if step == "read back":
+            patch.setattr(Archive, "_publish", dies)
+        elif step == "version":
+            patch.setattr(archive.ledger, "_name", dies)
+        elif step == "taken":
+            patch.setattr(archive.ledger, "write", dies)
+        with pytest.raises(Exception, match="dead" if step == "task" else None):
+            archive.append(rows, clustered=True)
+    assert uids_of(archive) == [1, 2] == sorted(r.uid for r in spark.table(view).collect()) and told(archive) == [(1, 2)]
+    archive.append(numbered(mail, 3))
+    assert uids_of(archive) == [1, 2, 3] == sorted(r.uid for r in spark.table(view).collect())
+    assert archive.vacuum(grace=86_400) == 0 and archive.vacuum(grace=-60) == 1
+    assert uids_of(archive) == [1, 2, 3]
+
+
+def test_an_append_moves_nothing(archive, mail, monkeypatch):
+    """Files keep the names their tasks gave them; the driver's work does not grow with their number."""
+    renamed = []
+    monkeypatch.setattr(archive.ledger, "_name", lambda draft, target, plain=archive.ledger._name: (renamed.append(str(target)), plain(draft, target))[1])
+    archive.append(numbered(mail, *range(1, 41)).repartition(8), clustered=True)
+    files = archive._stored(archive._places(archive.state())).select(F.input_file_name()).distinct().count()
+    assert files == 8 and [n.split("/")[-2] for n in renamed] == ["ledger", "news"]
+
+
+def test_parts_are_chosen_by_uid(archive, mail):
+    for uid in range(1, 10, 2):
+        archive.append(numbered(mail, uid, uid + 1))
+    assert [(p.first, p.last, p.rows) for p in archive.state().parts_of("INBOX", 4, 7)] == [(3, 4, 2), (5, 6, 2), (7, 8, 2)]
+    files = archive.messages("INBOX", 8).inputFiles()
+    assert len(files) == 2 and subjects(archive, offset="8") == [(8, "8"), (9, "9"), (10, "10")]
+
+
+# -- compaction -----------------------------------------------------------------------------------
+
+
+def test_many_small_appends_end_in_a_few_files(archive, mail):
+    """Every so often while they come in, as one would; what has been rewritten is not rewritten each time."""
+    written = 0
+    for i in range(3):
+        first = archive.state().folders["INBOX"].uid_next if i else 1
+        for uid in range(first, first + 4):
+            archive.append(numbered(mail, uid), clustered=True)
+        written += archive.compact(neighbours=4)
+    archive.compact(neighbours=2)
+    assert uids_of(archive) == list(range(1, 13)) and archive.compact(neighbours=2) == 0
+    assert len(archive.messages("INBOX").inputFiles()) == 1
+    assert written < 3 * 12
+    assert archive.vacuum(grace=-60) >= 12
+    assert uids_of(archive) == list(range(1, 13)) and archive.state().replaced == []
+    listed = archive.ledger.files.listStatus(archive._path("messages"))
+    assert len(listed) == 2 == len({s.getPath().getName() for s in listed} | {"append=none"})
+
+
+def test_compaction_of_many_folders_is_one_job_and_leaves_large_parts(archive, mail):
+    for f in ("a", "b/c"):
+        for uid in (1, 3, 5):
+            archive.append(numbered(mail, uid, uid + 1, folder=f))
+    archive.append(numbered(mail, 7, folder="alone"))
+    large = archive.state().parts["a"][1].bytes
+    assert archive.compact(small=large, neighbours=2) in (0, 6)  # parts of one size: all are large, or none is
+    assert archive.compact(neighbours=2) in (0, 6)
+    assert [(p.first, p.last, p.rows) for p in archive.state().parts["b/c"]] == [(1, 6, 6)]
+    assert uids_of(archive, "a") == uids_of(archive, "b/c") == [1, 2, 3, 4, 5, 6] and uids_of(archive, "alone") == [7]
+    found = decode_mail(archive.messages(), "uid bigint", keep=["folder"]).collect()
+    assert sorted((r.folder, r.uid) for r in found) == [(f, u) for f in ("a", "alone", "b/c") for u in ([7] if f == "alone" else range(1, 7))]
+    archive.append(numbered(mail, 7, folder="a"))
+    assert uids_of(archive, "a") == list(range(1, 8))
+
+
+def test_runs_that_are_rewritten():
+    from mailspark.sources.archive import _run
+    from mailspark.sources.ledger import Part
+
+    parts = [Part(str(i), i, i, 1, size) for i, size in enumerate([5, 5, 100, 5, 5, 5, 100, 60, 60])]
+    assert [p.append for p in _run(parts, 100, 3)] == ["3", "4", "5"]
+    assert [p.append for p in _run(parts, 100, 4)] == ["7", "8"]  # few, but a whole part together
+    assert _run(parts, 50, 4) == [] == _run([], 50, 2) == _run(parts[:1], 50, 1)
+
+
+def test_scans_and_streams_go_on_while_parts_are_exchanged(archive, mail, spark, tmp_path):
+    """Each gives every uid once, whether it was planned before, between or after."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from mailspark import MailCatalog, stream_folder
+
+    for uid in range(1, 7):
+        archive.append(numbered(mail, uid))
+    view = MailCatalog(spark, {"archive": archive.path}, "exchanged").sync()["INBOX"]
+    before, served = archive.messages("INBOX").select("uid"), spark.read.format("imap").schema("uid bigint").options(archive=archive.path).load()
+    seen = []
+
+    def drain():
+        stream = stream_folder(archive, "uid bigint", str(tmp_path / "cp"), {"max-files": "1"})
+        sink = stream.writeStream.foreachBatch(lambda rows, _: seen.extend(r.uid for r in rows.collect()))
+        sink.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+
+    with ThreadPoolExecutor(2) as pool:
+        streaming = pool.submit(drain)
+        assert archive.compact(neighbours=2) == 6
+        for uid in (7, 8):
+            archive.append(numbered(mail, uid))
+        streaming.result()
+    assert archive.compact(neighbours=2) == 3
+    drain()
+    assert sorted(seen) == list(range(1, 9))
+    assert sorted(r.uid for r in before.collect()) == [1, 2, 3, 4, 5, 6]
+    assert sorted(r.uid for r in served.collect()) == uids_of(archive) == list(range(1, 9))
+    assert sorted(r.uid for r in spark.table(view).collect()) == list(range(1, 9))
+
+
+def test_a_compaction_that_comes_second_or_dies_changes_nothing(archive, mail, monkeypatch):
+    for uid in range(1, 5):
+        archive.append(numbered(mail, uid))
+    with monkeypatch.context() as patch:
+        patch.setattr(archive, "_exchange", dies)
+        with pytest.raises(Crash):
+            archive.compact(neighbours=2)
+    assert uids_of(archive) == [1, 2, 3, 4] and len(archive.state().parts["INBOX"]) == 4
+    first = Archive(archive.spark, archive.path)
+    with monkeypatch.context() as patch:
+        written = archive._written
+        patch.setattr(archive, "_written", lambda *a: (first.compact(neighbours=2), written(*a))[1])
+        assert archive.compact(neighbours=2) == 0
+    assert uids_of(archive) == [1, 2, 3, 4] and len(archive.state().parts["INBOX"]) == 1
+    assert archive.vacuum(grace=-60) == 5 and uids_of(archive) == [1, 2, 3, 4]  # four replaced, one abandoned
 
 
 def test_appends_at_the_same_time(archive, mail):
@@ -243,7 +387,7 @@ def test_import_spreads_a_hot_folder(archive, spark, monkeypatch):
     monkeypatch.setattr("mailspark.sources.archive.UID_BUCKET", 1000)
     with settings(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
         archive.append(hot)
-    rows = spark.read.parquet(f"{archive.messages_path}/folder=hot").select(F.input_file_name().alias("f"), "uid")
+    rows = spark.read.parquet(f"{archive.messages_path}/append=*/folder=hot").select(F.input_file_name().alias("f"), "uid")
     files = rows.groupBy(F.floor(F.col("uid") / 1000).alias("b")).agg(F.collect_set("f").alias("f")).collect()
     assert all(len(r.f) == 1 for r in files) and len({r.f[0] for r in files}) > 1
     in_file = rows.withColumn("place", F.monotonically_increasing_id())

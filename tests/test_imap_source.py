@@ -252,6 +252,147 @@ def test_login_only_with_a_password(spark, server):
     assert server.logged("anonymous") and not server.logged("login")
 
 
+# -- searches -------------------------------------------------------------------------------------
+
+EVERY = "uid bigint, subject string, received timestamp, fromFirst string, toFirst string, sizeInBytes int, seen boolean, answered boolean, draft boolean"
+PREDICATES = [
+    ("seen", "SEEN"), ("not seen", "UNSEEN"), ("seen = false and draft", "UNSEEN DRAFT"), ("answered <=> true", "ANSWERED"),
+    ("received >= '2024-05-06 08:00:00'", "SINCE 4-May-2024"), ("received < '2024-05-06 08:00:00'", "BEFORE 9-May-2024"),
+    ("received > '2024-05-09'", "SINCE 7-May-2024"), ("received <= '2024-05-03'", "BEFORE 6-May-2024"),
+    ("sizeInBytes > 100", "LARGER 100"), ("sizeInBytes <= 100", "SMALLER 101"), ("sizeInBytes = 75", "LARGER 74 SMALLER 76"),
+    ("subject = 'Re: plan b'", None), ("subject like '%Über plan%'", None), ("subject like 'plan%'", None), ("subject like '%B'", None),
+    ("subject in ('plan', 'Re: plan b')", None), ("fromFirst like '%jon@mail.test%'", None), ("fromFirst = 'Jon Doe <jon@mail.test>'", None),
+    ("toFirst = '\"Doe, J\" <j@mail.test>'", None), ("subject like '%?!%'", ""), ("sent > '2024-01-01'", ""), ("subject is null", ""),
+    ("seen or subject = 'plan'", ""), ("subject <> 'plan'", ""), ("uid > 2 and seen", "SEEN"),
+]
+
+
+def correspond(server):
+    headers = [
+        ("Subject: plan", "From: Jon Doe <jon@mail.test>", "To: \"Doe, J\" <j@mail.test>"), ("Subject: Re: plan\r\n b", "Sender: jon@mail.test"),
+        ("Subject: =?utf-8?q?=C3=9Cber_plan_B?=", "From: \"J\\on Doe\" <jon@mail.test>"), ("Subject: =?x-unknown?q?plan?=", "From: (x) jon@mail.test"),
+        ("From: =?utf-8?b?Sm9uIERvZQ==?= <jon@mail.test>", "To: a@b.c, j@mail.test"), ("Subject: PLAN B", "To: j@mail.test"),
+    ]
+    flags = [("\\Seen",), (), ("\\Seen", "\\Draft"), ("\\Answered",), (), ("\\Draft",)]
+    for h, f in zip(headers * 2, flags * 2):
+        server.deliver("INBOX", message(*h, body=b"x" * len(h[0])), f)
+
+
+@pytest.mark.parametrize("predicate, keys", PREDICATES, ids=[p for p, _ in PREDICATES])
+def test_predicates_are_searched_by_the_server(spark, server, predicate, keys):
+    """The same rows with and without; what is searched selects no less."""
+    correspond(server)
+    columns = EVERY + ", sent timestamp"
+    plain = rows(load(spark, server, columns, search="false").where(predicate))
+    assert not server.logged("search")
+    assert rows(load(spark, server, columns).where(predicate)) == plain
+    asked = server.logged("search")
+    assert bool(asked) == (keys != "")
+    if keys:
+        assert asked[-1].split(" ", 3)[3] == keys
+
+
+def test_only_what_a_search_finds_is_fetched(spark, server, monkeypatch):
+    fill(server, *range(1, 41))
+    found = load(spark, server, "uid bigint, seen boolean, content string", batch_size="4").where("seen and uid < 31")
+    assert [r[0] for r in rows(found)] == list(range(1, 31, 2))
+    assert server.logged("search") == ["search 1 31 SEEN"]
+    native = mailspark.read_folder  # undecoded messages: the date is searched, too
+    spark.dataSource.register(fakes.FakeNamedImap)
+    try:
+        assert native(spark, {"host": str(server.place)}, "uid bigint, received timestamp, subject string").where("received > '2024-06-01'").count() == 0
+    finally:
+        spark.dataSource.register(ImapDataSource)
+    assert server.logged("search")[-1] == "search 1 41 SINCE 30-May-2024"
+
+
+def test_search_keys_of_odd_values():
+    from pyspark.sql.datasource import EqualTo, GreaterThan, In, LessThan
+
+    from mailspark.sources.search import search_keys
+
+    key = lambda f: search_keys(f, {"d": "received", "s": "sizeInBytes", "t": "subject", "u": "toFirst"})
+    assert key(GreaterThan(("d",), datetime(1, 1, 1))) == key(LessThan(("d",), datetime(9999, 12, 31))) == ""
+    assert key(GreaterThan(("d",), datetime(2024, 5, 6, 23, tzinfo=timezone(timedelta(hours=-5))))) == "SINCE 5-May-2024"
+    assert key(GreaterThan(("s",), -1)) == key(LessThan(("s",), 1 << 40)) == key(GreaterThan(("s",), None)) == ""
+    assert key(EqualTo(("t",), 'a"b')).count('"') % 2 == 0 and "日" not in key(EqualTo(("t",), "日本 x"))
+    assert key(EqualTo(("t",), None)) == key(EqualTo(("t", "u"), "x")) == key(EqualTo(("v",), "x")) == key(In(("t",), ("a", "?"))) == ""
+    assert key(In(("t",), tuple("abcdefghijklmnopqrstuvwxyz"))) == ""
+
+
+# -- splits of even size ---------------------------------------------------------------------------
+
+
+class Mailbox:
+    """Answers searches and sizes of a folder with holes."""
+
+    capabilities, state = (), "SELECTED"
+
+    def __init__(self, sizes):
+        self.sizes, self.commands = sizes, []
+
+    def select(self, folder, readonly):
+        return "OK", [b""]
+
+    def uid(self, command, numbers, items=None):
+        self.commands.append((command, numbers, items))
+        if command == "SEARCH":
+            first, last = numbers.split()[1].split(":")
+            return "OK", [" ".join(str(u) for u in self.sizes if int(first) <= u <= int(last)).encode()]
+        found = [(u, s) for u, s in self.sizes.items() if T.in_set(u, numbers)]
+        if "BODY" in items:
+            return "OK", [x for u, s in found for x in ((b"1 (UID %d RFC822.SIZE %d BODY[] {4}" % (u, s), b"\r\nxy"), b")")]
+        return "OK", [b"1 (UID %d RFC822.SIZE %d)" % (u, s) for u, s in found]
+
+
+def folder_of(sizes, **options):
+    found = T.ImapTransport(MailOptions.parse({"host": "h", **options}, IMAP_SPEC))
+    found._connection = Mailbox(sizes)
+    return found
+
+
+def test_splits_have_even_sizes_and_pages_a_bound(monkeypatch):
+    monkeypatch.setattr(T, "PAGE_BYTES", 10_000_000)
+    sizes = {u: 5_000 for u in range(1, 4000) if u % 7} | {u: 5_000 for u in range(900_000, 901_000)} | {u: 9_000_000 for u in (50, 51, 2000, 900_500)}
+    sizes = dict(sorted((sizes | {900_700: 15_000_000}).items()))
+    server = folder_of(sizes)
+    splits = server.splits("INBOX", 1, 1_000_000, ["body"])
+    held = [sum(s for u, s in sizes.items() if x.start <= u < x.end) for x in splits]
+    assert len(splits) == 4 and max(held) <= 2 * min(held)
+    assert [s.start for s in splits[1:]] >= [s.end for s in splits[:-1]]
+    pages = [[u for u in sizes if T.in_set(u, p)] for x in splits for p in x.pages]
+    assert [u for p in pages for u in p] == list(sizes)  # each once, in order
+    assert all(len(p) == 1 or len(p) <= 50 and sum(sizes[u] for u in p) <= 10_000_000 for p in pages)
+    assert [900_700] in pages
+    got = [m["uid"] for x in splits for m in server.fetch("INBOX", x, ["body", "head"])]
+    assert got == list(sizes)
+    assert max(len(n) for c, n, i in server.connection.commands if c == "FETCH") < 20
+
+
+def test_splits_without_bodies_are_even_by_messages():
+    server = folder_of({u: 1 for u in [*range(1, 101), *range(50_000, 50_300)]})
+    splits = server.splits("INBOX", 1, 60_000, ["flags"])
+    assert [sum(len(p.split(",")) > 0 for p in s.pages) for s in splits] == [2, 2, 2, 2]
+    assert [c for c, *_ in server.connection.commands] == ["SEARCH"]
+    assert folder_of({}).splits("INBOX", 1, 60_000, ["body"]) == [] == folder_of({}).splits("INBOX", 5, 5)
+    small = folder_of({1: 5})
+    assert [(s.start, s.end) for s in small.splits("INBOX", 1, 30, ["body"])] == [(1, 30)] and small.connection.commands == []
+
+
+def test_searched_uids_are_fetched_in_short_commands():
+    sizes = {u: 10 for u in range(1, 10_001, 3)}
+    server = folder_of(sizes, **{"batch-size": "100000", "max-connections": "2"})
+    splits = server.splits("INBOX", 1, 20_000, ["body"], "SEEN")
+    assert server.connection.commands[0][1] == "UID 1:19999 SEEN"
+    assert [m["uid"] for s in splits for m in server.fetch("INBOX", s, ["body", "head"])] == list(sizes)
+    assert max(len(n) for c, n, i in server.connection.commands) < 5_000
+
+
+def test_uid_sets():
+    assert T.uid_set([1, 2, 3, 7, 9, 10]) == "1:3,7,9:10" and T.uid_set([1, 7], dense=True) == "1:7"
+    assert [u for u in range(12) if T.in_set(u, "1:3,7,9:10")] == [1, 2, 3, 7, 9, 10]
+
+
 # -- options --------------------------------------------------------------------------------------
 
 

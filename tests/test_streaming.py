@@ -47,15 +47,26 @@ def test_a_lost_append_is_not_streamed(archive, mail, tmp_path, monkeypatch):  #
     def dies(*_):
         raise OSError
 
-    for name in ("_publish", "_move"):
+    create = archive.ledger.create
+    steps = {"_publish": (archive, dies), "create": (archive.ledger, lambda text, to: dies() if "/news/" in str(to) else create(text, to))}
+    for name, (where, instead) in steps.items():
         with monkeypatch.context() as patch:
-            patch.setattr(archive, name, dies)
+            patch.setattr(where, name, instead)
             with pytest.raises(OSError):
                 archive.append(numbered(mail, 2))
         assert collect() == ([1] if name == "_publish" else [1, 2])
     assert collect() == [1, 2]
 
 
+def test_only_needed_columns_are_read(archive, mail, tmp_path):  # noqa: F811
+    archive.append(numbered(mail, 1))
+    stream = stream_folder(archive, "uid bigint, seen boolean", str(tmp_path / "cp"))
+    sink = stream.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    sink.awaitTermination()
+    plan = sink._jsq.explainInternal(False) if hasattr(sink, "_jsq") else ""
+    assert "flags" in plan and "body" not in plan and "head" not in plan.replace("header", "")
+
+
 def test_all_from_an_offset(archive, mail, tmp_path):  # noqa: F811
     archive.append(numbered(mail, 1, 2, 5))
     assert Collector(archive, tmp_path, offset="2")() == [2, 5]
