@@ -344,9 +344,9 @@ def catalog_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def catalog_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which of the folders of the conversations, and of names like them, exist."""
     catalog = _catalog(spark, sf_dir, "conv_mail", "conv_folders")
-    roles = [r.role for r in spark.read.parquet(f"{sf_dir}/conversations.parquet").select("role").distinct().collect()]
-    names = [n for r in roles for n in (r, f"{r}/Sent", r.upper())]
-    return spark.createDataFrame([(n, catalog.table_exists(n)) for n in names], "name string, found boolean")
+    role = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("role").distinct().where("role IS NOT NULL")
+    names = role.select(F.explode(F.array("role", F.concat("role", F.lit("/Sent")), F.upper("role"))).alias("name"))
+    return catalog.tables_exist(names)
 
 
 def catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,6 +43,25 @@ def test_unreachable_account_has_no_tables(spark, tmp_path, server):
     assert FakeCatalog(spark, {"host": str(tmp_path / "gone")}).table_exists("INBOX") is False
 
 
+def test_a_refused_login_is_an_error(spark, server, monkeypatch):
+    import imaplib
+
+    def refuses(self):
+        raise imaplib.IMAP4.error("AUTHENTICATIONFAILED")
+
+    found = catalog(spark, server)
+    monkeypatch.setattr(FakeCatalog, "folders", refuses)
+    with pytest.raises(imaplib.IMAP4.error):
+        found.table_exists("INBOX")
+
+
+def test_many_names_at_once(spark, server):
+    server.create("Sent Mail").create("Parent", holds=False)
+    names = spark.createDataFrame([("INBOX", 1), ("inbox", 2), ("Sent Mail", 3), ("Parent", 4), (None, 5), ("INBOX", 6)], "name string, n int")
+    found = catalog(spark, server).tables_exist(names).collect()
+    assert sorted((r.n, r.found) for r in found) == [(1, True), (2, False), (3, True), (4, False), (5, False), (6, True)]
+
+
 def test_one_database(spark, server):
     found = catalog(spark, server)
     assert found.list_databases() == ["folders"] and found.database_exists("folders")
