@@ -1,7 +1,7 @@
 """Mail folders as Spark tables and streams, and rows as outgoing mail."""
 
 from mailspark.catalog import MailCatalog, fetch_folder, import_folder, read_folder
-from mailspark.operators.outbox import compose, send
+from mailspark.operators.outbox import compose, outcomes, send
 from mailspark.operators.project import decode_mail, physical_row, row_slice, split_raw
 from mailspark.session import register, release
 from mailspark.sources.archive import Archive
@@ -17,6 +17,7 @@ __all__ = [
     "fetch_folder",
     "follow",
     "import_folder",
+    "outcomes",
     "physical_row",
     "poll",
     "read_folder",

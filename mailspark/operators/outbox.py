@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+import zlib
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BinaryType
 
 from mailspark import metadata as M
@@ -14,6 +16,7 @@ from mailspark.functions import patterns as P
 from mailspark.functions import words
 from mailspark.options import ACCOUNT_SPEC, SMTP_SPEC, MailOptions
 from mailspark.sources.archive import Archive
+from mailspark.sources.journal import NOTES
 
 # Header name and order of the written address lists; bcc is never a header.
 ADDRESS_HEADERS = {"from": "From", "to": "To", "cc": "Cc", "replyTo": "Reply-To"}
@@ -205,13 +208,20 @@ def check_recipients(messages: DataFrame) -> DataFrame:
 def send(rows: DataFrame, options: Mapping[str, str], batch: tuple[str, int] | None = None) -> None:
     """Send one mail per row, or append it to a folder of the archive named by ``spool``.
 
-    Sending is at least once: a task or batch that runs again sends again, under the same Message-ID.
+    Sending is at least once: a task or batch that runs again sends again, under the same Message-ID. With an option
+    ``journal``, a folder, only what is not noted there is sent again, and a refused recipient is a note instead of an
+    error (``outcomes``); rows that share a Message-ID are then one mail, unless a ``message-key`` tells them apart.
     A spool gets each ``batch`` (its writer and number) once.
     """
     parsed = MailOptions.parse(options, SMTP_SPEC, substitute="spool")
     messages = check_recipients(compose(rows, options))
     if parsed["spool"] is None:
-        messages.write.format("smtp").options(**account_options(options)).mode("append").save()
+        account = account_options(options)
+        if parsed["journal"]:
+            place = f"{parsed['journal'].rstrip('/')}/{_batch_name(batch)}"
+            messages = _not_noted(messages, place)
+            account |= {"journal": place, "journal-run": uuid.uuid4().hex}
+        messages.write.format("smtp").options(**account).mode("append").save()
         return
     # The envelope must be part of the plan for its check to run; the spool does not store it.
     mail = messages.where(F.size("envelope_to") > 0).select(
@@ -225,3 +235,22 @@ def send(rows: DataFrame, options: Mapping[str, str], batch: tuple[str, int] | N
 def account_options(options: Mapping[str, str]) -> dict[str, str]:
     """The options that say how to reach the server."""
     return {k: v for k, v in options.items() if k.lower() in ACCOUNT_SPEC}
+
+
+def _batch_name(batch: tuple[str, int] | None) -> str:
+    return "all" if batch is None else f"{zlib.crc32(batch[0].encode()):08x}-{batch[1]}"
+
+
+def _not_noted(messages: DataFrame, place: str) -> DataFrame:
+    """Messages that no run has noted under a folder."""
+    spark = messages.sparkSession
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place)
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        return messages
+    noted = spark.read.schema(NOTES).json(place).select(F.col("message_id").alias("__noted")).distinct()
+    return messages.join(noted, F.col("message_id") == F.col("__noted"), "left_anti")
+
+
+def outcomes(spark: SparkSession, journal: str) -> DataFrame:
+    """``message_id``, ``recipient``, ``code``, ``reason``: what servers made of each mail; 250 for what they took."""
+    return spark.read.schema(NOTES).option("recursiveFileLookup", "true").json(journal)

@@ -116,6 +116,9 @@ SMTP_SPEC = {
     # append the mail to a folder of this archive instead of sending it
     "spool": Option(),
     "folder": Option(str, "OUTBOX"),
+    # folder of notes on what the server took and refused; what it names as taken is not sent again
+    "journal": Option(),
+    "journal-run": Option(),
     # column whose value names a row; part of its Message-ID
     "message-key": Option(),
     # timestamp column that is the Date of the mail; the time of sending without it or where it is null

@@ -8,12 +8,15 @@ import hashlib
 import io
 import json
 import re
+import smtplib
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from email.utils import format_datetime
 from typing import Any
 
+from pyspark import TaskContext
 from pyspark.sql import Row
 from pyspark.sql.datasource import DataSource, DataSourceStreamWriter, DataSourceWriter, WriterCommitMessage
 from pyspark.sql.types import BinaryType, StructType
@@ -22,6 +25,7 @@ from mailspark import metadata as M
 from mailspark.functions import patterns as P
 from mailspark.functions.formats import check_raw
 from mailspark.options import SMTP_SPEC, MailOptions
+from mailspark.sources.journal import Journal, message_id
 from mailspark.sources.message import format_address, mailboxes, parse_address
 from mailspark.sources.transport import SmtpTransport
 
@@ -166,18 +170,34 @@ class _Sender:
         self.message = _composed if is_composed else Composer(schema, source.mail)
 
     def write(self, iterator: Iterator[Row]) -> WriterCommitMessage:
-        server, count = None, 0
+        server, count, journal = None, 0, self._journal()
         try:
             for row in iterator:
-                message = self.message(row)
+                sender, recipients, raw = self.message(row)
+                if journal and message_id(raw) in journal.known:
+                    continue
                 server = server or self.source.connect()
-                server.send(*message)
+                refused = server.send(sender, recipients, raw) or {}
+                if journal:
+                    journal.note(message_id(raw), recipients, refused)
+                elif refused:
+                    raise smtplib.SMTPRecipientsRefused(refused)
                 count += 1
         finally:
+            if journal:
+                journal.save()
             if server is not None:
                 server.close()
         return Sent(count)
 
+    def _journal(self) -> Journal | None:
+        options = self.source.mail
+        if not options["journal"]:
+            return None
+        task = TaskContext.get()
+        place = (task.partitionId(), task.attemptNumber()) if task else (0, 0)
+        return Journal(options["journal"], options["journal-run"] or uuid.uuid4().hex, *place)
+
 
 class SmtpWriter(_Sender, DataSourceWriter):
     pass

@@ -397,10 +397,12 @@ class SmtpTransport:
         if o.uses_authentication:
             self._connection.login(o["user"] or "", o.password)
 
-    def send(self, sender: str, recipients: list[str], raw: bytes) -> None:
-        refused = self._connection.sendmail(sender, recipients, raw)
-        if refused:
-            raise smtplib.SMTPRecipientsRefused(refused)
+    def send(self, sender: str, recipients: list[str], raw: bytes) -> dict[str, tuple[int, bytes]]:
+        """Recipients that the server refused, with its answer to each."""
+        try:
+            return self._connection.sendmail(sender, recipients, raw)
+        except smtplib.SMTPRecipientsRefused as e:  # all of them
+            return e.recipients
 
     def close(self) -> None:
         """End the connection; all mail has been taken over by then."""

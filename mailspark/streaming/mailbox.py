@@ -110,7 +110,7 @@ def send_stream(
 ) -> StreamingQuery:
     """Send one mail per row of an unbounded query, or append it to the archive named by ``spool``."""
     parsed = MailOptions.parse(options, SMTP_SPEC, substitute="spool")
-    if parsed["spool"]:
+    if parsed["spool"] or parsed["journal"]:
         sink = rows.writeStream.foreachBatch(lambda batch, number: outbox.send(batch, options, (checkpoint, number)))
     else:
         messages = outbox.check_recipients(outbox.compose(rows, options))

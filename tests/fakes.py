@@ -183,8 +183,13 @@ class FakeSmtpConnection:
     def send(self, sender, recipients, raw):
         import uuid
 
-        sent = {"from": sender, "to": recipients, "raw": raw.decode("latin-1")}
+        limit = self.server.place / "dies-after"
+        if limit.exists() and len(list(self.server.place.glob("*.mail"))) >= int(limit.read_text()):
+            raise ConnectionResetError("gone")
+        refused = {r: (550, b"no such user") for r in recipients if r.startswith("refused")}
+        sent = {"from": sender, "to": [r for r in recipients if r not in refused], "raw": raw.decode("latin-1")}
         (self.server.place / f"{uuid.uuid4().hex}.mail").write_text(json.dumps(sent))
+        return refused
 
     def close(self):
         self.server.log("quit")

@@ -306,3 +306,78 @@ def test_only_the_host_is_required():
     MailOptions.parse({"host": "h"}, SMTP_SPEC)
     with pytest.raises(ValueError, match="'host'"):
         MailOptions.parse({"user": "u"}, SMTP_SPEC)
+
+
+# -- journal --------------------------------------------------------------------------------------
+
+
+@pytest.fixture
+def relay(spark, tmp_path):
+    server = Server(str(tmp_path / "relay")).create()
+    spark.dataSource.register(fakes.FakeNamedSmtp)
+    yield server
+    spark.dataSource.register(SmtpDataSource)
+
+
+def mails(spark, n):
+    return rows_of(spark, *[(f"S{i}", ["a@b.c"], [f"u{i}@b.c"], None, None, None, "x") for i in range(n)])
+
+
+def noted(spark, journal):
+    from mailspark import outcomes
+
+    return sorted((r.recipient, r.code, r.reason) for r in outcomes(spark, journal).collect())
+
+
+def test_a_task_that_dies_midway_sends_only_the_rest(spark, relay, tmp_path):
+    journal = str(tmp_path / "journal")
+    (relay.place / "dies-after").write_text("4")
+    options = {"host": str(relay.place), "journal": journal}
+    with pytest.raises(Exception, match="gone"):
+        send(mails(spark, 10).coalesce(1), options)
+    assert len(sent(relay.place)) == 4 == len(noted(spark, journal))
+    (relay.place / "dies-after").unlink()
+    for _ in range(2):
+        send(mails(spark, 10).coalesce(1), options)
+        assert sorted(m["to"][0] for m in sent(relay.place)) == sorted(f"u{i}@b.c" for i in range(10))
+    assert noted(spark, journal) == sorted((f"u{i}@b.c", 250, None) for i in range(10))
+
+
+def test_a_refused_recipient_is_a_note(spark, relay, tmp_path):
+    rows = rows_of(spark, ("S", ["a@b.c"], ["x@b.c", "refused@b.c"], ["y@b.c"], None, None, "x"))
+    with pytest.raises(Exception, match="RecipientsRefused"):
+        send(rows, {"host": str(relay.place)})
+    send(rows, {"host": str(relay.place), "journal": str(tmp_path / "journal")})
+    assert [m["to"] for m in sent(relay.place)] == [["x@b.c", "y@b.c"]] * 2
+    assert noted(spark, str(tmp_path / "journal")) == [("refused@b.c", 550, "no such user"), ("x@b.c", 250, None), ("y@b.c", 250, None)]
+
+
+def test_a_batch_of_a_stream_that_runs_again_sends_the_rest(spark, relay, tmp_path):
+    mails(spark, 6).coalesce(1).write.parquet(str(tmp_path / "rows"))
+    (relay.place / "dies-after").write_text("2")
+    options = {"host": str(relay.place), "journal": str(tmp_path / "journal")}
+
+    def run():
+        stream = spark.readStream.schema(SCHEMA).parquet(str(tmp_path / "rows"))
+        send_stream(stream, options, str(tmp_path / "cp"), {"availableNow": True}).awaitTermination()
+
+    with pytest.raises(Exception, match="gone"):
+        run()
+    (relay.place / "dies-after").unlink()
+    run()
+    assert sorted(m["to"][0] for m in sent(relay.place)) == [f"u{i}@b.c" for i in range(6)]
+
+
+def test_a_second_try_of_a_task_knows_what_the_first_noted(tmp_path):
+    from mailspark.sources.journal import NOTED, Journal, message_id
+
+    first = Journal(str(tmp_path / "j"), "run", 3, 0)
+    for i in range(NOTED + 5):
+        first.note(f"<{i}>", ["a"], {})
+    second = Journal(str(tmp_path / "j"), "run", 3, 1)
+    assert second.known == {f"<{i}>" for i in range(NOTED)}  # the rest of a killed worker is the window
+    first.save()
+    assert len(Journal(str(tmp_path / "j"), "run", 3, 1).known) == NOTED + 5
+    assert not Journal(str(tmp_path / "j"), "run", 3, 0).known and not Journal(str(tmp_path / "j"), "other", 3, 1).known
+    assert not Journal(str(tmp_path / "j"), "run", 33, 1).known
+    assert message_id(b"From: a\r\nMessage-ID: <x@y>\r\n\r\nMessage-ID: <no>") == "<x@y>"
