@@ -39,6 +39,15 @@ SELECT CAST(size AS INTEGER) AS size, count(*) AS messages, CAST(sum(event_id +
   CAST(sum(length(event_type)) AS BIGINT) AS letters
 FROM events, (SELECT unnest([7, 50, 100000]) AS size) WHERE (event_id + 1) % 7 <> 0 GROUP BY 1""",
     "import_resume": "SELECT event_id + 1 AS uid, event_type AS subject FROM events",
+    "compact_resume": "SELECT event_id + 1 AS uid, event_type AS subject FROM events",
+    "meta_casts": f"""
+SELECT CAST(event_id + 1 AS VARCHAR) AS uid, CAST({_SIZE} AS BIGINT) AS bytes,
+  CASE WHEN user_id % 2 = 0 THEN 'true' ELSE 'false' END AS seen, CAST(event_id % 10 = 0 AS INTEGER) AS draft,
+  epoch_us(ts) // 1000000 AS received
+FROM events""",
+    "outbox_alias": f"""
+SELECT {_SUBJECT} AS subject, c_name || ' <c' || o_custkey || '@mail.test>' AS "to", '-' AS cc, {_SUBJECT} AS content
+FROM {_ORDERS}""",
     "scan_folder": f"""
 SELECT uid, 'conv ' || conv_id || ' turn ' || turn AS subject, text AS content FROM {_CONV} WHERE role = 'user'""",
     "scan_all_folders": """

@@ -139,6 +139,24 @@ def import_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_folder(spark, {"archive": archive.path}, "uid bigint, subject string")
 
 
+def compact_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mail that comes in six appends, is compacted twice and streamed in between: scan and stream have each once."""
+    mail = X.event_mail(spark, sf_dir)
+    size = -(-mail.count() // 6)
+    archive = Archive(spark, new_path(spark, "compact_resume")).create()
+    out = new_path(spark, "compact_resume-out")
+    for half in (0, 1):
+        for part in range(3 * half, 3 * half + 3):
+            archive.append(mail.where(F.ceil(F.col("uid") / size) - 1 == part), folder="INBOX", clustered=True)
+        if half == 0:
+            _drain(stream_folder(archive, "uid bigint", f"{out}-checkpoint"), out, f"{out}-checkpoint")
+        archive.compact(neighbours=2)
+    _drain(stream_folder(archive, "uid bigint", f"{out}-checkpoint"), out, f"{out}-checkpoint")
+    streamed = spark.read.schema("uid bigint").parquet(out).withColumnRenamed("uid", "seen")
+    scanned = read_folder(spark, {"archive": archive.path}, "uid bigint, subject string")
+    return scanned.join(streamed, F.col("uid") == F.col("seen"), "full").select("uid", "subject")
+
+
 # -- metadata columns -----------------------------------------------------------------------------
 
 
@@ -185,6 +203,12 @@ def meta_alias_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_mail(X.event_mail(spark, sf_dir), "id string, subject string", aliases={"id": "uid"})
 
 
+def meta_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns declared with other types than their own."""
+    mail = decode_mail(X.event_mail(spark, sf_dir), "uid string, sizeInBytes double, seen string, draft int, received bigint")
+    return mail.select("uid", F.col("sizeInBytes").cast("bigint").alias("bytes"), "seen", "draft", "received")
+
+
 def projection_no_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive = X.archive_of(spark, sf_dir, "event_mail")
     return read_folder(spark, {"archive": archive.path}, "subject string, uid bigint, seen boolean").select(
@@ -287,6 +311,13 @@ def outbox_no_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def outbox_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of other names as subject and recipients; a column named like a key as content."""
+    rows = X.order_outbox(spark, sf_dir, "none").select(F.col("subject").alias("title"), "from", F.col("to").alias("rcpt"), F.col("subject").alias("cc"), "ordered")
+    mail = _spooled(rows, "subject string, `to` array<string>, cc array<string>, body string", **{"metadata.title": "subject", "metadata.rcpt": "to", "content-columns": "cc"})
+    return mail.select("subject", _joined("to"), _joined("cc"), B.only_part(F.col("body")).cast("string").alias("content"))
+
+
 def outbox_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sender and recipients as given to the server."""
     sent = compose(X.order_outbox(spark, sf_dir), {"date-column": "ordered"})
@@ -376,12 +407,12 @@ QUERIES: dict[str, Query] = {
     for q in [
         inbox,
         scan_current, scan_offset, scan_batched, scan_batch_sizes, scan_folder, scan_all_folders,
-        stream_all, stream_new, import_resume,
-        meta_envelope, meta_addresses, meta_bcc, meta_flags, meta_size_type, meta_headers, meta_alias_cast,
+        stream_all, stream_new, import_resume, compact_resume,
+        meta_envelope, meta_addresses, meta_bcc, meta_flags, meta_size_type, meta_headers, meta_alias_cast, meta_casts,
         projection_no_content, row_layout,
         format_raw, format_json, format_csv, format_xml, format_bad_json, content_base64_utf8,
         content_quoted_printable,
-        outbox_roundtrip, outbox_json, outbox_csv, outbox_xml, outbox_no_content, outbox_envelope, outbox_stream,
+        outbox_roundtrip, outbox_json, outbox_csv, outbox_xml, outbox_no_content, outbox_alias, outbox_envelope, outbox_stream,
         decode_addresses,
         catalog_folders, catalog_exists, catalog_table, catalog_view, catalog_hint,
     ]
