@@ -70,29 +70,68 @@ class Record:
 
 @dataclass
 class Gap:
-    """A quarantined stretch of a file, and why its first byte could not be read on from."""
+    """A quarantined stretch of a file, and why its first byte could not be read on from.
+
+    ``inner`` are offsets in the content of a gzip member from which other records could be read; the gap then has no
+    length in the file and stands where the member ends.
+    """
 
     start: int
     end: int
     reason: str
+    inner: tuple[int, int] | None = None
 
 
 class _Bad(Exception):
-    pass
+    """A check that failed, and what a damaged member gave nevertheless."""
 
+    def __init__(self, reason: str, found: list[Record] = [], gaps: list[tuple[int, int, str]] = []):  # noqa: B006
+        super().__init__(reason)
+        self.found, self.gaps = found, gaps
 
-def _inflate(data: bytes, at: int) -> tuple[bytes, int]:
-    """The content of the gzip member at ``at`` and where it ends; its checksum holds."""
+
+def _inflate(data: bytes, at: int) -> tuple[bytes, int, str | None]:
+    """The content of the gzip member at ``at``, where it ends, and what is wrong with it: then as far as it goes."""
     unpacker, out, view = zlib.decompressobj(31), [], memoryview(data)
     while not unpacker.eof:
         if at >= len(data):
-            raise _Bad("truncated member")
+            return b"".join(out), at, "truncated member"
+        before = unpacker.copy()
         try:
             out.append(unpacker.decompress(view[at : at + _STEP]))
         except zlib.error as e:
-            raise _Bad(f"bad member: {e}") from None
+            while True:  # byte by byte, up to the one that fails
+                try:
+                    out.append(before.decompress(view[at : at + 1]))
+                except zlib.error:
+                    return b"".join(out), at, f"bad member: {e}"
+                at += 1
         at = min(at + _STEP, len(data))
-    return b"".join(out), at - len(unpacker.unused_data)
+    return b"".join(out), at - len(unpacker.unused_data), None
+
+
+def _records(content: bytes, whole: bool) -> tuple[list[Record], list[tuple[int, int, str]]]:
+    """Records of the content of a member and the gaps between them.
+
+    What comes out of a damaged member (not ``whole``) counts only with a block digest that holds.
+    """
+    found, gaps, at, lost = [], [], 0, None
+    while at < len(content):
+        try:
+            one = _parse(content, at)
+            if not whole and not one.headers.get("warc-block-digest", "").startswith("sha1:"):
+                raise _Bad("no digest in a damaged member")
+        except _Bad as bad:
+            lost = lost or (at, str(bad))
+            after = content.find(_VERSION, at + 1)
+            at = after if after >= 0 else len(content)
+            continue
+        if lost:
+            gaps.append((lost[0], at, lost[1]))
+            lost = None
+        found.append(one)
+        at = one.end
+    return found, [*gaps, (lost[0], len(content), lost[1])] if lost else gaps
 
 
 def _parse(data: bytes, at: int) -> Record:
@@ -130,33 +169,45 @@ def salvage(data: bytes) -> Iterator[Record | Gap]:
     """All records of an archive file, plain or of gzip members, that pass their checks, and the gaps between them.
 
     Where a check fails, the next gzip member or version line from which a record can be read goes on; the bytes
-    before it are one gap. Records and gaps together cover the file.
+    before it are one gap. A damaged member is inflated as far as it goes and searched the same way inside: its records
+    have its span, and the gaps between them their offsets in its content. Records and gaps cover the file.
     """
-    at, lost = 0, None
+    at, lost, held, inner = 0, None, [], []
+
+    def stretch(end: int) -> Iterator[Record | Gap]:
+        """What was found between the first failed check and ``end``."""
+        if not held:
+            yield Gap(lost[0], end, lost[1])
+            return
+        yield from (Record(lost[0], end, one.headers, one.block) for one in held)
+        yield from (Gap(end, end, why, (a, b)) for a, b, why in inner or [(0, 0, lost[1])])
+
     while at < len(data):
+        gaps: list[tuple[int, int, str]] = []
         try:
             if data.startswith(_MEMBER, at):
-                content, end = _inflate(data, at)
-                found, inner = [], 0
-                while inner < len(content):
-                    one = _parse(content, inner)
-                    found.append(Record(at, end, one.headers, one.block))
-                    inner = one.end
+                content, end, wrong = _inflate(data, at)
+                records, gaps = _records(content, not wrong)
+                if wrong or gaps and not records:
+                    raise _Bad(wrong or gaps[0][2], records, gaps)
+                found = [Record(at, end, one.headers, one.block) for one in records]
             else:
                 one = _parse(data, at)
                 found, end = [one], one.end
         except _Bad as bad:
             lost = lost or (at, str(bad))
+            held, inner = held + bad.found, inner + (bad.gaps if bad.found else [])
             after = [x for x in (data.find(_MEMBER, at + 1), data.find(_VERSION, at + 1)) if x >= 0]
             at = min(after, default=len(data))
             continue
         if lost:
-            yield Gap(lost[0], at, lost[1])
-            lost = None
+            yield from stretch(at)
+            lost, held, inner = None, [], []
         yield from found
+        yield from (Gap(end, end, why, (a, b)) for a, b, why in gaps)
         at = end
     if lost:
-        yield Gap(lost[0], len(data), lost[1])
+        yield from stretch(len(data))
 
 
 def mark_revisits(pages: DataFrame, key: str, payload: Column, smallest: int) -> DataFrame:
@@ -215,7 +266,7 @@ def write(
 
 _READ = (
     "file string, start long, end long, reason string, type string, record_id string, uri string, refers_to string, "
-    "payload_bytes long, payload_sha1 string, payload binary"
+    "payload_bytes long, payload_sha1 string, payload binary, inner_start long, inner_end long"
 )
 
 
@@ -234,7 +285,7 @@ def read(spark: SparkSession, path: str, files: DataFrame | None = None, payload
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [f.split()[0] for f in _READ.split(", ")]
-        kinds = [pa.string(), pa.int64(), pa.int64(), *[pa.string()] * 5, pa.int64(), pa.string(), pa.binary()]
+        kinds = [pa.string(), pa.int64(), pa.int64(), *[pa.string()] * 5, pa.int64(), pa.string(), pa.binary(), pa.int64(), pa.int64()]
 
         def out(rows: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
@@ -244,7 +295,7 @@ def read(spark: SparkSession, path: str, files: DataFrame | None = None, payload
                 name, rows, size = batch.column("file")[i].as_py(), [], 0
                 for x in salvage(batch.column("content")[i].as_py()):
                     if isinstance(x, Gap):
-                        rows.append((name, x.start, x.end, x.reason, *[None] * 7))
+                        rows.append((name, x.start, x.end, x.reason, *[None] * 7, *(x.inner or (None, None))))
                         continue
                     h, body = x.headers, x.payload
                     sha, length = hashlib.sha1(body).hexdigest(), len(body)
@@ -252,7 +303,7 @@ def read(spark: SparkSession, path: str, files: DataFrame | None = None, payload
                         sha, length = _revisited(h, x.block)
                     strip = lambda v: v.strip("<>") if v else None
                     rows.append((name, x.start, x.end, None, h.get("warc-type"), strip(h.get("warc-record-id")), h.get("warc-target-uri"),
-                                 strip(h.get("warc-refers-to")), length, sha, body if payloads else None))
+                                 strip(h.get("warc-refers-to")), length, sha, body if payloads else None, None, None))
                     size += len(body) if payloads else 200
                     if size >= 4 << 20:
                         yield out(rows)
