@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import random
+import zlib
 import re
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from llm_cases import DOCUMENTS, PAGES, PASSAGE, TEXTS, empty, prose, rows, spaced, tokens
+from llm_cases import DOCUMENTS, LONG, PAGES, PASSAGE, TEXTS, empty, prose, rows, spaced, tokens
 from pyspark.sql import functions as F
 
 import check_oracles
@@ -174,6 +175,39 @@ def test_salvage_recovers_what_is_whole(packed, kind):
         assert [a for a, _ in spans] == [0, *(b for _, b in spans[:-1])] and spans[-1][1] == len(bad)  # nothing is passed over in silence
 
 
+@pytest.mark.parametrize("kind", ["flip", "cut"])
+def test_salvage_goes_on_inside_a_member(kind):
+    """Records before the damage always come back, those after it if they still hold; nothing false does."""
+    rng = random.Random(12)
+    noise = [bytes(rng.choices(range(33, 127), k=3000)) for _ in range(5)]
+    records = [warc.record("response", f"urn:page:{i}", "http://a/", n) for i, n in enumerate(noise)]
+    packed, after = warc.member(b"".join(records)), warc.member(warc.record("response", "urn:page:9", None, b"last"))
+    most = 0
+    for at in rng.sample(range(40, len(packed) - 10), 40):
+        data = packed[:at] if kind == "cut" else damaged(packed, at, "flip") + after
+        found = list(warc.salvage(data))
+        ids = [x.headers["warc-record-id"] for x in found if isinstance(x, warc.Record)]
+        sure = zlib.decompressobj(31).decompress(packed[: at - 1])  # zlib may still hold some of it back
+        whole = sum(len(b"".join(records[: i + 1])) <= len(sure) - 300 for i in range(5))
+        assert ids[:whole] == [f"<urn:page:{i}>" for i in range(whole)] and len(set(ids)) == len(ids)
+        assert all(x.payload in (*noise, b"last") for x in found if isinstance(x, warc.Record))
+        assert any(isinstance(x, warc.Gap) for x in found) and (kind == "cut" or ids[-1] == "<urn:page:9>")
+        spans = sorted({(x.start, x.end) for x in found if x.end > x.start})
+        assert [a for a, _ in spans] == [0, *(b for _, b in spans[:-1])] and spans[-1][1] == len(data)
+        most = max(most, len([i for i in ids if i != "<urn:page:9>"]))
+    assert most >= 4  # all five where only the checksum is hit
+    (first, *_, gap) = warc.salvage(packed[:-30])
+    assert first.end == gap.end == len(packed) - 30 and gap.inner[1] > gap.inner[0] and gap.reason
+
+
+def test_a_bad_record_in_a_whole_member():
+    records = [warc.record("response", f"urn:page:{i}", None, b"x" * 50) for i in range(4)]
+    records[1] = records[1].replace(b"xxx", b"yyy", 1)
+    found = list(warc.salvage(warc.member(b"".join(records))))
+    assert [x.headers["warc-record-id"][-2] for x in found if isinstance(x, warc.Record)] == ["0", "2", "3"]
+    assert [x.inner for x in found if isinstance(x, warc.Gap)] == [(len(records[0]), len(records[0]) + len(records[1]))]
+
+
 def test_salvage_of_nothing():
     assert list(warc.salvage(b"")) == []
     (gap,) = warc.salvage(b"no archive at all")
@@ -270,6 +304,41 @@ def test_near_copies_are_those_of_similarity(spark, tmp_path, monkeypatch, at_on
     assert rows(corpus_pipeline.near_copies(spark, docs, str(tmp_path)), "doc_id", "text") == want
 
 
+def crowd(kind: str, n: int) -> list[str]:
+    """Copies of one text: ``around`` it, all far from each other; ``below``, none alike to any; or a ``chain``."""
+    rng = random.Random(3)
+    base = [f"b{i}" for i in range(700)]
+    out = [" ".join(base)] if kind == "around" else []
+    for i in range(n):
+        copy = list(base)
+        if kind == "chain":
+            copy[: 7 * i] = [f"c{k}" for k in range(7 * i)]
+        else:
+            for at in rng.sample(range(10, 690, 7), {"around": 10, "below": 22}[kind]):
+                copy[at] = f"x{i}y{at}"
+        out.append(" ".join(copy))
+    return out
+
+
+@pytest.mark.parametrize("kind, groups, pairs", [("around", 1, 2), ("below", 300, 4), ("chain", 1, 60)])
+def test_crowds_are_not_compared_pair_by_pair(spark, tmp_path, monkeypatch, kind, groups, pairs):
+    texts = crowd(kind, 300 if kind != "chain" else 90)
+    compared, alike = [], nearcopies._alike
+    monkeypatch.setattr(nearcopies, "_alike", lambda p, *a: (compared.append(p.count()), alike(p, *a))[1])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert corpus_pipeline.near_copies(spark, docs, str(tmp_path)).count() == groups
+    assert sum(compared) <= pairs * len(texts)
+
+
+def test_near_copies_keep_columns_of_any_name_and_repeated_rows(spark, tmp_path):
+    names = ["node", "root", "size", "buckets", "bucket", "held", "parity", "a", "b", "m", "n", "of", "at", "top", "pairs"]
+    texts = [None, "", " ", "a b c", "A b  c", LONG, LONG + " more", LONG]
+    data = [(i, t, *range(len(names))) for i, t in enumerate(texts)] + [(5, LONG, *range(len(names)))]
+    docs = spark.createDataFrame(data, "doc_id long, text string, " + ", ".join(f"{c} long" for c in names))
+    out = corpus_pipeline.near_copies(spark, docs, str(tmp_path))
+    assert out.schema == docs.schema and rows(out, "doc_id", "pairs") == [(0, 14), (3, 14), (5, 14), (5, 14)]
+
+
 def test_parities_never_rule_out_what_is_alike():
     rng = np.random.default_rng(2)
     for n in (0, 1, 30, 400, 5000):
