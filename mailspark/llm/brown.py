@@ -36,8 +36,8 @@ def tokens(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
 
     A-Z are lower-cased; the end of a text is the token ``END``. Null is an empty text.
     """
-    column = pc.ascii_lower(pc.fill_null(column.cast(pa.large_string()), ""))
-    parts = pc.ascii_split_whitespace(column)
+    column = pc.ascii_lower(pc.fill_null(column, ""))  # before the cast, which leaves a slice with offsets it misreads
+    parts = pc.ascii_split_whitespace(column.cast(pa.large_string()))
     words, at = parts.flatten(), parts.offsets.to_numpy().astype(np.int64)
     at = at - at[0]
     empty = np.append(0, np.cumsum(pc.equal(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)))

@@ -389,6 +389,24 @@ def test_brown_scores(docs):
         assert a[:4] == b[:4] and a[6] == b[6] and a[4:6] == pytest.approx(b[4:6], rel=1e-9)
 
 
+def test_brown_tokens_of_a_slice():
+    texts = ["aa bb", "Cc dd ee", "ff ", "", "G h  aa"]
+    for column in (pa.array(texts), pa.array(texts, pa.large_string()), pa.array([None, *texts, None])):
+        for a in range(len(column)):
+            for b in range(a, len(column) + 1):
+                words, code, at = brown.tokens(column[a:b])
+                got = words.take(pa.array(code)).to_pylist()
+                want = [[*tokens(t), brown.END] for t in column[a:b].to_pylist()]
+                assert [got[x:y] for x, y in zip(at, at[1:])] == want
+
+
+def test_brown_counts_batches_of_many_slices(spark, monkeypatch):
+    monkeypatch.setattr(brown, "HELD_BYTES", 40)
+    texts = [f"Word{i % 7} x{i} " * (i % 4) for i in range(60)]
+    got = {r.word: r.n for r in brown.count_words(spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)).collect()}
+    assert got == Counter(w for t in texts for w in [*tokens(t), brown.END])
+
+
 def test_exchange_never_lowers_the_likelihood():
     rng = np.random.default_rng(4)
     pairs = rng.poisson(rng.gamma(0.3, 3.0, (30, 30))).astype(float)
