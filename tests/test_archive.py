@@ -395,6 +395,23 @@ def test_import_spreads_a_hot_folder(archive, spark, monkeypatch):
     assert in_file.withColumn("before", before).where("before > uid").count() == 0
 
 
+def test_reads_of_an_archive_hold_a_bounded_number_of_messages(archive, mail, monkeypatch):
+    from mailspark.options import IMAP_SPEC, MailOptions
+    from mailspark.sources import transport
+
+    archive.append(numbered(mail, *range(1, 21)).coalesce(1), folder="INBOX", clustered=True)
+    reader = transport.ArchiveTransport(MailOptions.parse({"archive": archive.path, "batch-size": "100000"}, IMAP_SPEC, substitute="archive"))
+    (split,) = reader.splits("INBOX", 1, 21)
+    for rows, size, most in ((6, 16 << 20, 6), (4096, 1, 1)):
+        monkeypatch.setattr(transport, "PAGE_ROWS", rows)
+        monkeypatch.setattr(transport, "PAGE_BYTES", size)
+        found = list(reader._batches(split.files, 3, 19, ["head", "uid"]))
+        assert max(b.num_rows for b in found) == most and found[0].schema.names == ["head", "uid"]
+        assert [u for b in found for u in b.column("uid").to_pylist()] == list(range(3, 19))
+        assert [m["uid"] for m in reader.fetch("INBOX", transport.Split(5, 8, split.files), ["head"])] == [5, 6, 7]
+        assert sum(b.num_rows for b in reader.read_range("INBOX", 2, 9, ["folder", "uid"])) == 8
+
+
 def test_number_rows_equals_row_number(spark, tmp_path):
     rows = spark.range(3000).select(
         F.when(F.col("id") % 5 < 3, "hot").when(F.col("id") % 5 < 4, F.concat(F.lit("k"), F.col("id") % 7)).alias("g"),
