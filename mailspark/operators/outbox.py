@@ -214,6 +214,8 @@ def send(rows: DataFrame, options: Mapping[str, str], batch: tuple[str, int] | N
     A spool gets each ``batch`` (its writer and number) once.
     """
     parsed = MailOptions.parse(options, SMTP_SPEC, substitute="spool")
+    if parsed["spool"] is not None:  # spread before the work, whatever tasks the rows come in; a server gets them as they are
+        rows = rows.hint("rebalance")
     messages = check_recipients(compose(rows, options))
     if parsed["spool"] is None:
         account = account_options(options)
@@ -229,7 +231,7 @@ def send(rows: DataFrame, options: Mapping[str, str], batch: tuple[str, int] | N
         F.array().cast("array<string>").alias("flags"),
         "raw",
     )
-    Archive(rows.sparkSession, parsed["spool"]).append(mail, folder=parsed["folder"], batch=batch)
+    Archive(rows.sparkSession, parsed["spool"]).append(mail, folder=parsed["folder"], clustered=True, batch=batch)
 
 
 def account_options(options: Mapping[str, str]) -> dict[str, str]:

@@ -215,7 +215,7 @@ def quoted_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _MAIL = {"event_mail": event_mail, "event_mail_holes": event_mail_holes, "conv_mail": conv_mail}
 
-# ranges of event ids, in order: their mail needs no shuffle on the way into the archive
+# ranges of event ids, in order, in one folder: their mail needs no shuffle on the way into the archive
 _CLUSTERED = {"event_mail", "event_mail_holes"}
 
 
@@ -224,6 +224,7 @@ def archive_of(spark: SparkSession, sf_dir: str, fixture: str) -> Archive:
     key = (spark.sparkContext.applicationId, sf_dir, fixture)
     if key not in _built or not _built[key].exists():
         archive = Archive(spark, new_path(spark, fixture)).create()
-        archive.append(_MAIL[fixture](spark, sf_dir), clustered=fixture in _CLUSTERED)
+        alone = fixture in _CLUSTERED
+        archive.append(_MAIL[fixture](spark, sf_dir), folder="INBOX" if alone else None, clustered=alone)
         _built[key] = archive
     return _built[key]

@@ -412,6 +412,31 @@ def test_reads_of_an_archive_hold_a_bounded_number_of_messages(archive, mail, mo
         assert sum(b.num_rows for b in reader.read_range("INBOX", 2, 9, ["folder", "uid"])) == 8
 
 
+def test_mail_of_one_folder_is_not_sorted_by_folder(archive, mail, spark, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    sorted_by = []
+    monkeypatch.setattr(DataFrameWriter, "partitionBy", lambda self, *names: sorted_by.append(names) or self)
+    archive.append(numbered(mail, 1, 2), folder="A=b", clustered=True)
+    archive.append(numbered(mail, 1, 2).drop("uid"), folder="A=b")
+    monkeypatch.undo()
+    assert not sorted_by and [r.uid for r in archive.messages("A=b").orderBy("uid").collect()] == [1, 2, 3, 4]
+    assert {r.folder for r in archive.messages().collect()} == {"A=b"}
+
+
+def test_rows_are_spread_before_they_are_composed(spark, tmp_path, monkeypatch):
+    from mailspark.operators import outbox
+
+    plans, compose = [], outbox.compose
+    monkeypatch.setattr(outbox, "compose", lambda rows, options: plans.append(rows._jdf.queryExecution().analyzed().toString()) or compose(rows, options))
+    archive = Archive(spark, str(tmp_path / "spool")).create()
+    rows = spark.createDataFrame([(f"s{i}", ["a@b.test"]) for i in range(50)], "subject string, to array<string>").coalesce(1)
+    outbox.send(rows, {"spool": archive.path})
+    assert plans[0].startswith("RebalancePartitions")
+    found = read_folder(spark, {"archive": archive.path, "folder": "OUTBOX"}, "uid bigint, subject string").collect()
+    assert sorted(r.uid for r in found) == list(range(1, 51)) and {r.subject for r in found} == {f"s{i}" for i in range(50)}
+
+
 def test_number_rows_equals_row_number(spark, tmp_path):
     rows = spark.range(3000).select(
         F.when(F.col("id") % 5 < 3, "hot").when(F.col("id") % 5 < 4, F.concat(F.lit("k"), F.col("id") % 7)).alias("g"),
