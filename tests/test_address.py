@@ -114,3 +114,14 @@ def test_encoded_lines_are_short(spark):
     rows = spark.createDataFrame([("ü😀" * 200,), ("word " * 300,), ("x" * 1500,)], "s string")
     for row in rows.select(W.encode_text(F.col("s")).alias("e")).collect():
         assert max(len(line) for line in row.e.split("\r\n")) <= 78
+
+
+def test_classes_spelled_out_mean_the_same():
+    import re
+
+    from mailspark.functions.patterns import spelled
+
+    for items in (r"^\t-\r \"(),:;<>@\[\]\\", r"!#-\x27*+\-/-9=?A-Z^-~", r"^\x00-\x20\x7f.", r"A-Za-z0-9\u0080-\uffff-", r"^\[\]\s", r"!#$%&'*+/=?^_`{|}~-"):
+        plain, out = f"[{items}]", spelled(f"[{items}]")
+        assert [bool(re.fullmatch(plain, chr(c), re.A)) for c in range(700)] == [bool(re.fullmatch(out, chr(c), re.A)) for c in range(700)]
+    assert spelled(r"a\s[a-c\s]b") == r"a\s[\x61\x62\x63\x09\x0a\x0b\x0c\x0d\x20]b"
