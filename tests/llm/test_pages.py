@@ -330,6 +330,23 @@ def test_crowds_are_not_compared_pair_by_pair(spark, tmp_path, monkeypatch, kind
     assert sum(compared) <= pairs * len(texts)
 
 
+def test_texts_that_differ_in_rare_words_are_not_compared(spark, tmp_path, monkeypatch):
+    base, rng = [f"b{i}" for i in range(150)], random.Random(6)
+    texts = []
+    for i in range(120):  # half of them copies of the base, the others too far from it; words replaced occur twice
+        copy = list(base)
+        for at in rng.sample(range(5, 145, 6), 2 if i % 2 else 6):
+            copy[at] = f"x{i // 4}y{at}"
+        texts.append(" ".join(copy))
+    table = list(enumerate(dict.fromkeys([" ".join(base), *texts])))
+    seen, found = [], nearcopies._crowded_pairs
+    monkeypatch.setattr(nearcopies, "PAIRS_A_DOCUMENT", 0)
+    monkeypatch.setattr(nearcopies, "_crowded_pairs", lambda *a: (seen.append(found(*a).distinct().count()), found(*a))[1])
+    docs = spark.createDataFrame(table, "doc_id long, text string").repartition(3)
+    assert rows(corpus_pipeline.near_copies(spark, docs, str(tmp_path)), "doc_id", "text") == first_by_hand(table)
+    assert seen and sum(seen) <= len(table)
+
+
 def test_near_copies_keep_columns_of_any_name_and_repeated_rows(spark, tmp_path):
     names = ["node", "root", "size", "buckets", "bucket", "held", "parity", "a", "b", "m", "n", "of", "at", "top", "pairs"]
     texts = [None, "", " ", "a b c", "A b  c", LONG, LONG + " more", LONG]
