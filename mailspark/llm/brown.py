@@ -1,9 +1,16 @@
-"""Brown class-based bigrams: exchange clustering puts words into classes; transitions and emissions score texts."""
+"""Brown class-based bigrams: exchange clustering puts words into classes; transitions and emissions score texts.
+
+Frequent words and groups of endings are exchanged first, in the driver. That gives every word a class to begin with.
+Then every word of the vocabulary, however rare, goes to the class that its own neighbours make likeliest: tasks sum the
+classes that stand before and after each of their words, Spark brings the sums of a word together, and a bucket of words
+is placed at a time. The classes of all words stay in Spark; those of a text's rare words come by a join.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -16,12 +23,15 @@ from mailspark.llm.common import fold, mix, prefix_hashes, prepare, slices, span
 END = " "
 #: Bytes of text whose words a task holds at once.
 HELD_BYTES = 4 << 20
+#: Tokens whose words are placed together, in expectation, and words whose sums are held at once.
+BUCKET_TOKENS, PLACED = 1 << 20, 1 << 13
 
 
 @dataclass(frozen=True)
 class Settings:
-    """Sizes of the model, whatever the corpus: ``frequent`` words are clustered each on its own, all others in
-    ``tails`` groups by their last letters; ``classes`` of them; ``listed`` words have their counts in every task."""
+    """``classes`` of words. To begin with, ``frequent`` words are exchanged each on its own and all others in ``tails``
+    groups by their last letters, which also are the classes of unseen words; then each word is placed on its own.
+    ``listed`` words have their classes and counts in every task, the others by joins, with the same results."""
 
     frequent: int = 384
     tails: int = 128
@@ -53,13 +63,46 @@ def tail_of(words: pa.Array, s: Settings) -> np.ndarray:
     """The group of a word that is not frequent: a hash of its last four bytes."""
     data, offsets = utf8(words)
     ends = span_hashes(prefix_hashes(data), np.maximum(offsets[:-1], offsets[1:] - 4), offsets[1:])
-    return s.frequent + (mix(ends) % np.uint64(s.tails)).astype(np.int64)
+    return (mix(ends) % np.uint64(s.tails)).astype(np.int64)
 
 
 def units(words: pa.Array, top: pa.Array, s: Settings) -> np.ndarray:
-    """The unit of each word that is clustered: its own number if frequent, else its tail group."""
+    """The unit of each word that is clustered: its tail group, or after these its own number if it is in ``top``."""
     found = pc.index_in(words, value_set=top).fill_null(-1).to_numpy(zero_copy_only=False)
-    return np.where(found >= 0, found, tail_of(words, s))
+    return np.where(found >= 0, s.tails + found.astype(np.int64), tail_of(words, s))
+
+
+def before(now: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """What stands before each token; before the first of a text, its end."""
+    out = np.empty_like(now)
+    out[1:] = now[:-1]
+    out[offsets[:-1]] = now[offsets[1:] - 1]
+    return out
+
+
+def after(now: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """What stands after each token; after the end of a text, its first."""
+    out = np.empty_like(now)
+    out[:-1] = now[1:]
+    out[offsets[1:] - 1] = now[offsets[:-1]]
+    return out
+
+
+def _blobs(values: np.ndarray, cut: np.ndarray) -> pa.Array:
+    """Stretches of an array as binary values."""
+    offsets = pa.py_buffer((cut * values.itemsize).astype(np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(cut) - 1, [None, offsets, pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _array(column: pa.Array, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """Binary values as one array, and the offsets of the rows in it."""
+    column = column.cast(pa.large_binary())
+    if not len(column):
+        return np.zeros(0, kind), np.zeros(1, np.int64)
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
+    return data[offsets[0] : offsets[-1]].view(kind), (offsets - offsets[0]) // kind.itemsize
 
 
 def count_words(documents: DataFrame, text: str = "text") -> DataFrame:
@@ -83,26 +126,27 @@ def count_pairs(documents: DataFrame, top: list[str], s: Settings, text: str = "
     """
     spark = documents.sparkSession
     shared = spark.sparkContext.broadcast(top)
-    size = s.frequent + s.tails
+    size = s.tails + len(top)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         listed = pa.array(shared.value, pa.large_string())
         seen = np.zeros(size * size, np.int64)
         for batch in slices(batches, "t", HELD_BYTES):
             words, code, offsets = tokens(batch.column("t"))
-            unit = units(words, listed, s)
-            now = unit[code]
-            before = np.empty_like(now)
-            before[1:] = now[:-1]  # the token before a text's first is the end of another, or of none:
-            if len(now):
-                before[0] = unit[-1]
-            seen += np.bincount(before * size + now, minlength=size * size)
-        at = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array((at // size).astype(np.int32)), pa.array((at % size).astype(np.int32)), pa.array(seen[at])], ["a", "b", "n"]
-        )
-
-    rows = documents.select(F.col(text).alias("t")).mapInArrow(run, "a int, b int, n long")
+            now = units(words, listed, s)[code]
+            seen += np.bincount(before(now, offsets) * size + now, minlength=size * size)
+        yield _matrix(seen, size)
+
+    return _add(documents.select(F.col(text).alias("t")).mapInArrow(run, "a int, b int, n long"), size)
+
+
+def _matrix(seen: np.ndarray, size: int) -> pa.RecordBatch:
+    at = np.flatnonzero(seen)
+    columns = [pa.array((at // size).astype(np.int32)), pa.array((at % size).astype(np.int32)), pa.array(seen[at])]
+    return pa.RecordBatch.from_arrays(columns, ["a", "b", "n"])
+
+
+def _add(rows: DataFrame, size: int) -> np.ndarray:
     found = rows.groupBy("a", "b").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros((size, size))
     out[found["a"].to_numpy(), found["b"].to_numpy()] = found["n"].to_numpy()
@@ -165,27 +209,108 @@ def exchange(pairs: np.ndarray, classes: int, passes: int) -> np.ndarray:
     return own
 
 
+def place(documents: DataFrame, top: list[str], own: np.ndarray, both: np.ndarray, tokens_in_all: int, s: Settings, text: str = "text") -> DataFrame:
+    """``word``, ``n``, ``c``: every word of the texts, its count and the class that its neighbours make likeliest.
+
+    Neighbours have the classes ``own`` of their units, ``both`` counts pairs of these classes. A word goes where the
+    sum of log P(class before it | class) + log P(class after it | class) is largest, which is what the likelihood of
+    all pairs gains to first order; ties, to the ninth decimal a token, go to the class with the smallest number. A
+    task sends what stands around each of its words once for 4 MB of text, so a common word is no bucket's burden.
+    """
+    spark = documents.sparkSession
+    shared = spark.sparkContext.broadcast((top, own))
+    width, buckets = 2 * s.classes, max(1, -(-tokens_in_all // BUCKET_TOKENS))
+    kind = np.min_scalar_type(width)
+    likely = np.log(both + s.smoothing)
+    ends = np.log(both.sum(0) + s.smoothing * s.classes), np.log(both.sum(1) + s.smoothing * s.classes)
+    gains = np.concatenate([likely - ends[0], likely.T - ends[1]])  # by class before, then by class after
+
+    def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        top, own = shared.value
+        listed = pa.array(top, pa.large_string())
+        for batch in slices(batches, "t", HELD_BYTES):
+            words, code, offsets = tokens(batch.column("t"))
+            data, at = utf8(words)
+            bucket = (mix(span_hashes(prefix_hashes(data), at[:-1], at[1:])) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            place_of = np.empty(len(order), np.int64)
+            place_of[order] = np.arange(len(order))
+            now, base = own[units(words, listed, s)][code], place_of[code] * width
+            key, n = np.unique(np.concatenate([base + before(now, offsets), base + s.classes + after(now, offsets)]), return_counts=True)
+            word, bucket = key // width, bucket[order]
+            first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+            cut = np.append(first, len(bucket))
+            lists = pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), words.take(pa.array(order)).cast(pa.string()))
+            at = np.searchsorted(word, cut)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(bucket[first]), pc.binary_join(lists, "\n"), _blobs(np.bincount(word, minlength=len(words)).astype(kind), cut),
+                 _blobs((key % width).astype(kind), at), _blobs(n.astype(np.int32), at)], ["bucket", "words", "many", "context", "n"])
+
+    def choose(table: pa.Table) -> pa.Table:
+        lists = pc.split_pattern(pa.concat_arrays(table.column("words").chunks), "\n")  # no word holds white space
+        found = lists.flatten().dictionary_encode()
+        many, context, n = (np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in (("many", kind), ("context", kind), ("n", np.int32)))
+        word = np.repeat(found.indices.to_numpy().astype(np.int64), many)
+        order = np.argsort(word, kind="stable")
+        word, context, n = word[order], context[order].astype(np.int64), n[order]
+        size = len(found.dictionary)
+        count, c = np.zeros(size, np.int64), np.zeros(size, np.int32)
+        for a in range(0, size, PLACED):
+            lo, hi = np.searchsorted(word, (a, a + PLACED))
+            held = min(PLACED, size - a)
+            sums = np.bincount((word[lo:hi] - a) * width + context[lo:hi], n[lo:hi], held * width).reshape(held, width)
+            times = sums[:, : s.classes].sum(1)
+            count[a : a + held] = times
+            c[a : a + held] = np.argmax(np.round(sums @ gains / times[:, None], 9), axis=1)
+        return pa.table({"word": found.dictionary.cast(pa.string()), "n": pa.array(count), "c": pa.array(c)})
+
+    rows = documents.select(F.col(text).alias("t")).mapInArrow(around, "bucket long, words string, many binary, context binary, n binary")
+    return rows.groupBy("bucket").applyInArrow(choose, "word string, n long, c int")
+
+
 @dataclass(frozen=True)
-class Model:
-    """Classes of the units, log10 of the transitions, of the emission denominators, and the counts of listed words."""
+class Classes:
+    """The table of all words with their counts and classes, in Spark; the same of listed words, and classes of the tail
+    groups, in the driver; log10 of the emission denominators."""
 
     settings: Settings
-    top: list[str]
-    own: np.ndarray
-    steps: np.ndarray
+    words: DataFrame
+    tails: np.ndarray
     below: np.ndarray
     listed: list[str]
     counts: np.ndarray
+    kinds: np.ndarray
     train_tokens: int
     vocabulary: int
 
 
-def train(documents: DataFrame, settings: Settings = Settings(), text: str = "text") -> tuple[Model, DataFrame]:
-    """A model and the table of all words with their counts, which stays in Spark.
+@dataclass(frozen=True)
+class Model:
+    """Classes of all words, and log10 of the transitions between classes."""
+
+    classes: Classes
+    steps: np.ndarray
+
+    @cached_property
+    def _collected(self) -> list:
+        return self.classes.words.orderBy("word").collect()
+
+    @property
+    def top(self) -> list[str]:
+        """All words in the driver, for a look at a small vocabulary."""
+        return [r["word"] for r in self._collected]
+
+    @property
+    def own(self) -> np.ndarray:
+        """The classes of the units if ``top`` is all words: of the tail groups, then of the words."""
+        return np.append(self.classes.tails, [r["c"] for r in self._collected]).astype(np.int64)
 
-    All texts are counted. The driver gets the words that occur at least 2^k times, with the smallest k of which there
-    are at most ``listed`` (ties of the most frequent in alphabetical order), and the matrix of unit pairs: both of a
-    bounded size.
+
+def learn(documents: DataFrame, settings: Settings = Settings(), text: str = "text") -> Classes:
+    """Counts and classes of all words of the texts.
+
+    The driver gets the words that occur at least 2^k times, with the smallest k of which there are at most ``listed``
+    (ties of the most frequent in alphabetical order), and the matrix of unit pairs: both of a bounded size.
     """
     s = settings
     counts = stage(count_words(documents, text), "counts")
@@ -203,85 +328,138 @@ def train(documents: DataFrame, settings: Settings = Settings(), text: str = "te
     own = exchange(pairs, s.classes, s.passes)
     one = np.zeros((len(own), s.classes))
     one[np.arange(len(own)), own] = 1
-    both = one.T @ pairs @ one
-    steps = np.log10((both + s.smoothing) / (both.sum(1, keepdims=True) + s.smoothing * s.classes))
-    shared = documents.sparkSession.sparkContext.broadcast((top, own))
-
-    def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        top, own = shared.value
-        for batch in batches:
-            c = own[units(batch.column("word").cast(pa.large_string()), pa.array(top, pa.large_string()), s)]
-            sizes, words = np.bincount(c, batch.column("n").to_numpy(), s.classes), np.bincount(c, minlength=s.classes)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(s.classes)), pa.array(sizes.astype(np.int64)), pa.array(words)], ["c", "n", "v"])
-
-    found = counts.mapInArrow(classify, "c long, n long, v long").groupBy("c").agg(F.sum("n").alias("n"), F.sum("v").alias("v"))
-    size, words = np.zeros(s.classes), np.zeros(s.classes)
-    for r in found.collect():
-        size[r["c"]], words[r["c"]] = r["n"], r["v"]
-    below = np.log10(size + s.smoothing * (words + 1))
-    return Model(s, top, own, steps, below, [r["word"] for r in most], np.array([r["n"] for r in most], float), n, v), counts
-
-
-def score(documents: DataFrame, model: Model, counts: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
-    """The columns ``keep`` with ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score``.
-
-    P(word | word before) = P(class | class before) P(word | class), both smoothed, one unseen word per class
-    included. Tasks know transitions and the listed words; the counts of all other words come by a join, so that the
-    vocabulary may be of any size. A null or empty text is its end alone; repeated rows are scored each.
+    words = stage(place(documents, top, own, one.T @ pairs @ one, n, s, text), "words")
+    size, distinct = np.zeros(s.classes), np.zeros(s.classes)
+    for r in words.groupBy("c").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():
+        size[r["c"]], distinct[r["c"]] = r["n"], r["v"]
+    below = np.log10(size + s.smoothing * (distinct + 1))
+    most = sorted(words.where(F.col("n") >= least).collect(), key=lambda r: (-r["n"], r["word"]))
+    listed, kinds = [r["word"] for r in most], np.array([r["c"] for r in most], np.int64)
+    return Classes(s, words, own[: s.tails], below, listed, np.array([r["n"] for r in most], float), kinds, n, v)
+
+
+def classify(documents: DataFrame, classes: Classes, keep: list[str], text: str = "text") -> DataFrame:
+    """The columns ``keep`` with ``n_tokens``, ``n_known``, ``__above`` (sum of log10 of the smoothed counts) and
+    ``__classes``, the classes of the tokens.
+
+    Tasks know the listed words; counts and classes of all others come by a join, so that the vocabulary may be of any
+    size. An unseen word has the class of its tail group.
     """
     spark = documents.sparkSession
     prepare(spark)
-    s = model.settings
-    shared = spark.sparkContext.broadcast(model)
+    s = classes.settings
+    shared = spark.sparkContext.broadcast((classes.listed, classes.counts, classes.kinds, classes.tails))
     rows = documents.select(*[F.col(c) for c in keep], F.col(text).alias("__text"))
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.select(*keep).schema)
-    names = [*keep, "__part", "n_tokens", "__listed", "__above", "__words", "__times"]
+    types = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in documents.select(*keep).schema)
+    kind, number = np.min_scalar_type(s.classes), np.dtype(np.uint32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        top, listed = pa.array(m.top, pa.large_string()), pa.array(m.listed, pa.large_string())
+        listed, counts, kinds, tails = shared.value
+        listed, counts, kinds = pa.array(listed, pa.large_string()), np.append(counts, 0.0), np.append(kinds, s.classes)
         for batch in slices(batches, "__text", HELD_BYTES):
             words, code, offsets = tokens(batch.column("__text"))
-            c = m.own[units(words, top, s)]
             at = pc.index_in(words, value_set=listed).fill_null(-1).to_numpy(zero_copy_only=False)
-            known = at >= 0
-            above = np.where(known, np.log10(np.append(m.counts, 0.0)[at] + s.smoothing), 0.0)
-            now = c[code]
-            before = np.append(c[-1:], now[:-1])  # every text begins after an end
-            part = m.steps[before, now] - m.below[now]
-            row = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
-            rare = ~known[code]
-            pair, times = np.unique((row[rare] << 32) | code[rare], return_counts=True)
+            known = (at >= 0)[code]
+            above = np.where(at >= 0, np.log10(counts[at] + s.smoothing), 0.0)[code]
+            row = np.repeat(np.arange(batch.num_rows), np.diff(offsets))[~known]
+            pair, rare = np.unique((row << 32) | code[~known], return_inverse=True)  # the rare words of each text
             cut = np.append(0, np.cumsum(np.bincount(pair >> 32, minlength=batch.num_rows)))
+            many = np.append(0, np.cumsum(np.bincount(row, minlength=batch.num_rows)))
+            words = words.take(pa.array(pair & 0xFFFFFFFF))
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k) for k in keep), pa.array(sums(part, offsets)), pa.array(np.diff(offsets)),
-                 pa.array(sums(known[code].astype(np.int64), offsets)), pa.array(sums(above[code], offsets)),
-                 pa.ListArray.from_arrays(pa.array(cut, pa.int32()), words.take(pa.array(pair & 0xFFFFFFFF)).cast(pa.string())),
-                 pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(times.astype(np.int32)))], names)
-
-    schema = f"{types}, __part double, n_tokens long, __listed long, __above double, __words array<string>, __times array<int>"
-    parts = rows.mapInArrow(run, schema).withColumn("__row", F.monotonically_increasing_id())
-    parts = stage(parts, "scores")
-    rare = parts.select("__row", F.explode(F.arrays_zip("__words", "__times")).alias("x"))
-    rare = rare.select("__row", F.col("x.__words").alias("word"), F.col("x.__times").alias("times"))
-    found = rare.join(counts.where("n > 0"), "word", "left")
-    found = found.groupBy("__row").agg(
-        F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("more"),
-        F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + F.lit(s.smoothing))).alias("rest"),
-    )
-    out = parts.drop("__words", "__times").join(found.withColumnRenamed("__row", "__of"), F.col("__row") == F.col("__of"), "left")
-    above = F.col("__above") + F.coalesce("rest", F.lit(0.0))
-    floor = float(np.log10(model.train_tokens + 0.1 * (model.vocabulary + 1)))
+                [*(batch.column(k) for k in keep), pa.array(np.diff(offsets)), pa.array(sums(known.astype(np.int64), offsets)),
+                 pa.array(sums(above, offsets)), _blobs(kinds[at].astype(kind)[code], offsets),
+                 _blobs((rare.ravel() - cut[row]).astype(number), many), _blobs(tails[tail_of(words, s)].astype(kind), cut),
+                 pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), words.cast(pa.string()))],
+                [*keep, "n_tokens", "__listed", "__above", "__classes", "__rare", "__spare", "__words"])
+
+    schema = f"{types}n_tokens long, __listed long, __above double, __classes binary, __rare binary, __spare binary, __words array<string>"
+    parts = stage(rows.mapInArrow(run, schema).withColumn("__row", F.monotonically_increasing_id()), "parts")
+    rare = parts.select("__row", F.posexplode("__words").alias("k", "word")).join(classes.words, "word")
+    found = rare.groupBy(F.col("__row").alias("__of")).agg(F.collect_list(F.struct("k", "c", "n")).alias("__found"))
+    whole = parts.drop("__words").join(found, F.col("__row") == F.col("__of"), "left").drop("__row", "__of")
+
+    def complete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            now, offsets = _array(batch.column("__classes"), kind)
+            rare, many = _array(batch.column("__rare"), number)
+            own, cut = _array(batch.column("__spare"), kind)
+            own, n = own.copy(), np.zeros(len(own), np.int64)
+            lists = batch.column("__found")
+            held = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            k, c, times = (x.to_numpy(zero_copy_only=False) for x in lists.flatten().flatten())
+            at = np.repeat(cut[:-1], held) + k
+            own[at], n[at] = c, times
+            at = np.repeat(cut[:-1], np.diff(many)) + rare
+            now = now.copy()
+            now[now == s.classes] = own[at]
+            known = batch.column("__listed").to_numpy() + sums((n[at] > 0).astype(np.int64), many)
+            above = batch.column("__above").to_numpy() + sums(np.log10(n[at] + s.smoothing), many)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(x) for x in keep), batch.column("n_tokens"), pa.array(known), pa.array(above), _blobs(now, offsets)],
+                [*keep, "n_tokens", "n_known", "__above", "__classes"])
+
+    return stage(whole.mapInArrow(complete, f"{types}n_tokens long, n_known long, __above double, __classes binary"), "classes")
+
+
+def finish(classes: Classes, classified: DataFrame) -> Model:
+    """The model with transitions counted in the classified texts; a task sends its matrix of classes."""
+    s = classes.settings
+    kind = np.min_scalar_type(s.classes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(s.classes**2, np.int64)
+        for batch in batches:
+            now, offsets = _array(batch.column("__classes"), kind)
+            now = now.astype(np.int64)
+            seen += np.bincount(before(now, offsets) * s.classes + now, minlength=s.classes**2)
+        yield _matrix(seen, s.classes)
+
+    both = _add(classified.select("__classes").mapInArrow(run, "a int, b int, n long"), s.classes)
+    return Model(classes, np.log10((both + s.smoothing) / (both.sum(1, keepdims=True) + s.smoothing * s.classes)))
+
+
+def train(documents: DataFrame, settings: Settings = Settings(), text: str = "text") -> tuple[Model, DataFrame]:
+    """A model and the table of all words with their counts and classes, which stays in Spark."""
+    classes = learn(documents, settings, text)
+    return finish(classes, classify(documents, classes, [], text)), classes.words
+
+
+def rate(classified: DataFrame, model: Model, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` with ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score``."""
+    m, s = model.classes, model.classes.settings
+    shared = classified.sparkSession.sparkContext.broadcast((model.steps, m.below))
+    types = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in classified.select(*keep).schema)
+    kind = np.min_scalar_type(s.classes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        steps, below = shared.value
+        for batch in batches:
+            now, offsets = _array(batch.column("__classes"), kind)
+            part = sums(steps[before(now, offsets), now] - below[now], offsets)
+            columns = [*(batch.column(k) for k in (*keep, "n_tokens", "n_known", "__above")), pa.array(part)]
+            yield pa.RecordBatch.from_arrays(columns, [*keep, "n_tokens", "n_known", "__above", "__part"])
+
+    out = classified.mapInArrow(run, f"{types}n_tokens long, n_known long, __above double, __part double")
+    floor = float(np.log10(m.train_tokens + 0.1 * (m.vocabulary + 1)))
     return out.select(
-        *keep, "n_tokens", (F.col("__listed") + F.coalesce("more", F.lit(0))).cast("long").alias("n_known"),
-        F.lit(model.train_tokens).cast("long").alias("train_tokens"), (above - F.col("n_tokens") * floor).alias("base_score"),
-        (above + F.col("__part")).alias("score"),
+        *keep, "n_tokens", "n_known", F.lit(m.train_tokens).cast("long").alias("train_tokens"),
+        (F.col("__above") - F.col("n_tokens") * floor).alias("base_score"), (F.col("__above") + F.col("__part")).alias("score"),
     )
 
 
+def score(documents: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
+    """The columns ``keep`` with ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score``.
+
+    P(word | word before) = P(class | class before) P(word | class), both smoothed, one unseen word per class
+    included. A null or empty text is its end alone; repeated rows are scored each.
+    """
+    return rate(classify(documents, model.classes, keep, text), model, keep)
+
+
 def evaluate(documents: DataFrame, folds: int = 10, key: str = "doc_id", settings: Settings = Settings()) -> DataFrame:
     """Learn from the documents outside the held-out fold and score all; a null key is held out."""
     held: Column = F.coalesce(fold(key, folds) == 0, F.lit(True))
-    model, counts = train(documents.where(~held), settings)
-    marked = documents.select(key, held.alias("held_out"), "text")
-    return score(marked, model, counts, [key, "held_out"])
+    classes = learn(documents.where(~held), settings)
+    classified = classify(documents.select(key, held.alias("held_out"), "text"), classes, [key, "held_out"])
+    return rate(classified, finish(classes, classified.where(~F.col("held_out"))), [key, "held_out"])

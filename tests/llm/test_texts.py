@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -407,6 +408,52 @@ def test_brown_counts_batches_of_many_slices(spark, monkeypatch):
     assert got == Counter(w for t in texts for w in [*tokens(t), brown.END])
 
 
+def test_brown_places_every_word_by_its_neighbours(spark):
+    """Rare words go where their neighbours say, whatever their last letters; against a brute force over all words."""
+    rng = random.Random(5)
+    words = {k: [f"{k}{i}{rng.choice(['ing', 'tion', 'ed', 'er'])}" for i in range(60)] for k in ("noun", "verb")}
+    around = {"noun": ("of", "the", "is"), "verb": ("and", "to", "up")}
+    texts = []
+    for _ in range(150):
+        kind = rng.choice(["noun", "verb"])
+        one, two, three = around[kind]
+        texts.append(" ".join(f"{one} {two} {rng.choice(words[kind])} {three}" for _ in range(rng.randint(1, 6))))
+    frame = spark.createDataFrame([(t,) for t in [*texts, None, ""]], "text string").repartition(3)
+    small = brown.Settings(frequent=7, tails=4, classes=8, listed=9)
+    model, table = brown.train(frame, small)
+    got = {r.word: (r.n, r.c) for r in table.collect()}
+    source = [[*tokens(t), brown.END] for t in [*texts, None, ""]]
+    seen = Counter(w for t in source for w in t)
+    assert {w: n for w, (n, _) in got.items()} == seen
+    top = [brown.END, *sorted(seen.keys() - {brown.END}, key=lambda w: (-seen[w], w))[:6]]
+    own = brown.exchange(brown.count_pairs(frame, top, small), 8, small.passes)
+    first = {w: int(own[brown.units(pa.array([w], pa.large_string()), pa.array(top, pa.large_string()), small)[0]]) for w in seen}
+    pairs = Counter(p for t in source for p in zip([brown.END, *t], t))
+    both = np.zeros((8, 8))
+    for (a, b), n in pairs.items():
+        both[first[a], first[b]] += n
+    gain = {w: np.zeros(8) for w in seen}
+    for (a, b), n in pairs.items():
+        for d in range(8):
+            gain[b][d] += n * math.log((both[first[a], d] + 0.1) / (both[:, d].sum() + 0.8))
+            gain[a][d] += n * math.log((both[d, first[b]] + 0.1) / (both[d].sum() + 0.8))
+    for w, (_, c) in got.items():
+        assert gain[w][c] == pytest.approx(gain[w].max(), abs=1e-6), w
+    kinds = {k: {got[w][1] for w in words[k] if w in got} for k in words}
+    assert not kinds["noun"] & kinds["verb"]  # though their last letters are the same
+
+
+def test_brown_words_do_not_depend_on_buckets_and_slices(spark, monkeypatch):
+    texts = [*TEXTS, *(prose(30) for _ in range(20))]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    small = brown.Settings(frequent=12, tails=4, classes=5, listed=6)
+    want = rows(brown.train(frame.coalesce(1), small)[1], "word", "n", "c")
+    monkeypatch.setattr(brown, "HELD_BYTES", 300)
+    monkeypatch.setattr(brown, "BUCKET_TOKENS", 500)
+    monkeypatch.setattr(brown, "PLACED", 7)
+    assert rows(brown.train(frame.repartition(4), small)[1], "word", "n", "c") == want
+
+
 def test_exchange_never_lowers_the_likelihood():
     rng = np.random.default_rng(4)
     pairs = rng.poisson(rng.gamma(0.3, 3.0, (30, 30))).astype(float)
