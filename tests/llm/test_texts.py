@@ -16,7 +16,7 @@ from llm_cases import DOCUMENTS, PASSAGE, TEXTS, empty, low, prose, rows, spaced
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from mailspark.llm import brown, decontam, exact, graph, langid, packing, quality, simhash, suffix
+from mailspark.llm import brown, decontam, exact, graph, langid, packing, quality, queries, simhash, suffix
 
 
 def source_rows(docs):
@@ -165,6 +165,23 @@ def test_suffix_removal(docs, spark, monkeypatch, hot):
     assert got == sorted(((i, *w) for (i, _), w in zip(pairs, want)), key=repr)
 
 
+def test_suffix_query_on_planted_passages(spark, tmp_path):
+    """Passages of over 50 words in three documents each: removed whole from 400 bytes on, and of shorter ones nothing."""
+    planted, data = {}, []
+    for n, size in enumerate((320, 399, 400, 401, 800)):
+        passage = " ".join(f"{n}w{i:03}" for i in range(400))[: size - 1] + "."
+        assert len(passage.split()) > 50 and len(passage) == size
+        for k in range(3):
+            planted[len(data)] = size
+            data.append((len(data), f"{prose(30)}<{n}{k}{passage}{k}{n}>{prose(30)}"))
+    data += [(100 + i, prose(200) + f" {i}") for i in range(30)]
+    spark.createDataFrame(data, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r.doc_id: r for r in queries.op4_suffix(spark, str(tmp_path)).collect()}
+    want = suffix_by_hand([t.encode() for _, t in data], 400)
+    assert {i: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for i, r in out.items()} == {i: w for (i, _), w in zip(data, want)}
+    assert {i: r.n_removed for i, r in out.items()} == {i: planted[i] if planted.get(i, 0) >= 400 else 0 for i, _ in data}
+
+
 def test_difference_cover_meets_every_pair():
     p, cover = suffix.PERIOD, set(suffix.COVER.tolist())
     assert all(any((i + d) % p in cover and (j + d) % p in cover for d in range(p)) for i in range(p) for j in range(p))
