@@ -380,7 +380,7 @@ def classify(documents: DataFrame, classes: Classes, keep: list[str], text: str
     whole = parts.drop("__words").join(found, F.col("__row") == F.col("__of"), "left").drop("__row", "__of")
 
     def complete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "__classes", HELD_BYTES):
             now, offsets = _array(batch.column("__classes"), kind)
             rare, many = _array(batch.column("__rare"), number)
             own, cut = _array(batch.column("__spare"), kind)
@@ -409,7 +409,7 @@ def finish(classes: Classes, classified: DataFrame) -> Model:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(s.classes**2, np.int64)
-        for batch in batches:
+        for batch in slices(batches, "__classes", HELD_BYTES):
             now, offsets = _array(batch.column("__classes"), kind)
             now = now.astype(np.int64)
             seen += np.bincount(before(now, offsets) * s.classes + now, minlength=s.classes**2)
@@ -434,7 +434,7 @@ def rate(classified: DataFrame, model: Model, keep: list[str]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         steps, below = shared.value
-        for batch in batches:
+        for batch in slices(batches, "__classes", HELD_BYTES):
             now, offsets = _array(batch.column("__classes"), kind)
             part = sums(steps[before(now, offsets), now] - below[now], offsets)
             columns = [*(batch.column(k) for k in (*keep, "n_tokens", "n_known", "__above")), pa.array(part)]

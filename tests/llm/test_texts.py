@@ -460,15 +460,18 @@ def test_brown_places_every_word_by_its_neighbours(spark):
     assert not kinds["noun"] & kinds["verb"]  # though their last letters are the same
 
 
-def test_brown_words_do_not_depend_on_buckets_and_slices(spark, monkeypatch):
-    texts = [*TEXTS, *(prose(30) for _ in range(20))]
-    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+def test_brown_does_not_depend_on_buckets_and_slices(spark, monkeypatch):
+    texts = [*TEXTS, *(prose(30) for _ in range(20)), prose(40, " ".join(f"rare{i}" for i in range(500)))]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     small = brown.Settings(frequent=12, tails=4, classes=5, listed=6)
-    want = rows(brown.train(frame.coalesce(1), small)[1], "word", "n", "c")
+    scores = lambda f: rows(brown.evaluate(f, settings=small), "doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    words, want = rows(brown.train(frame.coalesce(1), small)[1], "word", "n", "c"), scores(frame.coalesce(1))
     monkeypatch.setattr(brown, "HELD_BYTES", 300)
     monkeypatch.setattr(brown, "BUCKET_TOKENS", 500)
     monkeypatch.setattr(brown, "PLACED", 7)
-    assert rows(brown.train(frame.repartition(4), small)[1], "word", "n", "c") == want
+    assert rows(brown.train(frame.repartition(4), small)[1], "word", "n", "c") == words
+    for a, b in zip(scores(frame.coalesce(2)), want, strict=True):
+        assert a[:4] == b[:4] and a[4:] == pytest.approx(b[4:], rel=1e-9)
 
 
 def test_exchange_never_lowers_the_likelihood():
