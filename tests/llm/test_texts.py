@@ -182,6 +182,33 @@ def test_suffix_query_on_planted_passages(spark, tmp_path):
     assert {i: r.n_removed for i, r in out.items()} == {i: planted[i] if planted.get(i, 0) >= 400 else 0 for i, _ in data}
 
 
+def test_suffix_query_returns_what_is_left(spark, tmp_path):
+    """Texts without their repeats and the stretches taken from them; a cut through a character leaves U+FFFD."""
+    body = "".join(f"{i:04}ä" for i in range(100))  # 600 bytes
+    head, tail, copy = prose(40), prose(9), prose(90)
+    data = [(0, head + "1" + body + "2" + tail), (1, None), (2, ""), (3, "short"), (4, "short"), (5, body + "é" + "3" * 30),
+            (6, "4" * 20 + body + "è" + "5"), (7, copy), (8, copy), (9, head + "7" + body[:450] + "8" + body[50:])]
+    data += [(10 + i, prose(30)[:200] + f" {i}") for i in range(5)]
+    spark.createDataFrame(data, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = queries.op4_suffix(spark, str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in out) == [i for i, _ in data]
+    given, seen = dict(data), set()
+    for r in out:
+        text, left, at = (given[r.doc_id] or "").encode(), b"", 0
+        for a, b in r.spans:
+            assert at <= a < b and (a > at or not at)
+            left, at = left + text[at:a], b
+            seen.add(text[a:b])
+        left += text[at:]
+        assert (len(text) - len(left), len(r.spans)) == (r.n_removed, r.n_spans)
+        assert hashlib.sha256(left).hexdigest() == r.kept_sha256
+        assert r.text == left.decode(errors="replace")
+    kept = {r.doc_id: r.text for r in out}
+    assert kept[0] == head + "12" + tail and kept[1] == kept[2] == kept[7] == kept[8] == "" and kept[3] == "short"
+    assert kept[5] == "\ufffd" + "3" * 30 and kept[6] == "4" * 20 + "\ufffd5" and kept[9] == head + "78"
+    assert kept[10] == given[10] and any(body.encode() in s for s in seen)
+
+
 def test_difference_cover_meets_every_pair():
     p, cover = suffix.PERIOD, set(suffix.COVER.tolist())
     assert all(any((i + d) % p in cover and (j + d) % p in cover for d in range(p)) for i in range(p) for j in range(p))
